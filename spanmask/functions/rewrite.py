@@ -7,7 +7,7 @@ from typing import Mapping, Optional, Union
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .spans import resolve_spans
+from .spans import SPANS_TYPE, bind, resolve_spans
 
 # Operator names accepted per entity type.
 #   replace  -> "<ENTITY_TYPE>" (or the given text)
@@ -56,15 +56,17 @@ def anonymize_text(text: Column, spans: Column, operators: Optional[Mapping[str,
     the cost is linear in the text length.
     """
     text = text.cast("string")
-    rs = resolve_spans(spans) if resolve else F.coalesce(spans, F.array())
-
-    def piece(s, i):
-        prev_end = F.when(i == 0, F.lit(0)).otherwise(F.try_element_at(rs, i)["end"])
-        gap = text.substr(prev_end + 1, s["start"] - prev_end)
-        hit = text.substr(s["start"] + 1, s["end"] - s["start"])
-        return F.concat(gap, replacement(operators, hit, s["entity_type"]))
-
-    last_end = F.coalesce(F.try_element_at(rs, F.lit(-1))["end"], F.lit(0))
-    tail = text.substr(last_end + 1, F.lit(2147483647))
-    out = F.concat(F.array_join(F.transform(rs, piece), ""), tail)
-    return F.when(text.isNull(), F.lit(None).cast("string")).otherwise(out)
+    resolved = resolve_spans(spans) if resolve else F.coalesce(spans, F.array().cast(SPANS_TYPE))
+
+    def build(rs):
+        def piece(s, i):
+            prev_end = F.when(i == 0, F.lit(0)).otherwise(F.element_at(rs, i)["end"])
+            gap = text.substr(prev_end + 1, s["start"] - prev_end)
+            hit = text.substr(s["start"] + 1, s["end"] - s["start"])
+            return F.concat(gap, replacement(operators, hit, s["entity_type"]))
+
+        last_end = F.when(F.size(rs) == 0, F.lit(0)).otherwise(F.element_at(rs, -1)["end"])
+        tail = text.substr(last_end + 1, F.lit(2147483647))
+        return F.concat(F.array_join(F.transform(rs, piece), ""), tail)
+
+    return F.when(text.isNull(), F.lit(None).cast("string")).otherwise(bind(resolved, build))

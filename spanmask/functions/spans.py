@@ -37,44 +37,52 @@ def _empty(dtype: T.DataType) -> Column:
     return F.array().cast(T.ArrayType(dtype))
 
 
+def bind(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and hand it to ``fn`` as a lambda variable.
+
+    Spark does not share a subexpression used several times inside a
+    higher-order function; binding it through a one-element ``transform``
+    computes it once per row.
+    """
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
 def _hits(text: Column, rec: Recognizer) -> Column:
     """array<span + text> of every non-overlapping match of one pattern.
 
     ``regexp_extract_all`` gives the matches and ``split(.., -1)`` the
     pieces between them (both walk the same ``Matcher.find`` sequence), so
     match ``i`` starts after pieces ``0..i`` and matches ``0..i-1``.  One
-    left fold carries that running offset; matches are sparse, so the fold
-    is short.
+    left fold carries that running offset.  The split runs only for cells
+    with a match, and the regex not at all for cells lacking the hint.
     """
-    pat = F.lit(rec.pattern)
-    matches = F.regexp_extract_all(text, pat, F.lit(0))
-    pieces = F.split(text, rec.pattern, -1)
-    init = F.struct(
-        F.lit(0).alias("pos"),
-        F.lit(1).alias("i"),
-        _empty(_HIT_TYPE).alias("out"),
-    )
-
-    def step(acc, m):
-        start = acc["pos"] + F.length(F.element_at(pieces, acc["i"]))
-        end = start + F.length(m)
-        hit = F.struct(
-            F.lit(rec.entity_type).alias("entity_type"),
-            start.cast("int").alias("start"),
-            end.cast("int").alias("end"),
-            F.lit(float(rec.score)).alias("score"),
-            m.alias("text"),
-        )
-        return F.struct(
-            end.alias("pos"),
-            (acc["i"] + 1).alias("i"),
-            F.array_append(acc["out"], hit).alias("out"),
-        )
-
-    hits = F.aggregate(matches, init, step, lambda acc: acc["out"])
-    if rec.validator:
-        hits = F.filter(hits, lambda h: F.call_function(rec.validator, h["text"]))
-    hits = F.when(F.size(matches) > 0, hits).otherwise(_empty(_HIT_TYPE))
+    matches = F.regexp_extract_all(text, F.lit(rec.pattern), F.lit(0))
+    init = F.struct(F.lit(0).alias("pos"), F.lit(1).alias("i"), _empty(_HIT_TYPE).alias("out"))
+
+    def fold(b):
+        def step(acc, m):
+            start = acc["pos"] + F.length(F.element_at(b["p"], acc["i"]))
+            end = start + F.length(m)
+            hit = F.struct(
+                F.lit(rec.entity_type).alias("entity_type"),
+                start.cast("int").alias("start"),
+                end.cast("int").alias("end"),
+                F.lit(float(rec.score)).alias("score"),
+                m.alias("text"),
+            )
+            return F.struct(end.alias("pos"), (acc["i"] + 1).alias("i"),
+                            F.array_append(acc["out"], hit).alias("out"))
+
+        hits = F.aggregate(b["m"], init, step, lambda acc: acc["out"])
+        if rec.validator:
+            hits = F.filter(hits, lambda h: F.call_function(rec.validator, h["text"]))
+        return hits
+
+    def with_matches(m):
+        pieces = F.struct(m.alias("m"), F.split(text, rec.pattern, -1).alias("p"))
+        return F.when(F.size(m) > 0, bind(pieces, fold)).otherwise(_empty(_HIT_TYPE))
+
+    hits = bind(matches, with_matches)
     if rec.hint:
         hits = F.when(F.instr(text, rec.hint) > 0, hits).otherwise(_empty(_HIT_TYPE))
     return F.when(text.isNull(), _empty(_HIT_TYPE)).otherwise(hits)

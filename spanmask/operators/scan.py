@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.spans import as_recognizers, detect
+from ..plans.config import ensure_checkpoint_dir
 from .columns import RESULT_COL, ColumnPlan, pack_result, plan_columns, q
 
 ROW_ID = "monotonic_id"
@@ -37,6 +38,20 @@ def _batch_only(df: DataFrame, what: str):
         raise ValueError(f"{what} needs a row id and a join, which Spark does not allow on a stream")
 
 
+def with_stable_row_id(df: DataFrame, name: str) -> DataFrame:
+    """Add a unique row id that both sides of a self-join agree on.
+
+    ``monotonically_increasing_id`` depends on partition layout and row
+    order, which a shuffle below it does not keep between two evaluations
+    (nor across a task retry).  The id'd rows are therefore written once
+    with ``checkpoint()`` to the shared ``spark.checkpoint.dir`` and read
+    back by both sides; this also cuts the lineage, so a lost executor
+    recomputes from the checkpoint, not from the source.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.withColumn(name, F.monotonically_increasing_id()).checkpoint(eager=True)
+
+
 def scan(
     df: DataFrame,
     exclude: Sequence[str] = (),
@@ -86,13 +101,12 @@ def scan(
 def _scan_id_checked(df, plan: ColumnPlan, det, layout, parallelism, result_col) -> DataFrame:
     """Scan a copy keyed by a row id and join the result back on it.
 
-    The row id comes from the input's own partitioning, so it is repeatable
-    on a deterministic source (a file scan) after a task retry.  The
+    The id'd input is checkpointed once (see ``with_stable_row_id``).  The
     scanned side carries a hash of the scanned cells; after the join the
     two hashes must agree, checked lazily by ``assert_true``.
     """
     _batch_only(df, "id_check")
-    keyed = df.withColumn(ROW_ID, F.monotonically_increasing_id())
+    keyed = with_stable_row_id(df, ROW_ID)
     cells = [q(c) for c in plan.scanned] or [F.lit(0)]
     side = keyed.select(ROW_ID, *[q(c) for c in plan.scanned])
     if parallelism:
@@ -114,7 +128,7 @@ def _scan_id_checked(df, plan: ColumnPlan, det, layout, parallelism, result_col)
 def _scan_stacked(df, plan: ColumnPlan, det, layout, parallelism, result_col) -> DataFrame:
     """Unpivot -> detect -> pivot back -> join on row id."""
     _batch_only(df, "stacked scan")
-    keyed = df.withColumn(STACK_ID, F.monotonically_increasing_id())
+    keyed = with_stable_row_id(df, STACK_ID)
     if not plan.scanned:
         return keyed.select(*[q(c) for c in df.columns],
                             pack_result({}, plan.known, layout).alias(result_col))

@@ -52,20 +52,28 @@ class ScanConfig:
         )
 
 
-def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint directory.
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    ``spark.checkpoint.dir`` names storage every executor can reach; it is
-    read from the session.  Only when it is unset (local tests) is a
-    temporary folder set as the checkpoint directory.
+    Read from the session; only when unset (local tests) a temporary
+    folder is created and set.  Returns the folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="spanmask-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+        try:
+            spark.conf.set("spark.checkpoint.dir", base)
+        except Exception:  # some deployments reject core keys at run time
+            pass
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(base)
+    return base
+
+
+def shared_dir(spark: SparkSession, *parts: str) -> str:
+    """A fresh folder under the shared checkpoint directory."""
+    base = ensure_checkpoint_dir(spark)
     path = base.rstrip("/")
     for p in parts + (uuid.uuid4().hex[:12],):
         path = f"{path}/{p}"
