@@ -132,15 +132,17 @@ def _scan_stacked(df, plan: ColumnPlan, det, layout, parallelism, result_col) ->
     if not plan.scanned:
         return keyed.select(*[q(c) for c in df.columns],
                             pack_result({}, plan.known, layout).alias(result_col))
-    long = keyed.select(STACK_ID, *[q(c).cast("string").alias(c) for c in plan.scanned]).unpivot(
-        [STACK_ID], plan.scanned, "columnName", "content"
+    # Positional stand-in names: unpivot resolves names, and real ones may hold dots or spaces.
+    safe = {f"_c{i}": c for i, c in enumerate(plan.scanned)}
+    long = keyed.select(STACK_ID, *[q(c).cast("string").alias(k) for k, c in safe.items()]).unpivot(
+        [STACK_ID], list(safe), "columnName", "content"
     )
     if parallelism:
         long = long.repartition(parallelism)
     long = long.select(STACK_ID, "columnName", det(F.col("content")).alias("spans"))
-    wide = long.groupBy(STACK_ID).pivot("columnName", plan.scanned).agg(F.first("spans"))
+    wide = long.groupBy(STACK_ID).pivot("columnName", list(safe)).agg(F.first("spans"))
     packed = wide.select(
-        STACK_ID, pack_result({c: q(c) for c in plan.scanned}, plan.known, layout).alias(result_col)
+        STACK_ID, pack_result({c: F.col(k) for k, c in safe.items()}, plan.known, layout).alias(result_col)
     )
     joined = keyed.join(packed, on=STACK_ID, how="inner")
     return joined.select(*[q(c) for c in df.columns], F.col(result_col))
