@@ -33,6 +33,12 @@ def make_detector(recognizers=None, detector: Optional[Detector] = None) -> Dete
     return lambda c: detect(c, recs)
 
 
+def detect_struct(cols: Sequence[str], recognizers=None, detector: Optional[Detector] = None) -> Column:
+    """Whole-row detection: ``struct<col: spans>`` for the named columns, in order."""
+    det = make_detector(recognizers, detector)
+    return F.struct(*[det(q(c)).alias(c) for c in cols])
+
+
 def _batch_only(df: DataFrame, what: str):
     if df.isStreaming:
         raise ValueError(f"{what} needs a row id and a join, which Spark does not allow on a stream")

@@ -16,12 +16,18 @@ FILE_METADATA_COLS = (
 
 
 def ingest_json(spark: SparkSession, path: str, schema: Optional[T.StructType] = None,
-                max_files: Optional[int] = None, stream: bool = True) -> DataFrame:
+                max_files: Optional[int] = None, stream: bool = True, infer_schema: bool = False) -> DataFrame:
     """JSON directory as a stream (or a batch with ``stream=False``).
 
-    A stream needs ``schema`` unless ``spark.sql.streaming.schemaInference``
-    is on; ``max_files`` caps files per micro-batch.
+    A stream needs ``schema`` unless ``infer_schema`` is set, which turns on
+    ``spark.sql.streaming.schemaInference`` (types are then read from the
+    files present when the query starts).  ``max_files`` caps files per
+    micro-batch.
     """
+    if stream and schema is None:
+        if not infer_schema:
+            raise ValueError("a JSON stream needs a schema, or infer_schema=True")
+        spark.conf.set("spark.sql.streaming.schemaInference", "true")
     if stream:
         r = spark.readStream
         if schema is not None:

@@ -33,3 +33,24 @@ def test_synth_repeatable_and_weights(spark):
     assert abs(share.get(None, 0) - 0.01 / 0.91) < 0.006
     assert a.where(F.to_timestamp("operation_date", "MM-dd-yyyy HH:mm:ss").isNull()).count() == 0
     assert a.where(F.col("freetext_1") == F.col("freetext_2")).count() < 200
+
+
+def test_json_roundtrip_and_inference(spark, scratch):
+    from spanmask.sources.files import ingest_json, with_file_metadata, write_json
+    from spanmask.operators.scan import detect_struct
+
+    df = spark.createDataFrame([(1, "a@b.co é😀"), (2, None)], "id long, t string")
+    write_json(df, f"{scratch}/j", parts=2)
+    b = ingest_json(spark, f"{scratch}/j", df.schema, stream=False)
+    assert sorted(b.collect()) == sorted(df.collect())
+    st = with_file_metadata(ingest_json(spark, f"{scratch}/j", infer_schema=True))
+    assert {"id", "t", "file_name", "processing_time"} <= set(st.columns)
+    r = b.where("id = 1").select(detect_struct(["t"]).alias("s")).first().s
+    assert [(x.start, x.end) for x in r.t] == [(0, 6)]
+
+
+def test_inventory_created_time(spark):
+    spark.sql("CREATE TABLE IF NOT EXISTS inv_tbl_c (x int) USING parquet")
+    r = list_tables(spark).where("table_name = 'inv_tbl_c'").first()
+    assert r.table_type == "TABLE" and r.created is not None
+    spark.sql("DROP TABLE inv_tbl_c")
