@@ -24,7 +24,7 @@ from ..sources.catalog import list_tables
 from ..sources.files import ingest_json, with_file_metadata, write_hop, write_json
 from ..sources.synth import synth_customers
 from ..sources.tables import CUSTOMERS_WITH_PII_SQL, TABLES, customers_with_pii, table
-from ..streaming.hops import HopPaths, run_hops
+from ..streaming.hops import HopPaths, run_hops, summary_sink
 from ..plans.config import ScanConfig, shared_dir
 from . import oracle as O
 
@@ -128,10 +128,10 @@ def _flat_counts_sql(cols, recs) -> str:
     )
 
 
-def _summary_sql(cols, recs) -> str:
+def _summary_sql(cols, recs, source: str = CWP) -> str:
     per = " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", '{r.entity_type}' AS entity_type, {r.score!r} AS score, "
-        f"{O.count_expr(c, [r])} AS n FROM {CWP}"
+        f"{O.count_expr(c, [r])} AS n FROM {source}"
         for c in cols for r in recs
     )
     return (
@@ -242,6 +242,19 @@ def stream_three_hop(spark, d):
     return spark.read.parquet(paths.anonymised).select("id", "fullname", "segment", "freetext_1", "lang")
 
 
+def stream_summary(spark, d):
+    """Scan summary per micro-batch (foreachBatch) over documents landed as JSON."""
+    root = shared_dir(spark, "stream_summary")
+    landing = f"{root}/landing"
+    write_json(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"), landing, parts=4)
+    from pyspark.sql.types import _parse_datatype_string
+    st = ingest_json(spark, landing, _parse_datatype_string("id long, text string"))
+    summary_sink(scan(st, exclude=["id"], recognizers=PATTERNS), f"{root}/summary", f"{root}/_checkpoints/summary")
+    out = spark.read.parquet(f"{root}/summary")
+    return out.select("column", "entity_type", "num_entities", F.round("avg_score", 6).alias("avg_score"),
+                      "sample_size", "hit_rate")
+
+
 # --- catalog and synthetic data ------------------------------------------------
 
 def table_inventory(spark, d):
@@ -287,6 +300,7 @@ def queries() -> dict[str, Query]:
         "gazetteer_spans": gazetteer_query,
         "stream_ingest": stream_ingest,
         "stream_three_hop": stream_three_hop,
+        "stream_summary": stream_summary,
         "table_inventory": table_inventory,
         "synth_customers": synth_query,
     }
@@ -335,6 +349,7 @@ def oracle_sql() -> dict[str, str]:
         "gazetteer_spans": _gazetteer_sql(),
         "stream_ingest": "SELECT doc_id AS id, text FROM documents",
         "stream_three_hop": cwp_anon,
+        "stream_summary": _summary_sql(["text"], PATTERNS, "documents"),
         "table_inventory": (
             "SELECT DISTINCT table_name, CASE WHEN table_type = 'VIEW' THEN 'VIEW' ELSE 'TABLE' END AS table_type "
             "FROM information_schema.tables WHERE table_name IN (" + ", ".join(f"'{t}'" for t in TABLES) + ")"),

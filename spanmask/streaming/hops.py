@@ -12,7 +12,6 @@ from dataclasses import dataclass
 from typing import Mapping, Optional
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.anonymize import anonymize
@@ -99,13 +98,13 @@ def run_hops(
 def summary_sink(scanned_stream: DataFrame, path: str, checkpoint: str, available_now: bool = True):
     """Per micro-batch scan summary appended to a parquet table (``foreachBatch``).
 
-    Each batch's summary is written once per batch id; a replayed batch
-    overwrites its own partition, so a restart adds no duplicate rows.
+    Each batch's summary goes to its own ``batch_id=<n>`` partition folder;
+    a replayed batch overwrites that folder, so a restart adds no duplicate
+    rows.  Reading ``path`` back yields ``batch_id`` as a partition column.
     """
 
     def write(batch: DataFrame, batch_id: int):
-        (summarize(batch).withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}"))
+        summarize(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     w = scanned_stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
