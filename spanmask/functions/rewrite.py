@@ -7,7 +7,7 @@ from typing import Mapping, Optional, Union
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .spans import SPANS_TYPE, bind, resolve_spans
+from .spans import SPANS_TYPE, bind, memo, resolve_spans
 
 # Operator names accepted per entity type.
 #   replace  -> "<ENTITY_TYPE>" (or the given text)
@@ -55,6 +55,11 @@ def anonymize_text(text: Column, spans: Column, operators: Optional[Mapping[str,
     as one ``array_join`` of (gap, replacement) pieces plus the tail, so
     the cost is linear in the text length.
     """
+    key = (str(text), str(spans), repr(sorted((operators or {}).items())), resolve)
+    return memo("rewrite", key, lambda: _anonymize_text(text, spans, operators, resolve))
+
+
+def _anonymize_text(text, spans, operators, resolve) -> Column:
     text = text.cast("string")
     resolved = resolve_spans(spans) if resolve else F.coalesce(spans, F.array().cast(SPANS_TYPE))
 

@@ -33,6 +33,37 @@ SPANS_TYPE = T.ArrayType(SPAN_TYPE)
 _HIT_TYPE = T.StructType(SPAN_TYPE.fields + [T.StructField("text", T.StringType())])
 
 
+_BUILT: "OrderedDict" = None
+_BUILT_MAX = 512
+
+
+def memo(kind: str, key, build):
+    """Reuse a built expression within the active Spark context.
+
+    A span expression is a few thousand nodes, each made by a py4j call on
+    the driver (seconds per column); the tree depends only on the
+    recognisers and the input expression, so it is built once per session
+    and reused by every later scan of the same column.
+    """
+    global _BUILT
+    from collections import OrderedDict
+
+    from pyspark import SparkContext
+
+    if _BUILT is None:
+        _BUILT = OrderedDict()
+    k = (id(SparkContext._active_spark_context), kind, key)
+    col = _BUILT.get(k)
+    if col is None:
+        col = build()
+        _BUILT[k] = col
+        if len(_BUILT) > _BUILT_MAX:
+            _BUILT.popitem(last=False)
+    else:
+        _BUILT.move_to_end(k)
+    return col
+
+
 def _empty(dtype: T.DataType) -> Column:
     return F.array().cast(T.ArrayType(dtype))
 
@@ -47,40 +78,84 @@ def bind(value: Column, fn) -> Column:
     return F.element_at(F.transform(F.array(value), fn), 1)
 
 
+def prefix_scan(arr: Column, op, zero: Column = None, block: int = 64) -> Column:
+    """Inclusive prefix scan of an int array (``op`` = add, greatest, ...).
+
+    A fold that appends to an array copies it at every step, O(k^2) for a
+    cell with k hits.  Here the array is cut into blocks of ``block``:
+    block totals (one pass), an exclusive fold over the k/block totals,
+    then each element adds its in-block prefix.  Cost O(block * k +
+    (k / block)^2), exact for any k, with a small expression tree.
+    """
+
+    zero = F.lit(0) if zero is None else zero
+    fn = op
+    op = lambda x, y: fn(x, y)  # noqa: E731  (HOF lambdas need positional parameters)
+
+    def with_arr(a):
+        n = F.size(a)
+        blk = F.lit(block)
+
+        def blk_of(i):
+            return F.floor(i / blk).cast("int")
+
+        def with_totals(totals):
+            excl = F.aggregate(
+                totals,
+                F.struct(zero.alias("run"), F.array().cast(T.ArrayType(T.IntegerType())).alias("out")),
+                lambda acc, t: F.struct(op(acc["run"], t).alias("run"),
+                                        F.array_append(acc["out"], acc["run"]).alias("out")),
+                lambda acc: acc["out"],
+            )
+
+            def with_prefix(bp):
+                return F.transform(a, lambda x, i: op(
+                    F.element_at(bp, blk_of(i) + 1),
+                    F.aggregate(F.slice(a, blk_of(i) * blk + 1, i - blk_of(i) * blk + 1), zero, op),
+                ))
+
+            return bind(excl, with_prefix)
+
+        totals = F.transform(
+            F.sequence(F.lit(0), F.floor((n - 1) / blk).cast("int")),
+            lambda b: F.aggregate(F.slice(a, b * blk + 1, blk), zero, op),
+        )
+        return F.when(n == 0, a).otherwise(bind(totals, with_totals))
+
+    return bind(arr, with_arr)
+
+
 def _hits(text: Column, rec: Recognizer) -> Column:
     """array<span + text> of every non-overlapping match of one pattern.
 
     ``regexp_extract_all`` gives the matches and ``split(.., -1)`` the
-    pieces between them (both walk the same ``Matcher.find`` sequence), so
-    match ``i`` starts after pieces ``0..i`` and matches ``0..i-1``.  One
-    left fold carries that running offset.  The split runs only for cells
-    with a match, and the regex not at all for cells lacking the hint.
+    pieces between them (both walk the same ``Matcher.find`` sequence).
+    Interleaving their lengths (piece 0, match 0, piece 1, ...) and taking
+    prefix sums gives every match's start and end.  The split runs only
+    for cells with a match, and the regex not at all for cells lacking the
+    hint.
     """
     matches = F.regexp_extract_all(text, F.lit(rec.pattern), F.lit(0))
-    init = F.struct(F.lit(0).alias("pos"), F.lit(1).alias("i"), _empty(_HIT_TYPE).alias("out"))
-
-    def fold(b):
-        def step(acc, m):
-            start = acc["pos"] + F.length(F.element_at(b["p"], acc["i"]))
-            end = start + F.length(m)
-            hit = F.struct(
-                F.lit(rec.entity_type).alias("entity_type"),
-                start.cast("int").alias("start"),
-                end.cast("int").alias("end"),
-                F.lit(float(rec.score)).alias("score"),
-                m.alias("text"),
-            )
-            return F.struct(end.alias("pos"), (acc["i"] + 1).alias("i"),
-                            F.array_append(acc["out"], hit).alias("out"))
-
-        hits = F.aggregate(b["m"], init, step, lambda acc: acc["out"])
-        if rec.validator:
-            hits = F.filter(hits, lambda h: F.call_function(rec.validator, h["text"]))
-        return hits
 
     def with_matches(m):
-        pieces = F.struct(m.alias("m"), F.split(text, rec.pattern, -1).alias("p"))
-        return F.when(F.size(m) > 0, bind(pieces, fold)).otherwise(_empty(_HIT_TYPE))
+        def with_pieces(p):
+            lens = F.flatten(F.transform(m, lambda x, i: F.array(F.length(F.element_at(p, i + 1)), F.length(x))))
+
+            def with_sums(sums):
+                hits = F.transform(m, lambda x, i: F.struct(
+                    F.lit(rec.entity_type).alias("entity_type"),
+                    F.element_at(sums, 2 * i + 1).cast("int").alias("start"),
+                    F.element_at(sums, 2 * i + 2).cast("int").alias("end"),
+                    F.lit(float(rec.score)).alias("score"),
+                    x.alias("text"),
+                ))
+                if rec.validator:
+                    hits = F.filter(hits, lambda h: F.call_function(rec.validator, h["text"]))
+                return hits
+
+            return bind(prefix_scan(lens, lambda a, b: a + b), with_sums)
+
+        return F.when(F.size(m) > 0, bind(F.split(text, rec.pattern, -1), with_pieces)).otherwise(_empty(_HIT_TYPE))
 
     hits = bind(matches, with_matches)
     if rec.hint:
@@ -90,6 +165,11 @@ def _hits(text: Column, rec: Recognizer) -> Column:
 
 def detect_hits(text: Column, recognizers: Sequence[Recognizer]) -> Column:
     """Like :func:`detect` but each span keeps the matched ``text``."""
+    recs = tuple(recognizers)
+    return memo("hits", (str(text), recs), lambda: _detect_hits(text, recs))
+
+
+def _detect_hits(text: Column, recognizers: Sequence[Recognizer]) -> Column:
     parts = [_hits(text, r) for r in recognizers]
     if not parts:
         return _empty(_HIT_TYPE)
@@ -104,7 +184,12 @@ def detect(text: Column, recognizers=None) -> Column:
     ordered by (start, end desc, entity_type).  Overlaps between entities
     are kept; :func:`resolve_spans` merges them before rewriting.
     """
-    hits = detect_hits(text.cast("string"), as_recognizers(recognizers))
+    recs = tuple(as_recognizers(recognizers))
+    return memo("detect", (str(text), recs), lambda: _detect(text, recs))
+
+
+def _detect(text: Column, recs) -> Column:
+    hits = detect_hits(text.cast("string"), recs)
     return F.transform(
         hits,
         lambda h: F.struct(h["entity_type"], h["start"], h["end"], h["score"]),
@@ -130,29 +215,49 @@ def resolve_spans(spans: Column) -> Column:
     before the running island end joins the island; the island keeps the
     label and score of its highest-scoring member (ties: first in sort
     order).  Touching spans stay apart.  A null array counts as empty.
+
+    Linear-time shape: the running end is a prefix max; island heads are
+    the spans starting at or after the running end of all earlier spans;
+    each island's label comes from one pass over its own members.
     """
-    s = sort_spans(F.coalesce(spans, _empty(SPAN_TYPE)).cast(SPANS_TYPE))
-    null_span = F.lit(None).cast(SPAN_TYPE)
-    init = F.struct(_empty(SPAN_TYPE).alias("out"), null_span.alias("cur"))
-
-    def step(acc, x):
-        cur = acc["cur"]
-        merged = F.struct(
-            F.when(x["score"] > cur["score"], x["entity_type"]).otherwise(cur["entity_type"]).alias("entity_type"),
-            cur["start"].alias("start"),
-            F.greatest(cur["end"], x["end"]).alias("end"),
-            F.greatest(cur["score"], x["score"]).alias("score"),
-        )
-        overlaps = cur.isNotNull() & (x["start"] < cur["end"])
-        return F.struct(
-            F.when(overlaps | cur.isNull(), acc["out"]).otherwise(F.array_append(acc["out"], cur)).alias("out"),
-            F.when(overlaps, merged).otherwise(x).alias("cur"),
-        )
+    return memo("resolve", str(spans), lambda: _resolve_spans(spans))
 
-    def finish(acc):
-        return F.when(acc["cur"].isNull(), acc["out"]).otherwise(F.array_append(acc["out"], acc["cur"]))
 
-    return F.aggregate(s, init, step, finish).cast(SPANS_TYPE)
+def _resolve_spans(spans: Column) -> Column:
+    sorted_spans = sort_spans(F.coalesce(spans, _empty(SPAN_TYPE)).cast(SPANS_TYPE))
+
+    def with_sorted(s):
+        k = F.size(s)
+
+        def with_runmax(mx):
+            heads = F.filter(
+                F.sequence(F.lit(0), k - 1),
+                lambda i: (i == 0) | (F.element_at(s, i + 1)["start"] >= F.element_at(mx, F.greatest(i, F.lit(1)))),
+            )
+
+            def with_heads(h):
+                def island(head, j):
+                    nxt = F.when(j + 1 < F.size(h), F.element_at(h, j + 2)).otherwise(k)
+                    first = F.element_at(s, head + 1)
+                    best = F.aggregate(
+                        F.slice(s, head + 1, nxt - head), first,
+                        lambda b, x: F.when(x["score"] > b["score"], x).otherwise(b),
+                    )
+                    return F.struct(
+                        best["entity_type"].alias("entity_type"),
+                        first["start"].alias("start"),
+                        F.element_at(mx, nxt).alias("end"),
+                        best["score"].alias("score"),
+                    )
+
+                return F.transform(h, island)
+
+            return F.when(k == 0, _empty(SPAN_TYPE)).otherwise(bind(heads, with_heads))
+
+        ends = F.transform(s, lambda x: x["end"])
+        return bind(prefix_scan(ends, F.greatest), with_runmax)
+
+    return bind(sorted_spans, with_sorted).cast(SPANS_TYPE)
 
 
 def as_recognizers(recognizers) -> list[Recognizer]:
