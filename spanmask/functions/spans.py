@@ -52,7 +52,7 @@ def memo(kind: str, key, build):
 
     if _BUILT is None:
         _BUILT = OrderedDict()
-    k = (id(SparkContext._active_spark_context), kind, key)
+    k = (SparkContext._active_spark_context, kind, key)  # the context itself: ids can be reused
     col = _BUILT.get(k)
     if col is None:
         col = build()
