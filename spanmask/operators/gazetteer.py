@@ -53,11 +53,13 @@ def normalise_dictionary(dictionary: DataFrame, default_entity: str = "PERSON",
         .select("term", F.col("b.entity_type").alias("entity_type"), F.col("b.score").alias("score"))
 
 
-def dictionary_size(dictionary: DataFrame) -> tuple[int, int]:
-    """(rows, bytes of terms) -- one small aggregate job over the dictionary."""
+def dictionary_size(dictionary: DataFrame) -> tuple[int, int, int, int]:
+    """(rows, bytes, shortest term, longest term) -- one small aggregate job."""
     r = dictionary.agg(F.count(F.lit(1)).alias("n"),
-                       F.coalesce(F.sum(F.length("term") + F.length("entity_type") + 16), F.lit(0)).alias("b")).first()
-    return int(r["n"]), int(r["b"])
+                       F.coalesce(F.sum(F.length("term") + F.length("entity_type") + 16), F.lit(0)).alias("b"),
+                       F.coalesce(F.min(F.length("term")), F.lit(0)).alias("lo"),
+                       F.coalesce(F.max(F.length("term")), F.lit(0)).alias("hi")).first()
+    return int(r["n"]), int(r["b"]), int(r["lo"]), int(r["hi"])
 
 
 def word_rows(df: DataFrame, key: str, text_col: str) -> DataFrame:
@@ -82,10 +84,11 @@ def gazetteer_spans(
     """
     spark = df.sparkSession
     dic = normalise_dictionary(dictionary if dictionary is not None else builtin_dictionary(spark))
+    n, b, lo, hi = dictionary_size(dic)
     if broadcast is None:
-        n, b = dictionary_size(dic)
         broadcast = n <= MAX_BROADCAST_ROWS and b <= MAX_BROADCAST_BYTES
-    words = word_rows(df, key, text_col)
+    # Words shorter or longer than every term cannot match: drop them before the join.
+    words = word_rows(df, key, text_col).where(F.length("term").between(lo, hi))
     if broadcast:
         hits = words.join(F.broadcast(dic), "term", "inner")
     else:
