@@ -99,8 +99,8 @@ class Slots:
 def _pieces(path: str, size: int, end: int, keep_ids: bool):
     def run(batches):
         enc = encoder(path)
-        for part, _, _ in blocks(batches, "text"):
-            ids, counts = enc.encode(part.column("text").to_pylist(), end)
+        for part, data, offsets in blocks(batches, "text"):
+            ids, counts = enc.encode(data, offsets, end)
             n = -(-counts // size)
             doc = np.repeat(np.arange(len(counts)), n)
             nth = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)

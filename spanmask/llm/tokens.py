@@ -1,9 +1,9 @@
-"""Token ids of whole texts by a public tokenizer file, at the speed of a dictionary lookup.
+"""Token ids of whole texts by a public tokenizer file, at the speed of a table lookup.
 
 The tokenizers used here drop white space and never join characters across it,
-so the ids of a text are the ids of its white-space separated words, one after the
-other.  A task keeps the ids of the words that it has seen (up to a bound, then it
-starts afresh) and hands only new ones to the library.
+so the ids of a text are the ids of its words (runs without space or \\x09-\\x0D), one
+after the other.  A worker keeps the ids of the words that it has seen, found by their
+64-bit hash, up to a bound (then it starts afresh), and hands only new words to the library.
 """
 
 from __future__ import annotations
@@ -13,29 +13,53 @@ import re
 
 import numpy as np
 
-from .text import ragged
+from .text import find_words, ragged, sums
 
+U64 = np.uint64
 #: Words whose ids a worker keeps at most.
-MAX_WORDS = 700_000
-#: A word of plain Latin letters and at most one mark: its letters and its mark are split by every tokenizer rule here.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ž]+)([.,;:!?]?)")
-#: str.split() takes these for white space, the tokenizer does not.
-_SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
+MAX_WORDS = 1_100_000
+TABLE_BITS = 21
+#: Latin letters, then marks other than apostrophes: tokenizer rules part the two, and each has its own ids.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ž]+)([!-&(-/:-@\[-`{-~]*)")
 _END = "</w>"
 _encoders: dict[str, "Encoder"] = {}
 
 
-class _Slots(dict):
-    """word -> its number; new words are numbered in the order seen."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, word):
-        n = self[word] = len(self)
-        self.new.append(word)
-        return n
+class HashTable:
+    """64-bit hash -> small number, probed for whole arrays at once."""
+
+    def __init__(self, bits: int):
+        self.mask = U64((1 << bits) - 1)
+        self.keys = np.zeros(1 << bits, dtype=np.uint64)
+        self.values = np.zeros(1 << bits, dtype=np.int32)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The numbers; -1 where there is none."""
+        out = np.full(len(keys), -1, dtype=np.int64)
+        at = keys & self.mask
+        have = self.keys[at]
+        hit = have == keys
+        out[hit] = self.values[at[hit]]
+        left = np.flatnonzero(~hit & (have != 0))
+        while len(left):
+            at = (at[left] if len(at) != len(left) else at) + U64(1) & self.mask
+            have = self.keys[at]
+            hit = have == keys[left]
+            out[left[hit]] = self.values[at[hit]]
+            more = ~hit & (have != 0)
+            left, at = left[more], at[more]
+        return out
+
+    def add(self, keys: np.ndarray, first: int) -> None:
+        """Give distinct new keys the numbers first, first + 1, ..."""
+        values = np.arange(first, first + len(keys), dtype=np.int32)
+        at = keys & self.mask
+        while len(keys):
+            free = self.keys[at] == 0
+            self.keys[at[free]] = keys[free]
+            won = self.keys[at] == keys
+            self.values[at[won]] = values[won]
+            keys, values, at = keys[~won], values[~won], at[~won] + U64(1) & self.mask
 
 
 class Encoder:
@@ -51,15 +75,13 @@ class Encoder:
         self._reset()
 
     def _reset(self):
-        self.slots = _Slots()
+        self.table, self.known = HashTable(TABLE_BITS), 0
         self.parts: dict[str, bytes] = {}
-        self.flat = np.zeros(1 << 16, dtype=np.uint32)
-        self.first = np.zeros(1 << 14, dtype=np.int64)
-        self.used = 0
-        self.count = np.zeros(1 << 14, dtype=np.int64)
+        self.flat, self.used = np.zeros(1 << 16, dtype=np.uint32), 0
+        self.first, self.count = np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64)
 
-    def _library(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+    def _library(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32).tobytes()
 
     def _plain(self, words: list[str]):
         """Ids of new lower-case words of letters: many in one call, parted after each word-end token."""
@@ -73,72 +95,58 @@ class Encoder:
                     self.parts[word] = raw[start:end]
                     start = end
             else:
-                for word in some:
-                    self.parts[word] = np.array(self._library(word), dtype=np.uint32).tobytes()
+                self.parts.update((word, self._library(word)) for word in some)
 
-    def _learn(self, words: list[str]):
-        split, need = [], {}
+    def _learn(self, hashes: np.ndarray, words: list[str]):
         parts = self.parts
+        stems, tails, need = [], [], {}
         for word in words:
             m = _PLAIN.fullmatch(word)
             if m:
-                stem, mark = m.groups()
+                stem, tail = m.groups()
                 stem = stem.lower()
                 if stem not in parts:
                     need[stem] = None
-                split.append((stem, mark))
             else:
-                split.append(None)
+                stem, tail = None, word
+            if tail and tail not in parts and (stem is not None):
+                parts[tail] = self._library(tail)
+            stems.append(stem)
+            tails.append(tail)
         self._plain(list(need))
-        out = []
-        for word, s in zip(words, split):
-            if s is None:
-                out.append(np.array(self._library(word), dtype=np.uint32).tobytes())
-            else:
-                stem, mark = s
-                if mark and mark not in parts:
-                    parts[mark] = np.array(self._library(mark), dtype=np.uint32).tobytes()
-                out.append(parts[stem] + parts[mark] if mark else parts[stem])
-        known = len(self.slots) - len(words)
+        out = [(parts[s] + parts[t] if t else parts[s]) if s is not None else self._library(t) for s, t in zip(stems, tails)]
         sizes = np.array([len(x) >> 2 for x in out], dtype=np.int64)
-        total = int(sizes.sum())
+        total, n = int(sizes.sum()), self.known + len(out)
         self.flat = _room(self.flat, self.used + total)
-        self.first, self.count = _room(self.first, len(self.slots)), _room(self.count, len(self.slots))
+        self.first, self.count = _room(self.first, n), _room(self.count, n)
         self.flat[self.used:self.used + total] = np.frombuffer(b"".join(out), dtype=np.uint32)
-        self.first[known:known + len(out)] = self.used + np.cumsum(sizes) - sizes
-        self.count[known:known + len(out)] = sizes
-        self.used += total
-
-    def encode(self, texts: list[str | None], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, ids per text); null is empty; ``end`` follows each text if given."""
-        if len(self.slots) > MAX_WORDS:
-            self._reset()
-        index: list[int] = []
-        words_of, odd = np.zeros(len(texts), dtype=np.int64), {}
-        get = self.slots.__getitem__
-        for i, text in enumerate(texts):
-            if not text:
-                continue
-            if any(c in text for c in _SEPARATORS):
-                odd[i] = np.array(self._library(text), dtype=np.uint32)
-                continue
-            before = len(index)
-            index.extend(map(get, text.split()))
-            words_of[i] = len(index) - before
-        if self.slots.new:
-            self._learn(self.slots.new)
-            self.slots.new = []
-        at = np.array(index, dtype=np.int64)
-        sizes = self.count[at]
-        ids = self.flat[ragged(self.first[at], sizes)]
-        stops = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(words_of)]
-        counts = np.diff(stops, prepend=0)
-        if not odd and end is None:
-            return ids, counts
-        if odd:
-            ids = np.concatenate([odd.get(i, ids[stops[i] - counts[i]:stops[i]]) for i in range(len(texts))] or [ids])
-            for i, x in odd.items():
-                counts[i] = len(x)
+        self.first[self.known:n] = self.used + np.cumsum(sizes) - sizes
+        self.count[self.known:n] = sizes
+        self.table.add(hashes, self.known)
+        self.used, self.known = self.used + total, n
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, ids per text) of a block of UTF-8 texts; ``end`` follows each text if given."""
+        words = find_words(data, offsets)
+        code = words.code | U64(1) << U64(63)       # never 0
+        slot = self.table.find(code)
+        new = np.flatnonzero(slot < 0)
+        if len(new):
+            hashes, at = np.unique(code[new], return_index=True)
+            if self.known and self.known + len(hashes) > MAX_WORDS:
+                self._reset()
+                return self.encode(data, offsets, end)
+            at, raw = new[at], data.tobytes()
+            step = 1 << 18
+            for i in range(0, len(at), step):
+                some = at[i:i + step]
+                if self.known + len(some) > len(self.table.keys) * 3 // 4:
+                    raise ValueError(f"a block of {len(hashes)} different words is too large")
+                self._learn(hashes[i:i + step], [raw[a:b].decode() for a, b in zip(words.start[some].tolist(), words.end[some].tolist())])
+            slot[new] = self.table.find(code[new])
+        sizes = self.count[slot]
+        ids = self.flat[ragged(self.first[slot], sizes)]
+        counts = sums(sizes, words.ptr)
         if end is not None:
             ids = np.insert(ids, np.cumsum(counts), np.uint32(end))
             counts = counts + 1

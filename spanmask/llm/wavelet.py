@@ -141,8 +141,8 @@ def _shards(path: str, end: int):
                 ["shard", "n_tokens", "width", "doc_ids", "lengths", "planes", "ones"],
             )
 
-        for part, _, _ in blocks(batches, "text", 1 << 20):
-            got, counts = enc.encode(part.column("text").to_pylist(), end)
+        for part, data, offsets in blocks(batches, "text", 1 << 20):
+            got, counts = enc.encode(data, offsets, end)
             ids.append(got)
             docs += part.column("doc_id").to_pylist()
             lengths += counts.tolist()
