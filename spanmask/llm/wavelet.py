@@ -181,19 +181,19 @@ def _documents(batches):
             start = np.cumsum(lengths) - lengths
             crc = [zlib.crc32(ids[a:a + n]) for a, n in zip(start.tolist(), lengths.tolist())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(get("doc_ids"), pa.int64()), pa.array(start + get("before")), pa.array(lengths), pa.array(crc, pa.int64())],
-                ["doc_id", "start", "n_tokens", "ids_crc32"],
+                [pa.array([get("shard")] * len(crc), pa.int64()), pa.array(get("doc_ids"), pa.int64()), pa.array(start), pa.array(lengths), pa.array(crc, pa.int64())],
+                ["shard", "doc_id", "start", "n_tokens", "ids_crc32"],
             )
 
 
 def document_digests(spark, path: str) -> DataFrame:
     """Per document of the shard files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32."""
     files = read_shards(spark, path)
-    # One row per shard of millions of ids: the running total is over a short table.
+    # One row per shard of millions of ids: the running total is over a short table, and
+    # the files are read where they are; only a few numbers per document meet it.
     before = files.select("shard", (F.sum("n_tokens").over(Window.orderBy("shard")) - F.col("n_tokens")).alias("before"))
-    return files.join(before, "shard").select("doc_ids", "lengths", "n_tokens", "planes", "ones", "before").mapInArrow(
-        _documents, "doc_id long, start long, n_tokens long, ids_crc32 long"
-    )
+    found = files.drop("width").mapInArrow(_documents, "shard long, doc_id long, start long, n_tokens long, ids_crc32 long")
+    return found.join(before, "shard").select("doc_id", (F.col("before") + F.col("start")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def token_output(docs: DataFrame, tokenizer: str, *, end: int = 1, path: str | None = None) -> DataFrame:
