@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from typing import Mapping, Optional, Union
+from functools import lru_cache
+from typing import Mapping, Optional, Sequence, Union
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .spans import SPANS_TYPE, bind, memo, resolve_spans
+from .spans import NO_SPANS, SPANS_TYPE, resolve_sql
+from .sqltext import apply, let, lit
 
 # Operator names accepted per entity type.
 #   replace  -> "<ENTITY_TYPE>" (or the given text)
@@ -20,31 +22,51 @@ OPERATORS = ("replace", "redact", "mask", "hash", "keep")
 OperatorSpec = Union[str, tuple]
 
 
-def _apply(op: OperatorSpec, hit: Column, entity: Column) -> Column:
+def _apply(op: OperatorSpec) -> str:
+    """SQL of one operator on ``hit``, the matched text of span ``x``."""
     name, arg = (op, None) if isinstance(op, str) else (op[0], op[1])
     if name == "replace":
-        return F.lit(arg) if arg is not None else F.concat(F.lit("<"), entity, F.lit(">"))
+        return lit(arg) if arg is not None else "concat('<', x.entity_type, '>')"
     if name == "redact":
-        return F.lit("")
+        return "''"
     if name == "mask":
-        return F.mask(hit)
+        return "mask(hit)"
     if name == "hash":
-        return F.sha2(hit, 256)
+        return "sha2(hit, 256)"
     if name == "keep":
-        return hit
+        return "hit"
     raise ValueError(f"unknown operator {name!r}; choose from {OPERATORS}")
 
 
-def replacement(operators: Optional[Mapping[str, OperatorSpec]], hit: Column, entity: Column) -> Column:
-    """CASE over entity type; ``operators['DEFAULT']`` (or replace) otherwise."""
+@lru_cache(maxsize=64)
+def _rewrite_sql(operators: tuple, default: OperatorSpec, resolve: bool) -> str:
+    """Per span (gap before it, its replacement), joined, then the tail."""
+    new = _apply(default)
+    if operators:
+        cases = " ".join(f"when {lit(entity)} then {_apply(op)}" for entity, op in operators)
+        new = f"case x.entity_type {cases} else {new} end"
+    new = let("hit", "substring(v.t, x.`start` + 1, x.`end` - x.`start`)", new)
+    past = "if(i = 0, 0, r[greatest(i - 1, 0)].`end`)"
+    piece = f"concat(substring(v.t, {past} + 1, x.`start` - {past}), {new})"
+    whole = f"concat(array_join(transform(r, (x, i) -> {piece}), ''), substring(v.t, r[size(r) - 1].`end` + 1))"
+    spans = resolve_sql("v.s") if resolve else f"coalesce(v.s, {NO_SPANS})"
+    return f"if(v.t is null, null, {let('r', spans, f'if(size(r) = 0, v.t, {whole})')})"
+
+
+def _split(operators: Optional[Mapping[str, OperatorSpec]]) -> tuple[tuple, OperatorSpec]:
     operators = dict(operators or {})
     default = operators.pop("DEFAULT", "replace")
-    expr = None
-    for ent, op in operators.items():
-        cond = entity == F.lit(ent)
-        expr = F.when(cond, _apply(op, hit, entity)) if expr is None else expr.when(cond, _apply(op, hit, entity))
-    dflt = _apply(default, hit, entity)
-    return dflt if expr is None else expr.otherwise(dflt)
+    return tuple((k, tuple(v) if isinstance(v, list) else v) for k, v in sorted(operators.items())), tuple(default) if isinstance(default, list) else default
+
+
+def _cell(text: Column, spans: Column) -> Column:
+    return F.struct(text.cast("string").alias("t"), spans.cast(SPANS_TYPE).alias("s"))
+
+
+def anonymize_cells(cells: Sequence[tuple[Column, Column]], operators: Optional[Mapping[str, OperatorSpec]] = None) -> Column:
+    """:func:`anonymize_text` of several (text, spans) as one array."""
+    body = _rewrite_sql(*_split(operators), True)
+    return apply(F.array(*[_cell(t, s) for t, s in cells]), f"transform(cells, v -> {body})", "cells")
 
 
 def anonymize_text(text: Column, spans: Column, operators: Optional[Mapping[str, OperatorSpec]] = None,
@@ -52,26 +74,7 @@ def anonymize_text(text: Column, spans: Column, operators: Optional[Mapping[str,
     """Rewrite ``text`` at ``spans``; a null text stays null.
 
     Spans are resolved first (overlaps merged), then the output is built
-    as one ``array_join`` of (gap, replacement) pieces plus the tail, so
-    the cost is linear in the text length.
+    as one ``array_join`` of (gap, replacement) pieces plus the tail.
+    ``operators`` is per entity type; ``DEFAULT`` (or replace) for the others.
     """
-    key = (str(text), str(spans), repr(sorted((operators or {}).items())), resolve)
-    return memo("rewrite", key, lambda: _anonymize_text(text, spans, operators, resolve))
-
-
-def _anonymize_text(text, spans, operators, resolve) -> Column:
-    text = text.cast("string")
-    resolved = resolve_spans(spans) if resolve else F.coalesce(spans, F.array().cast(SPANS_TYPE))
-
-    def build(rs):
-        def piece(s, i):
-            prev_end = F.when(i == 0, F.lit(0)).otherwise(F.element_at(rs, i)["end"])
-            gap = text.substr(prev_end + 1, s["start"] - prev_end)
-            hit = text.substr(s["start"] + 1, s["end"] - s["start"])
-            return F.concat(gap, replacement(operators, hit, s["entity_type"]))
-
-        last_end = F.when(F.size(rs) == 0, F.lit(0)).otherwise(F.element_at(rs, -1)["end"])
-        tail = text.substr(last_end + 1, F.lit(2147483647))
-        return F.concat(F.array_join(F.transform(rs, piece), ""), tail)
-
-    return F.when(text.isNull(), F.lit(None).cast("string")).otherwise(bind(resolved, build))
+    return apply(_cell(text, spans), _rewrite_sql(*_split(operators), resolve), "v")

@@ -10,14 +10,15 @@ exclusive, so ``substring(text, start + 1, end - start)`` is the hit.
 
 from __future__ import annotations
 
-from functools import reduce
-from typing import Iterable, Sequence
+from functools import lru_cache, reduce
+from typing import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .recognizers import Recognizer, get_recognizers
+from .sqltext import apply, let, lit
 
 SPAN_TYPE = T.StructType(
     [
@@ -29,152 +30,81 @@ SPAN_TYPE = T.StructType(
 )
 SPANS_TYPE = T.ArrayType(SPAN_TYPE)
 
-# Span plus the matched text, used while validating.
-_HIT_TYPE = T.StructType(SPAN_TYPE.fields + [T.StructField("text", T.StringType())])
-
-
-_BUILT: "OrderedDict" = None
-_BUILT_MAX = 512
-
-
-def memo(kind: str, key, build):
-    """Reuse a built expression within the active Spark context.
-
-    A span expression is a few thousand nodes, each made by a py4j call on
-    the driver (seconds per column); the tree depends only on the
-    recognisers and the input expression, so it is built once per session
-    and reused by every later scan of the same column.
-    """
-    global _BUILT
-    from collections import OrderedDict
-
-    from pyspark import SparkContext
-
-    if _BUILT is None:
-        _BUILT = OrderedDict()
-    k = (SparkContext._active_spark_context, kind, key)  # the context itself: ids can be reused
-    col = _BUILT.get(k)
-    if col is None:
-        col = build()
-        _BUILT[k] = col
-        if len(_BUILT) > _BUILT_MAX:
-            _BUILT.popitem(last=False)
-    else:
-        _BUILT.move_to_end(k)
-    return col
+_FIELDS = "entity_type: string, `start`: int, `end`: int, score: double"
+NO_SPANS = f"cast(array() as array<struct<{_FIELDS}>>)"
+# Spans plus the matched text, used while validating.
+_NO_HITS = f"cast(array() as array<struct<{_FIELDS}, `text`: string>>)"
 
 
 def _empty(dtype: T.DataType) -> Column:
     return F.array().cast(T.ArrayType(dtype))
 
 
-def bind(value: Column, fn) -> Column:
-    """Evaluate ``value`` once and hand it to ``fn`` as a lambda variable.
-
-    Spark does not share a subexpression used several times inside a
-    higher-order function; binding it through a one-element ``transform``
-    computes it once per row.
-    """
-    return F.element_at(F.transform(F.array(value), fn), 1)
-
-
-def prefix_scan(arr: Column, op, zero: Column = None, block: int = 64) -> Column:
-    """Inclusive prefix scan of an int array (``op`` = add, greatest, ...).
+def prefix_scan_sql(array: str, step: str, zero: str = "0", block: int = 64) -> str:
+    """Inclusive prefix scan of an int array; ``step`` combines ``s`` and ``x``.
 
     A fold that appends to an array copies it at every step, O(k^2) for a
-    cell with k hits.  Here the array is cut into blocks of ``block``:
-    block totals (one pass), an exclusive fold over the k/block totals,
-    then each element adds its in-block prefix.  Cost O(block * k +
-    (k / block)^2), exact for any k, with a small expression tree.
+    cell with k hits.  Here the array is cut into blocks: totals of the blocks,
+    an exclusive fold over the k/block totals, then each element adds its
+    in-block prefix.  Cost O(block * k + (k / block)^2 / 2) array cells copied.
     """
+    at = f"cast(i div {block} as int)"
+    combine = lambda a, b: step.replace("{s}", a).replace("{x}", b)
+    totals = f"transform(sequence(0, cast((size(a) - 1) div {block} as int)), b -> aggregate(slice(a, b * {block} + 1, {block}), {zero}, (s, x) -> {combine('s', 'x')}))"
+    before = (
+        f"aggregate(totals, named_struct('run', {zero}, 'out', cast(array() as array<int>)), "
+        f"(acc, x) -> named_struct('run', {combine('acc.run', 'x')}, 'out', array_append(acc.out, acc.run)), acc -> acc.out)"
+    )
+    inside = f"aggregate(slice(a, {at} * {block} + 1, i - {at} * {block} + 1), {zero}, (s, y) -> {combine('s', 'y')})"
+    each = f"transform(a, (x, i) -> {combine(f'before[{at}]', inside)})"
+    return let("a", array, f"if(size(a) = 0, a, {let('totals', totals, let('before', before, each))})")
 
-    zero = F.lit(0) if zero is None else zero
-    fn = op
-    op = lambda x, y: fn(x, y)  # noqa: E731  (HOF lambdas need positional parameters)
-
-    def with_arr(a):
-        n = F.size(a)
-        blk = F.lit(block)
-
-        def blk_of(i):
-            return F.floor(i / blk).cast("int")
-
-        def with_totals(totals):
-            excl = F.aggregate(
-                totals,
-                F.struct(zero.alias("run"), F.array().cast(T.ArrayType(T.IntegerType())).alias("out")),
-                lambda acc, t: F.struct(op(acc["run"], t).alias("run"),
-                                        F.array_append(acc["out"], acc["run"]).alias("out")),
-                lambda acc: acc["out"],
-            )
-
-            def with_prefix(bp):
-                return F.transform(a, lambda x, i: op(
-                    F.element_at(bp, blk_of(i) + 1),
-                    F.aggregate(F.slice(a, blk_of(i) * blk + 1, i - blk_of(i) * blk + 1), zero, op),
-                ))
-
-            return bind(excl, with_prefix)
-
-        totals = F.transform(
-            F.sequence(F.lit(0), F.floor((n - 1) / blk).cast("int")),
-            lambda b: F.aggregate(F.slice(a, b * blk + 1, blk), zero, op),
-        )
-        return F.when(n == 0, a).otherwise(bind(totals, with_totals))
 
-    return bind(arr, with_arr)
+SUM, LATEST = "{s} + {x}", "greatest({s}, {x})"
 
 
-def _hits(text: Column, rec: Recognizer) -> Column:
-    """array<span + text> of every non-overlapping match of one pattern.
+def _hits_sql(rec: Recognizer) -> str:
+    """array<span + text> of every non-overlapping match of one pattern in ``t``.
 
     ``regexp_extract_all`` gives the matches and ``split(.., -1)`` the
     pieces between them (both walk the same ``Matcher.find`` sequence).
     Interleaving their lengths (piece 0, match 0, piece 1, ...) and taking
     prefix sums gives every match's start and end.  The split runs only
     for cells with a match, and the regex not at all for cells lacking the
-    hint.
+    hint.  A null ``t`` has no match.
     """
-    matches = F.regexp_extract_all(text, F.lit(rec.pattern), F.lit(0))
-
-    def with_matches(m):
-        def with_pieces(p):
-            lens = F.flatten(F.transform(m, lambda x, i: F.array(F.length(F.element_at(p, i + 1)), F.length(x))))
+    pattern = lit(rec.java or rec.pattern)
+    lengths = "flatten(transform(m, (x, i) -> array(length(p[i]), length(x))))"
+    hits = (
+        f"transform(m, (x, i) -> named_struct('entity_type', {lit(rec.entity_type)}, 'start', sums[2 * i], "
+        f"'end', sums[2 * i + 1], 'score', {float(rec.score)!r}D, 'text', x))"
+    )
+    if rec.validator:
+        hits = f"filter({hits}, h -> {rec.validator}(h.text))"
+    found = let("p", f"split(t, {pattern}, -1)", let("sums", prefix_scan_sql(lengths, SUM), hits))
+    found = let("m", f"regexp_extract_all(t, {pattern}, 0)", f"if(size(m) > 0, {found}, {_NO_HITS})")
+    return f"if(instr(t, {lit(rec.hint)}) > 0, {found}, {_NO_HITS})" if rec.hint else found
 
-            def with_sums(sums):
-                hits = F.transform(m, lambda x, i: F.struct(
-                    F.lit(rec.entity_type).alias("entity_type"),
-                    F.element_at(sums, 2 * i + 1).cast("int").alias("start"),
-                    F.element_at(sums, 2 * i + 2).cast("int").alias("end"),
-                    F.lit(float(rec.score)).alias("score"),
-                    x.alias("text"),
-                ))
-                if rec.validator:
-                    hits = F.filter(hits, lambda h: F.call_function(rec.validator, h["text"]))
-                return hits
 
-            return bind(prefix_scan(lens, lambda a, b: a + b), with_sums)
+def _sorted_sql(spans: str) -> str:
+    """Order by (start, end desc, entity_type): the natural order of a key struct, no comparator."""
+    keyed = f"transform({spans}, x -> named_struct('a', x.`start`, 'b', -x.`end`, 'c', x.entity_type, 'x', x))"
+    return f"transform(array_sort({keyed}), k -> k.x)"
 
-        return F.when(F.size(m) > 0, bind(F.split(text, rec.pattern, -1), with_pieces)).otherwise(_empty(_HIT_TYPE))
 
-    hits = bind(matches, with_matches)
-    if rec.hint:
-        hits = F.when(F.instr(text, rec.hint) > 0, hits).otherwise(_empty(_HIT_TYPE))
-    return F.when(text.isNull(), _empty(_HIT_TYPE)).otherwise(hits)
+@lru_cache(maxsize=256)
+def _detect_sql(recognizers: tuple, texts: bool) -> str:
+    if not recognizers:
+        return _NO_HITS if texts else NO_SPANS
+    hits = _sorted_sql(f"concat({', '.join(map(_hits_sql, recognizers))})")
+    if texts:
+        return hits
+    return f"transform({hits}, h -> named_struct('entity_type', h.entity_type, 'start', h.`start`, 'end', h.`end`, 'score', h.score))"
 
 
 def detect_hits(text: Column, recognizers: Sequence[Recognizer]) -> Column:
     """Like :func:`detect` but each span keeps the matched ``text``."""
-    recs = tuple(recognizers)
-    return memo("hits", (str(text), recs), lambda: _detect_hits(text, recs))
-
-
-def _detect_hits(text: Column, recognizers: Sequence[Recognizer]) -> Column:
-    parts = [_hits(text, r) for r in recognizers]
-    if not parts:
-        return _empty(_HIT_TYPE)
-    allhits = parts[0] if len(parts) == 1 else F.concat(*parts)
-    return sort_spans(allhits)
+    return apply(text.cast("string"), _detect_sql(tuple(recognizers), True))
 
 
 def detect(text: Column, recognizers=None) -> Column:
@@ -184,28 +114,31 @@ def detect(text: Column, recognizers=None) -> Column:
     ordered by (start, end desc, entity_type).  Overlaps between entities
     are kept; :func:`resolve_spans` merges them before rewriting.
     """
-    recs = tuple(as_recognizers(recognizers))
-    return memo("detect", (str(text), recs), lambda: _detect(text, recs))
+    return apply(text.cast("string"), _detect_sql(tuple(as_recognizers(recognizers)), False)).cast(SPANS_TYPE)
 
 
-def _detect(text: Column, recs) -> Column:
-    hits = detect_hits(text.cast("string"), recs)
-    return F.transform(
-        hits,
-        lambda h: F.struct(h["entity_type"], h["start"], h["end"], h["score"]),
-    ).cast(SPANS_TYPE)
+def detect_cells(texts: Sequence[Column], recognizers=None) -> Column:
+    """:func:`detect` of several columns as one array: a wide table costs one span expression, not one per column."""
+    body = _detect_sql(tuple(as_recognizers(recognizers)), False)
+    cells = F.array(*[t.cast("string") for t in texts])
+    return apply(cells, f"transform(cells, t -> {body})", "cells").cast(T.ArrayType(SPANS_TYPE))
 
 
 def sort_spans(spans: Column) -> Column:
-    """Order spans by (start asc, end desc, entity_type asc) using the
-    natural ordering of a key struct (no comparator lambda)."""
-    keyed = F.transform(
-        spans,
-        lambda s: F.struct(
-            s["start"].alias("k1"), (-s["end"]).alias("k2"), s["entity_type"].alias("k3"), s.alias("s")
-        ),
-    )
-    return F.transform(F.array_sort(keyed), lambda k: k["s"])
+    """Order spans by (start asc, end desc, entity_type asc)."""
+    return apply(spans, _sorted_sql("t"))
+
+
+@lru_cache(maxsize=8)
+def resolve_sql(spans: str) -> str:
+    """The islands of an array of spans; see :func:`resolve_spans`."""
+    heads = "filter(sequence(0, size(s) - 1), i -> i = 0 or s[i].`start` >= ends[greatest(i - 1, 0)])"
+    island = let("nxt", "if(j + 1 < size(heads), heads[j + 1], size(s))", let(
+        "best", "aggregate(slice(s, head + 1, nxt - head), s[head], (b, x) -> if(x.score > b.score, x, b))",
+        "named_struct('entity_type', best.entity_type, 'start', s[head].`start`, 'end', ends[nxt - 1], 'score', best.score)",
+    ))
+    islands = let("ends", prefix_scan_sql("transform(s, x -> x.`end`)", LATEST), let("heads", heads, f"transform(heads, (head, j) -> {island})"))
+    return let("s", _sorted_sql(f"coalesce({spans}, {NO_SPANS})"), f"if(size(s) = 0, {NO_SPANS}, {islands})")
 
 
 def resolve_spans(spans: Column) -> Column:
@@ -216,48 +149,11 @@ def resolve_spans(spans: Column) -> Column:
     label and score of its highest-scoring member (ties: first in sort
     order).  Touching spans stay apart.  A null array counts as empty.
 
-    Linear-time shape: the running end is a prefix max; island heads are
-    the spans starting at or after the running end of all earlier spans;
-    each island's label comes from one pass over its own members.
+    The running end is a prefix max; island heads are the spans starting
+    at or after the running end of all earlier spans; each island's label
+    comes from one pass over its own members.
     """
-    return memo("resolve", str(spans), lambda: _resolve_spans(spans))
-
-
-def _resolve_spans(spans: Column) -> Column:
-    sorted_spans = sort_spans(F.coalesce(spans, _empty(SPAN_TYPE)).cast(SPANS_TYPE))
-
-    def with_sorted(s):
-        k = F.size(s)
-
-        def with_runmax(mx):
-            heads = F.filter(
-                F.sequence(F.lit(0), k - 1),
-                lambda i: (i == 0) | (F.element_at(s, i + 1)["start"] >= F.element_at(mx, F.greatest(i, F.lit(1)))),
-            )
-
-            def with_heads(h):
-                def island(head, j):
-                    nxt = F.when(j + 1 < F.size(h), F.element_at(h, j + 2)).otherwise(k)
-                    first = F.element_at(s, head + 1)
-                    best = F.aggregate(
-                        F.slice(s, head + 1, nxt - head), first,
-                        lambda b, x: F.when(x["score"] > b["score"], x).otherwise(b),
-                    )
-                    return F.struct(
-                        best["entity_type"].alias("entity_type"),
-                        first["start"].alias("start"),
-                        F.element_at(mx, nxt).alias("end"),
-                        best["score"].alias("score"),
-                    )
-
-                return F.transform(h, island)
-
-            return F.when(k == 0, _empty(SPAN_TYPE)).otherwise(bind(heads, with_heads))
-
-        ends = F.transform(s, lambda x: x["end"])
-        return bind(prefix_scan(ends, F.greatest), with_runmax)
-
-    return bind(sorted_spans, with_sorted).cast(SPANS_TYPE)
+    return apply(spans.cast(SPANS_TYPE), resolve_sql("t")).cast(SPANS_TYPE)
 
 
 def as_recognizers(recognizers) -> list[Recognizer]:

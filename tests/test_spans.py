@@ -1,7 +1,12 @@
 """Span detection on edge rows."""
 
+import itertools
+import time
+
 import re
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from spanmask import detect, get_recognizers
@@ -90,3 +95,66 @@ def test_get_recognizers():
     assert [r.entity_type for r in get_recognizers()] == [
         "EMAIL_ADDRESS", "IP_ADDRESS", "CREDIT_CARD", "PHONE_NUMBER", "SECRET_TOKEN"]
     assert len(get_recognizers("ALL")) == 6
+
+
+def test_columns_of_two_tables_keep_their_own_spans(spark):
+    a = spark.createDataFrame([(1, "mail a@b.co")], "id int, text string")
+    b = spark.createDataFrame([(1, "some more words and c@d.org")], "id int, text string")
+    r = a.join(b, a["id"] == b["id"]).select(detect(a["text"]).alias("x"), detect(b["text"]).alias("y")).first()
+    assert [(s.start, s.end) for s in r.x] == [(5, 11)] and [(s.start, s.end) for s in r.y] == [(20, 27)]
+    again = b.select(detect(F.col("text")).alias("z")).first()          # a bound column leaves nothing behind
+    assert [(s.start, s.end) for s in again.z] == [(20, 27)]
+
+
+def test_fifty_columns_build_in_seconds(spark):
+    from spanmask import anonymize, scan
+
+    df = spark.createDataFrame([tuple("x" for _ in range(50))], ", ".join(f"c{i} string" for i in range(50)))
+    anonymize(scan(df.select("c0", "c1")))                  # JVM classes loaded
+    t = time.time()
+    anonymize(scan(df))
+    assert time.time() - t < 5
+
+
+@pytest.mark.parametrize("text,want", [
+    ("x@" + "a." * 100_000 + "com tail", [(0, 200_005)]),
+    ("x@" + "a." * 100_000 + "1", []),
+    ("w" * 1_000_000 + " a@b.co", [(1_000_001, 1_000_007)]),
+    ("a@b.co " + "w" * 1_000_000, [(0, 6)]),
+    ("a@" * 100_000, []),
+    ("x@" + "q" * 500_000, []),
+])
+def test_email_pattern_is_linear(spark, text, want):
+    df = spark.createDataFrame([("warm@up.org",), (text,)], "t string")
+    one = lambda v: [(s.start, s.end) for s in df.where(v).select(detect(F.col("t"), [EMAIL]).alias("s")).first().s]
+    one(F.col("t") == "warm@up.org")
+    t = time.time()
+    assert one(F.col("t") != "warm@up.org") == want
+    assert time.time() - t < 3
+
+
+def test_email_spellings_agree(spark):
+    """The linear spelling against the plain pattern, on strings of the characters that matter."""
+    import random
+
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("ab.@-1 _") for _ in range(rng.randint(1, 40))) for _ in range(4000)]
+    texts += ["a@b.com-x@y.de", "a@b..com", "a@b.c1.com-x", "a@b.co@c.de", "a@b.co1.x", "a@b.1x.co2", "%a@-.-.ab"]
+    want = [[("EMAIL_ADDRESS", m.start(), m.end()) for m in re.finditer(EMAIL.pattern, t)] for t in texts]
+    assert spans_of(spark, texts, [EMAIL]) == want
+
+
+def test_long_secret_is_one_hit(spark):
+    assert spans_of(spark, ["k " + "0a" * 32 + " end"], [BUILTIN["SECRET_TOKEN"]]) == [[("SECRET_TOKEN", 2, 66)]]
+
+
+def test_prefix_scan(spark):
+    from spanmask.functions.spans import LATEST, SUM, prefix_scan_sql
+    from spanmask.functions.sqltext import apply
+
+    rows = [[], [3], list(range(64)), [5, -2, 7] * 43, list(range(100_000, 0, -1))]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, a array<int>")
+    got = df.select("i", apply(F.col("a"), prefix_scan_sql("t", SUM.replace("+", "^"))).alias("s"), apply(F.col("a"), prefix_scan_sql("t", LATEST)).alias("m")).orderBy("i").collect()
+    for r, a in zip(got, rows):
+        assert r.m == list(itertools.accumulate(a, lambda x, y: max(x, y, 0))) if not a or a[0] >= 0 else True
+        assert r.s == list(itertools.accumulate(a, lambda x, y: x ^ y))
