@@ -2,8 +2,8 @@
 
 Native recognisers cover patterns; a model or a library detector runs here
 as an iterator pandas UDF, so whatever it loads is built once per task and
-fed whole Arrow batches.  The UDF returns the same span array as
-``spans.detect``, so it drops into ``scan(detector=...)`` unchanged.
+fed whole Arrow batches.  The UDFs return the same span arrays as
+``spans.detect``, so they drop into ``scan(detector=...)`` unchanged.
 """
 
 from __future__ import annotations
@@ -19,102 +19,103 @@ from pyspark.sql import types as T
 from .recognizers import Recognizer
 from .spans import SPANS_TYPE
 
-TOKEN_TYPE = T.StructType(
-    [
-        T.StructField("term", T.StringType()),
-        T.StructField("start", T.IntegerType()),
-        T.StructField("end", T.IntegerType()),
-    ]
-)
-
-try:  # Unicode letter classes (\p{L}); plain ``re`` approximates them.
-    import regex as _regex
+SpanFn = Callable[[str], list]
+BatchFn = Callable[[list], list]
+NAMES = ("entity_type", "start", "end", "score")
 
-    _WORD = _regex.compile(r"\p{L}+")
-except ImportError:  # pragma: no cover
-    _WORD = re.compile(r"[^\W\d_]+")
 
-# Token pattern for the dictionary recogniser, in RE2/Java spelling.
-WORD_PATTERN_SQL = r"\p{L}+"
+def _spans(fn: BatchFn, texts: pd.Series) -> pd.Series:
+    """The spans of each text; nulls are not handed to ``fn`` and have none."""
+    known = texts[texts.notna()]
+    found = list(fn(known.tolist())) if len(known) else []
+    if len(found) != len(known):
+        raise ValueError(f"the detector returned {len(found)} results for {len(known)} texts")
+    out = pd.Series([[]] * len(texts), index=texts.index, dtype=object)
+    for at, spans in zip(known.index, found):
+        out.at[at] = [dict(zip(NAMES, (e, int(a), int(b), float(s)))) for e, a, b, s in spans]
+    return out
 
-SpanFn = Callable[[str], list]
 
+def register_batch_detector(factory: Callable[[], BatchFn]) -> Callable[[Column], Column]:
+    """A span detector column function from a detector of many texts at once.
 
-def register_detector(fn_factory: Callable[[], SpanFn]) -> Callable[[Column], Column]:
-    """Turn ``fn_factory`` into a span detector column function.
-
-    ``fn_factory()`` is called once per task and returns ``text -> list of
-    (entity_type, start, end, score)``; offsets are code points.
+    ``factory()`` is called once per task and returns ``list of texts -> list of
+    span lists`` (entity_type, start, end, score); offsets are code points.
     """
 
     @F.pandas_udf(SPANS_TYPE)
     def _detect(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        fn = fn_factory()
-        for s in batches:
-            yield s.map(lambda t: [] if t is None else [
-                {"entity_type": e, "start": int(a), "end": int(b), "score": float(sc)} for e, a, b, sc in fn(t)
-            ])
+        fn = factory()
+        for texts in batches:
+            yield _spans(fn, texts)
 
     return lambda c: _detect(c.cast("string"))
 
 
-def python_regex_detector(recognizers: Sequence[Recognizer]) -> Callable[[Column], Column]:
-    """Plug-in twin of the native recognisers, running Python ``re``.
+def register_detector(fn_factory: Callable[[], SpanFn]) -> Callable[[Column], Column]:
+    """Like :func:`register_batch_detector` for a detector of one text."""
+
+    def factory():
+        fn = fn_factory()
+        return lambda texts: [fn(t) for t in texts]
+
+    return register_batch_detector(factory)
+
 
-    Only for recognisers without a validator; used to prove that a
-    plug-in detector gives the same spans as the native expression.
+def register_row_detector(factory: Callable[[], BatchFn]) -> Callable[[Sequence[Column]], Column]:
+    """A function from several columns to an array of their span arrays.
+
+    All columns of a batch of rows cross to Python once and are handed to the
+    detector in one call.
     """
-    specs = [(r.entity_type, r.pattern, r.score) for r in recognizers if not r.validator]
 
-    def factory():
-        compiled = [(e, re.compile(p, re.ASCII), sc) for e, p, sc in specs]
+    @F.pandas_udf(T.ArrayType(SPANS_TYPE))
+    def _detect(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        fn = factory()
+        for rows in batches:
+            cells = pd.Series([cell for row in rows for cell in row], dtype=object)
+            spans, at, out = _spans(fn, cells).tolist(), 0, []
+            for row in rows:
+                out.append(spans[at:at + len(row)])
+                at += len(row)
+            yield pd.Series(out, dtype=object)
 
-        def fn(text):
-            out = []
-            for e, rx, sc in compiled:
-                out.extend((e, m.start(), m.end(), sc) for m in rx.finditer(text))
-            out.sort(key=lambda x: (x[1], -x[2], x[0]))
-            return out
+    return lambda columns: _detect(F.array(*[c.cast("string") for c in columns]))
 
-        return fn
 
-    return register_detector(factory)
+def luhn(digits: str) -> bool:
+    total = 0
+    for i, d in enumerate(reversed(digits)):
+        x = int(d) * (1 + i % 2)
+        total += x - 9 if x > 9 else x
+    return bool(digits) and total % 10 == 0
 
 
-WORDS_TYPE = T.StructType(
-    [
-        T.StructField("terms", T.ArrayType(T.StringType())),
-        T.StructField("starts", T.ArrayType(T.IntegerType())),
-        T.StructField("ends", T.ArrayType(T.IntegerType())),
-    ]
-)
+VALIDATORS = {"luhn_check": luhn}
 
 
-def _cut(t):
-    if t is None:
-        return None, None, None
-    terms, starts, ends = [], [], []
-    for m in _WORD.finditer(t):
-        terms.append(m.group())
-        starts.append(m.start())
-        ends.append(m.end())
-    return terms, starts, ends
+def python_regex_factory(recognizers: Sequence[Recognizer]) -> Callable[[], BatchFn]:
+    """The recognisers as a Python batch detector, validators included."""
+    unknown = {r.validator for r in recognizers if r.validator} - set(VALIDATORS)
+    if unknown:
+        raise ValueError(f"no Python form of {sorted(unknown)}")
+    specs = [(r.entity_type, r.pattern, r.score, r.validator) for r in recognizers]
 
+    def factory():
+        compiled = [(e, re.compile(p), s, VALIDATORS.get(v)) for e, p, s, v in specs]
 
-@F.pandas_udf(WORDS_TYPE)
-def _word_columns(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    for s in batches:
-        cut = [_cut(t) for t in s]
-        yield pd.DataFrame({"terms": [c[0] for c in cut], "starts": [c[1] for c in cut],
-                            "ends": [c[2] for c in cut]})
+        def one(text):
+            out = [
+                (e, m.start(), m.end(), s) for e, rx, s, valid in compiled for m in rx.finditer(text)
+                if valid is None or valid(m.group())
+            ]
+            return sorted(out, key=lambda x: (x[1], -x[2], x[0]))
 
+        return lambda texts: [one(t) for t in texts]
 
-def word_tokens(text: Column) -> Column:
-    """``array<struct<term,start,end>>``: every run of letters with its
-    code-point offsets, cut in one linear pass per text.
+    return factory
 
-    The Python side returns three flat arrays (cheap to move through
-    Arrow); they are zipped back into structs in the JVM.
-    """
-    w = _word_columns(text)
-    return F.arrays_zip(w["terms"].alias("term"), w["starts"].alias("start"), w["ends"].alias("end"))
+
+def python_regex_detector(recognizers: Sequence[Recognizer]) -> Callable[[Column], Column]:
+    """Plug-in twin of the native recognisers, running Python ``re``; it gives the same spans."""
+    return register_batch_detector(python_regex_factory(recognizers))

@@ -12,9 +12,10 @@ from typing import Mapping, Optional
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.recognizers import PII_MASKED
-from ..functions.rewrite import anonymize_text
+from ..functions.rewrite import anonymize_cells, anonymize_text
 from ..functions.spans import SPANS_TYPE
 from .columns import RESULT_COL, q, result_columns, spans_col
 
@@ -32,13 +33,22 @@ def anonymize(
 
     Analysed columns are rewritten at their spans (``operators`` per entity
     type, default ``<ENTITY_TYPE>``); known columns become ``token``; every
-    other column, and the column order, is unchanged.  The result column
+    other column, and the column order, is unchanged, and so are the types of the
+    analysed columns: a cell that is not a string keeps its value, or is null if
+    anything was found in it.  The result column
     is dropped unless ``keep_result``.  ``parallelism`` repartitions
     before the rewrite, never after it.
     """
     analysed, known = result_columns(df, result_col)
     known_set, analysed_set = set(known), set(analysed)
     base = df.repartition(parallelism) if parallelism else df
+    texts = [c for c in df.columns if c in analysed_set and isinstance(df.schema[c].dataType, T.StringType)]
+    if len(texts) > 1:      # one rewrite expression for all of them; a name that no column has
+        cells = "_" * (1 + max(map(len, df.columns)))
+        base = base.withColumn(cells, anonymize_cells([(q(c), spans_col(df, c, result_col)) for c in texts], operators))
+        new = {c: F.col(cells)[i] for i, c in enumerate(texts)}
+    else:
+        new = {c: anonymize_text(q(c), spans_col(df, c, result_col), operators) for c in texts}
     out = []
     for c in df.columns:
         if c == result_col:
@@ -51,7 +61,8 @@ def anonymize(
             else:
                 out.append(F.when(q(c).isNull(), F.lit(None).cast("string")).otherwise(F.lit(token)).alias(c))
         elif c in analysed_set:
-            out.append(anonymize_text(q(c), spans_col(df, c, result_col), operators).alias(c))
+            found = F.coalesce(F.size(spans_col(df, c, result_col)), F.lit(0)) > 0
+            out.append((new[c] if c in new else F.when(~found, q(c))).alias(c))
         else:
             out.append(q(c))
     return base.select(*out)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import warnings
 from dataclasses import dataclass
-from typing import Iterable, Optional, Sequence
+from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,12 +25,6 @@ def q(name: str) -> Column:
     return F.col(f"`{name.replace('`', '``')}`")
 
 
-def get_selection(selection: Iterable[str], all_options: Sequence[str]) -> list[str]:
-    """``ALL`` in a multi-choice selection expands to every option."""
-    sel = parse_list(selection)
-    return list(all_options) if "ALL" in sel else sel
-
-
 @dataclass(frozen=True)
 class ColumnPlan:
     scanned: list
@@ -39,6 +33,8 @@ class ColumnPlan:
 
 
 def plan_columns(df: DataFrame, exclude=(), known=(), include=("ALL",), strings_only: bool = False) -> ColumnPlan:
+    """Which columns are scanned: of ``include`` (``ALL``: every column) those not in ``exclude``,
+    not in ``known`` and, with ``strings_only``, of string type; in schema order."""
     names = df.columns
     excl = set(parse_list(exclude))
     known_l = parse_list(known)
@@ -46,11 +42,12 @@ def plan_columns(df: DataFrame, exclude=(), known=(), include=("ALL",), strings_
     if missing:
         warnings.warn(f"known PII columns not in table, ignored: {missing}")
     known_l = [k for k in known_l if k in names]
-    inc = get_selection(include, names)
+    wanted = set(parse_list(include))
+    everything = "ALL" in wanted
     types = {f.name: f.dataType for f in df.schema.fields}
     scanned = [
         c for c in names
-        if c in inc and c not in excl and c not in known_l and c != RESULT_COL
+        if (everything or c in wanted) and c not in excl and c not in known_l and c != RESULT_COL
         and (not strings_only or isinstance(types[c], T.StringType))
     ]
     return ColumnPlan(scanned=scanned, excluded=[c for c in names if c in excl], known=known_l)

@@ -1,23 +1,33 @@
 """Dictionary (gazetteer) recogniser: names and places by lookup.
 
-Words are cut by an Arrow tokeniser (one linear pass per text), exploded
-to one row per word, and equi-joined with the dictionary on the
-lower-cased term.  The dictionary side is broadcast only after its size is
-measured; above the limit the join is a shuffle join with the word side
-salted, so a very common word (``the`` can be a third of all words) is
-spread over ``salt`` tasks instead of landing in one.
+A candidate is one to ``n`` consecutive words (runs of letters) of a text, where
+``n`` is the largest number of words in a dictionary term, as written between the first and
+the last of them; it matches a term if the two are equal in lower case with white space
+runs as one space, so ``new york`` and ``o'brien`` are found.  A term with several
+labels gives one span for each; overlap resolution chooses among them.
+
+The lookup has two forms with equal results.  A dictionary whose measured size in bytes is
+within the broadcast limit goes to the tasks as a set and texts are probed in one Arrow pass.
+For a larger one the tasks get a bit filter of bounded size, built by Spark from the terms;
+candidates that pass it are joined with the dictionary on the term.  Words outside the
+dictionary are gone by then, and hot terms are split by adaptive skew join.
 """
 
 from __future__ import annotations
 
-from typing import Iterable, Optional
+import zlib
+from typing import Iterator, Optional
 
+import numpy as np
+import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.spans import SPANS_TYPE
-from ..functions.udf import word_tokens
-from .columns import q
+from ..functions.spans import SPANS_TYPE, concat_spans
+from ..functions.udf import register_batch_detector
+from .columns import RESULT_COL, pack_result, q, result_columns, spans_col
 
 # --- fixed values --------------------------------------------------------
 # Small built-in dictionary (lower case): common given names and European
@@ -29,9 +39,16 @@ PLACE_NAMES = ("berlin", "lyon", "london", "madrid", "munich", "paris", "rome",
 GAZETTEER_SCORE = 0.5
 # -------------------------------------------------------------------------
 
-# Broadcast limits for the dictionary side of the join.
-MAX_BROADCAST_ROWS = 2_000_000
-MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+#: Bytes of terms and labels up to which a dictionary is broadcast.
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+#: Bits of the filter for larger dictionaries (2**26: 8 MB).
+FILTER_BITS = 26
+
+WORDS = r"\p{L}+"
+_WORD = regex.compile(WORDS)
+_CANDIDATES = T.ArrayType(T.StructType([
+    T.StructField("term", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()),
+]))
 
 
 def builtin_dictionary(spark: SparkSession) -> DataFrame:
@@ -42,30 +59,96 @@ def builtin_dictionary(spark: SparkSession) -> DataFrame:
 
 def normalise_dictionary(dictionary: DataFrame, default_entity: str = "PERSON",
                          default_score: float = GAZETTEER_SCORE) -> DataFrame:
+    """``term, entity_type, score``: terms in lower case, white space runs as one space; the best score per label."""
     cols = dictionary.columns
+    term = F.trim(F.regexp_replace(F.lower(F.col("term")), r"\s+", " "))
     d = dictionary.select(
-        F.lower(F.col("term")).alias("term"),
+        term.alias("term"),
         (F.col("entity_type") if "entity_type" in cols else F.lit(default_entity)).alias("entity_type"),
         (F.col("score").cast("double") if "score" in cols else F.lit(float(default_score))).alias("score"),
-    ).where(F.col("term").isNotNull() & (F.length("term") > 0))
-    # One label per term: highest score, then entity name.
-    return d.groupBy("term").agg(F.max_by(F.struct("score", "entity_type"), F.struct("score", "entity_type")).alias("b")) \
-        .select("term", F.col("b.entity_type").alias("entity_type"), F.col("b.score").alias("score"))
+    ).where(F.coalesce(F.length("term"), F.lit(0)) > 0)
+    return d.groupBy("term", "entity_type").agg(F.max("score").alias("score"))
+
+
+def measure_dictionary(terms: DataFrame) -> tuple[int, int]:
+    """(bytes, words in the longest term) of a normalised dictionary -- one small aggregate job.
+
+    A term that does not begin and end with a letter could never match, and is an error.
+    """
+    edges = F.col("term").rlike(r"^\p{L}") & F.col("term").rlike(r"\p{L}$")
+    r = terms.agg(
+        F.coalesce(F.sum(F.octet_length("term") + F.octet_length("entity_type") + 16), F.lit(0)).alias("bytes"),
+        F.coalesce(F.max(F.regexp_count("term", F.lit(WORDS))), F.lit(0)).alias("words"),
+        F.min(F.when(~edges, F.col("term"))).alias("odd"),
+    ).first()
+    if r["odd"] is not None:
+        raise ValueError(f"dictionary terms must begin and end with a letter: {r['odd']!r}")
+    return int(r["bytes"]), int(r["words"])
+
+
+def candidates(text: str, n: int) -> Iterator[tuple[str, int, int]]:
+    """(normalised words, start, end) of one to n consecutive words."""
+    words = [(m.start(), m.end()) for m in _WORD.finditer(text)]
+    for i, (start, _) in enumerate(words):
+        for _, end in words[i:i + n]:
+            yield " ".join(text[start:end].lower().split()), start, end
 
 
-def dictionary_size(dictionary: DataFrame) -> tuple[int, int, int, int]:
-    """(rows, bytes, shortest term, longest term) -- one small aggregate job."""
-    r = dictionary.agg(F.count(F.lit(1)).alias("n"),
-                       F.coalesce(F.sum(F.length("term") + F.length("entity_type") + 16), F.lit(0)).alias("b"),
-                       F.coalesce(F.min(F.length("term")), F.lit(0)).alias("lo"),
-                       F.coalesce(F.max(F.length("term")), F.lit(0)).alias("hi")).first()
-    return int(r["n"]), int(r["b"]), int(r["lo"]), int(r["hi"])
+def _bit(term: str, bits: int) -> int:
+    return zlib.crc32(term.encode()) & ((1 << bits) - 1)
 
 
-def word_rows(df: DataFrame, key: str, text_col: str) -> DataFrame:
-    """One row per word: key, word (as written), term (lower case), start, end."""
-    w = df.select(q(key).alias(key), F.inline(word_tokens(q(text_col).cast("string"))))
-    return w.select(key, F.col("term").alias("word"), F.lower("term").alias("term"), "start", "end")
+def gazetteer_detector(dictionary: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES):
+    """Span detector of a dictionary whose measured size is within ``max_bytes``; for ``scan(detector=...)``.
+
+    A larger dictionary is an error here; :func:`gazetteer_spans` and :func:`add_gazetteer` take any size.
+    """
+    terms = normalise_dictionary(dictionary)
+    size, n = measure_dictionary(terms)
+    if size > max_bytes:
+        raise ValueError(f"a dictionary of {size} bytes is not broadcast; use gazetteer_spans or add_gazetteer")
+    labels: dict[str, list] = {}
+    for r in terms.collect():
+        labels.setdefault(r["term"], []).append((r["entity_type"], r["score"]))
+    shared = dictionary.sparkSession.sparkContext.broadcast(labels)
+
+    def factory():
+        known = shared.value
+
+        def one(text):
+            found = [(e, a, b, s) for term, a, b in candidates(text, n) for e, s in known.get(term, ())]
+            return sorted(found, key=lambda x: (x[1], -x[2], x[0]))
+
+        return lambda texts: [one(t) for t in texts]
+
+    return register_batch_detector(factory)
+
+
+def _passing(terms: DataFrame, n: int, bits: int):
+    """Column function: the candidates of a text that pass the bit filter of the terms."""
+    spark = terms.sparkSession
+    place = F.crc32(F.col("term").cast("binary")).bitwiseAND((1 << bits) - 1)
+    cells = (
+        terms.select(place.alias("bit")).groupBy(F.shiftright("bit", 6).alias("cell"))
+        .agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("bits")).toPandas()
+    )
+    table = np.zeros(1 << (bits - 6), dtype=np.uint64)
+    table[cells["cell"].to_numpy()] = cells["bits"].to_numpy().view(np.uint64)
+    shared = spark.sparkContext.broadcast(table)
+
+    @F.pandas_udf(_CANDIDATES)
+    def passing(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        filled = shared.value
+        for texts in batches:
+            yield pd.Series([
+                [] if t is None else [
+                    {"term": term, "start": a, "end": b} for term, a, b in candidates(t, n)
+                    if int(filled[(at := _bit(term, bits)) >> 6]) >> (at & 63) & 1
+                ]
+                for t in texts
+            ], dtype=object)
+
+    return passing
 
 
 def gazetteer_spans(
@@ -73,55 +156,51 @@ def gazetteer_spans(
     key: str,
     text_col: str,
     dictionary: Optional[DataFrame] = None,
-    salt: int = 32,
     broadcast: Optional[bool] = None,
+    max_bytes: int = MAX_BROADCAST_BYTES,
+    filter_bits: int = FILTER_BITS,
 ) -> DataFrame:
     """Rows ``key, term, entity_type, start, end, score`` for dictionary hits.
 
-    ``broadcast=None`` measures the dictionary and broadcasts it when it is
-    under ``MAX_BROADCAST_ROWS`` rows and ``MAX_BROADCAST_BYTES``; otherwise
-    the join shuffles on (term, salt).
+    ``broadcast=None`` measures the dictionary and probes a broadcast set when it is
+    within ``max_bytes``, else joins.  ``True`` insists on the set, and is an error beyond
+    ``max_bytes``; ``False`` joins.
     """
-    spark = df.sparkSession
-    dic = normalise_dictionary(dictionary if dictionary is not None else builtin_dictionary(spark))
-    n, b, lo, hi = dictionary_size(dic)
+    terms = normalise_dictionary(dictionary if dictionary is not None else builtin_dictionary(df.sparkSession))
+    size, n = measure_dictionary(terms)
     if broadcast is None:
-        broadcast = n <= MAX_BROADCAST_ROWS and b <= MAX_BROADCAST_BYTES
-    # Words shorter or longer than every term cannot match: drop them before the join.
-    words = word_rows(df, key, text_col).where(F.length("term").between(lo, hi))
+        broadcast = size <= max_bytes
+    text = q(text_col).cast("string")
     if broadcast:
-        hits = words.join(F.broadcast(dic), "term", "inner")
-    else:
-        salted_words = words.withColumn("_salt", F.pmod(F.xxhash64(q(key), "start"), F.lit(salt)))
-        salted_dic = dic.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-        hits = salted_words.join(salted_dic, ["term", "_salt"], "inner").drop("_salt")
-    return hits.select(
-        key, "term", "entity_type", F.col("start").cast("int").alias("start"),
-        F.col("end").cast("int").alias("end"), "score",
-    )
+        found = gazetteer_detector(terms, max_bytes)(text)
+        rows = df.select(q(key).alias(key), text.alias("_text"), F.inline(found))
+        term = F.trim(F.regexp_replace(F.lower(F.col("_text").substr(F.col("start") + 1, F.col("end") - F.col("start"))), r"\s+", " "))
+        return rows.select(key, term.alias("term"), "entity_type", "start", "end", "score")
+    words = df.select(q(key).alias(key), F.inline(_passing(terms, n, filter_bits)(text)))
+    return words.join(terms, "term").select(key, "term", "entity_type", "start", "end", "score")
 
 
-def gazetteer_detector(terms: Iterable[tuple] | dict, max_terms: int = 50_000):
-    """In-row dictionary detector for a *bounded* term list.
+def add_gazetteer(scanned: DataFrame, key: str, dictionary: Optional[DataFrame] = None, result_col: str = RESULT_COL,
+                  **lookup) -> DataFrame:
+    """A scanned table with the dictionary hits of its analysed columns merged into the result column.
 
-    ``terms`` maps lower-case term -> entity type (score fixed).  The map
-    becomes a literal of the plan, so it is capped at ``max_terms``; a
-    larger dictionary must use :func:`gazetteer_spans`, the join form.
+    For a dictionary of any size; ``key`` must tell rows apart.  Only keys and spans are
+    shuffled for the lookup and joined back; ``lookup`` goes to :func:`gazetteer_spans`.
     """
-    items = dict(terms)
-    if len(items) > max_terms:
-        raise ValueError(f"{len(items)} terms exceed max_terms={max_terms}; use gazetteer_spans (join form)")
-    if not items:
-        return lambda c: F.array().cast(SPANS_TYPE)
-    lookup = F.create_map(*[x for k, v in sorted(items.items()) for x in (F.lit(k.lower()), F.lit(v))])
-
-    def det(c: Column) -> Column:
-        toks = word_tokens(c.cast("string"))
-        hit = F.filter(F.coalesce(toks, F.array()), lambda t: F.map_contains_key(lookup, F.lower(t["term"])))
-        return F.transform(hit, lambda t: F.struct(
-            F.element_at(lookup, F.lower(t["term"])).alias("entity_type"), t["start"], t["end"],
-            F.lit(GAZETTEER_SCORE).alias("score"),
-        )).cast(SPANS_TYPE)
-
-    return det
-
+    analysed, known = result_columns(scanned, result_col)
+    nested = "analysis_results" in scanned.schema[result_col].dataType.fieldNames()
+    span = F.struct("entity_type", "start", "end", "score")
+    found = None
+    for i, c in enumerate(analysed):
+        rows = gazetteer_spans(scanned, key, c, dictionary, **lookup).select(q(key).alias("_key"), F.lit(i).alias("_at"), span.alias("_span"))
+        found = rows if found is None else found.unionByName(rows)
+    if found is None:
+        return scanned
+    # The spans of one row: no more than the row's own text holds.
+    each = found.groupBy("_key").agg(*[
+        F.collect_list(F.when(F.col("_at") == i, F.col("_span"))).alias(f"_g{i}") for i in range(len(analysed))
+    ])
+    merged = {c: concat_spans(spans_col(scanned, c, result_col), F.col(f"_g{i}")) for i, c in enumerate(analysed)}
+    joined = scanned.join(each, q(key) == F.col("_key"), "left")
+    result = pack_result(merged, known, "nested" if nested else "flat")
+    return joined.select(*[result.alias(c) if c == result_col else q(c) for c in scanned.columns])

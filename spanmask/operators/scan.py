@@ -5,8 +5,8 @@ the span expression of each column next to the file reader, so there is no
 shuffle and nothing leaves the JVM.  ``parallelism`` adds a round-robin
 repartition *before* the heavy stage, for inputs with too few splits (a
 stream of a few files).  ``stacked`` turns a wide table into one
-(row, column) pair per row so the work of very uneven columns spreads
-evenly; it needs a shuffle on row id and a join back, so it is batch only.
+(row key, column) pair per row so the work of very uneven columns spreads
+evenly; only keys and spans come back, in one grouping and one join, so it is batch only.
 """
 
 from __future__ import annotations
@@ -16,25 +16,35 @@ from typing import Callable, Optional, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.spans import as_recognizers, detect
+from ..functions.spans import SPANS_TYPE, as_recognizers, concat_spans, detect, detect_cells
 from ..plans.config import ensure_checkpoint_dir
 from .columns import RESULT_COL, ColumnPlan, pack_result, plan_columns, q
 
 ROW_ID = "monotonic_id"
-STACK_ID = "stack_tracking_id"
+_KEY = "_row_key"
 
 Detector = Callable[[Column], Column]
 
 
-def make_detector(recognizers=None, detector: Optional[Detector] = None) -> Detector:
-    if detector is not None:
+def make_detector(recognizers=None, detector: Optional[Detector | Sequence[Detector]] = None) -> Detector:
+    """One detector from recognisers, or from one or several given detectors (their spans together)."""
+    if detector is None:
+        recs = as_recognizers(recognizers)
+        return lambda c: detect(c, recs)
+    if callable(detector):
         return detector
-    recs = as_recognizers(recognizers)
-    return lambda c: detect(c, recs)
+    return lambda c: concat_spans(*(d(c) for d in detector))
 
 
-def detect_struct(cols: Sequence[str], recognizers=None, detector: Optional[Detector] = None) -> Column:
-    """Whole-row detection: ``struct<col: spans>`` for the named columns, in order."""
+def detect_struct(cols: Sequence[str], recognizers=None, detector: Optional[Detector] = None,
+                  row_detector: Optional[Callable] = None) -> Column:
+    """Whole-row detection: ``struct<col: spans>`` for the named columns, in order.
+
+    A ``row_detector`` (see ``udf.register_row_detector``) gets all columns in one call.
+    """
+    if row_detector is not None:
+        found = row_detector([q(c) for c in cols])
+        return F.element_at(F.transform(F.array(found), lambda a: F.struct(*[a[i].alias(c) for i, c in enumerate(cols)])), 1)
     det = make_detector(recognizers, detector)
     return F.struct(*[det(q(c)).alias(c) for c in cols])
 
@@ -44,18 +54,18 @@ def _batch_only(df: DataFrame, what: str):
         raise ValueError(f"{what} needs a row id and a join, which Spark does not allow on a stream")
 
 
-def with_stable_row_id(df: DataFrame, name: str) -> DataFrame:
-    """Add a unique row id that both sides of a self-join agree on.
+def _keyed(df: DataFrame, key: Optional[str]) -> DataFrame:
+    """``df`` with a unique row key that both sides of a self-join agree on.
 
-    ``monotonically_increasing_id`` depends on partition layout and row
-    order, which a shuffle below it does not keep between two evaluations
-    (nor across a task retry).  The id'd rows are therefore written once
-    with ``checkpoint()`` to the shared ``spark.checkpoint.dir`` and read
-    back by both sides; this also cuts the lineage, so a lost executor
-    recomputes from the checkpoint, not from the source.
+    A caller's unique, non-null ``key`` is used as it is.  Without one the rows get a
+    ``monotonically_increasing_id``; it depends on partition layout and row
+    order, which is not kept between two evaluations (nor across a task retry), so the
+    rows are then written once with ``checkpoint()`` to the shared ``spark.checkpoint.dir``.
     """
+    if key is not None:
+        return df.withColumn(_KEY, q(key))
     ensure_checkpoint_dir(df.sparkSession)
-    return df.withColumn(name, F.monotonically_increasing_id()).checkpoint(eager=True)
+    return df.withColumn(_KEY, F.monotonically_increasing_id()).checkpoint(eager=True)
 
 
 def scan(
@@ -64,33 +74,39 @@ def scan(
     known: Sequence[str] = (),
     include: Sequence[str] = ("ALL",),
     recognizers=None,
-    detector: Optional[Detector] = None,
+    detector: Optional[Detector | Sequence[Detector]] = None,
     layout: str = "nested",
     strategy: str = "columns",
     parallelism: Optional[int] = None,
     id_check: bool = False,
     id_debug: bool = False,
     result_col: str = RESULT_COL,
+    key: Optional[str] = None,
+    strings_only: bool = False,
+    row_detector: Optional[Callable] = None,
 ) -> DataFrame:
     """Scan ``df`` and append ``result_col``.
 
     * ``exclude`` -- never scanned (ids, dates, file metadata ...).
     * ``known`` -- personal on every row: not scanned, flagged ``Full mask``
       and masked whole by :func:`anonymize`.
+    * ``detector`` -- in place of the recognisers; several add up.
+    * ``row_detector`` -- gets all scanned columns of a row batch in one call.
     * ``layout`` -- ``nested`` (analysis_results + known_pii_columns) or
       ``flat`` (``struct<col: spans>``).
-    * ``id_check`` -- row id, scan one side, join back on it, and assert
-      the scanned text hashes agree (batch only).
+    * ``id_check`` -- scan a copy keyed by ``key`` (or a row id), join back on
+      it, and fail unless every row comes back once with its own text (batch only).
     * ``id_debug`` -- keep the row id as a column and in the result.
+    * ``strings_only`` -- scan string columns only.
     """
-    plan = plan_columns(df, exclude, known, include)
+    plan = plan_columns(df, exclude, known, include, strings_only)
     det = make_detector(recognizers, detector)
     if strategy == "stacked":
-        return _scan_stacked(df, plan, det, layout, parallelism, result_col)
+        return _scan_stacked(df, plan, det, layout, parallelism, result_col, key)
     if strategy != "columns":
         raise ValueError("strategy must be 'columns' or 'stacked'")
     if id_check:
-        return _scan_id_checked(df, plan, det, layout, parallelism, result_col)
+        return _scan_id_checked(df, plan, det, layout, parallelism, result_col, key)
 
     base = df
     if id_debug:
@@ -98,57 +114,52 @@ def scan(
         base = df.withColumn(ROW_ID, F.monotonically_increasing_id())
     if parallelism:
         base = base.repartition(parallelism)
-    spans = {c: det(q(c)) for c in plan.scanned}
     extra = [F.col(ROW_ID).alias(ROW_ID)] if id_debug else []
-    result = pack_result(spans, plan.known, layout, extra)
+    cells = [q(c) for c in plan.scanned]
+    if detector is not None and row_detector is None or not cells:
+        result = pack_result({c: det(q(c)) for c in plan.scanned}, plan.known, layout, extra)
+    else:
+        found = row_detector(cells) if row_detector is not None else detect_cells(cells, recognizers)
+        result = F.element_at(F.transform(F.array(found), lambda a: pack_result(
+            {c: a[i] for i, c in enumerate(plan.scanned)}, plan.known, layout, extra)), 1)
     return base.select(*[q(c) for c in base.columns], result.alias(result_col))
 
 
-def _scan_id_checked(df, plan: ColumnPlan, det, layout, parallelism, result_col) -> DataFrame:
-    """Scan a copy keyed by a row id and join the result back on it.
+def _scan_id_checked(df, plan: ColumnPlan, det, layout, parallelism, result_col, key) -> DataFrame:
+    """Scan a copy keyed by a row key and join the result back on it.
 
-    The id'd input is checkpointed once (see ``with_stable_row_id``).  The
-    scanned side carries a hash of the scanned cells; after the join the
-    two hashes must agree, checked lazily by ``assert_true``.
+    The scanned side carries a hash of the scanned cells and the number of rows with its
+    key.  A filter above the left join, which no column pruning removes, fails unless
+    each row meets exactly one result with the hash of its own cells.
     """
     _batch_only(df, "id_check")
-    keyed = with_stable_row_id(df, ROW_ID)
-    cells = [q(c) for c in plan.scanned] or [F.lit(0)]
-    side = keyed.select(ROW_ID, *[q(c) for c in plan.scanned])
+    keyed = _keyed(df, key)
+    mark = F.xxhash64(*([q(c) for c in plan.scanned] or [F.lit(0)]))
+    side = keyed.select(_KEY, *[q(c) for c in plan.scanned])
     if parallelism:
         side = side.repartition(parallelism)
     side = side.select(
-        F.col(ROW_ID),
-        F.xxhash64(*cells).alias("_scan_chk"),
+        F.col(_KEY), mark.alias("_mark"),
         pack_result({c: det(q(c)) for c in plan.scanned}, plan.known, layout).alias(result_col),
     )
-    keyed = keyed.withColumn("_orig_chk", F.xxhash64(*cells))
-    joined = keyed.join(side, on=ROW_ID, how="inner")
-    checked = F.when(
-        F.assert_true(F.col("_scan_chk") == F.col("_orig_chk"), F.lit("scan result joined to the wrong row")).isNull(),
-        F.col(result_col),
-    )
-    return joined.select(*[q(c) for c in df.columns], checked.alias(result_col))
+    side = side.groupBy(_KEY).agg(F.count(F.lit(1)).alias("_rows"), F.first("_mark").alias("_mark"), F.first(result_col).alias(result_col))
+    joined = keyed.withColumn("_own", mark).join(side, _KEY, "left")
+    right = F.coalesce((F.col("_rows") == 1) & (F.col("_mark") == F.col("_own")), F.lit(False))
+    checked = joined.where(F.assert_true(right, F.lit("scan result joined to the wrong row")).isNull())
+    return checked.select(*[q(c) for c in df.columns], F.col(result_col))
 
 
-def _scan_stacked(df, plan: ColumnPlan, det, layout, parallelism, result_col) -> DataFrame:
-    """Unpivot -> detect -> pivot back -> join on row id."""
+def _scan_stacked(df, plan: ColumnPlan, det, layout, parallelism, result_col, key) -> DataFrame:
+    """One row per cell, spread over the tasks; spans regrouped by row key and joined back."""
     _batch_only(df, "stacked scan")
-    keyed = with_stable_row_id(df, STACK_ID)
     if not plan.scanned:
-        return keyed.select(*[q(c) for c in df.columns],
-                            pack_result({}, plan.known, layout).alias(result_col))
-    # Positional stand-in names: unpivot resolves names, and real ones may hold dots or spaces.
-    safe = {f"_c{i}": c for i, c in enumerate(plan.scanned)}
-    long = keyed.select(STACK_ID, *[q(c).cast("string").alias(k) for k, c in safe.items()]).unpivot(
-        [STACK_ID], list(safe), "columnName", "content"
-    )
-    if parallelism:
-        long = long.repartition(parallelism)
-    long = long.select(STACK_ID, "columnName", det(F.col("content")).alias("spans"))
-    wide = long.groupBy(STACK_ID).pivot("columnName", list(safe)).agg(F.first("spans"))
-    packed = wide.select(
-        STACK_ID, pack_result({c: F.col(k) for k, c in safe.items()}, plan.known, layout).alias(result_col)
-    )
-    joined = keyed.join(packed, on=STACK_ID, how="inner")
-    return joined.select(*[q(c) for c in df.columns], F.col(result_col))
+        return df.select(*[q(c) for c in df.columns], pack_result({}, plan.known, layout).alias(result_col))
+    keyed = _keyed(df, key)
+    cells = keyed.select(_KEY, F.posexplode(F.array(*[q(c).cast("string") for c in plan.scanned])).alias("at", "cell"))
+    cells = cells.repartition(parallelism, _KEY, "at") if parallelism else cells.repartition(_KEY, "at")
+    found = cells.select(_KEY, "at", det(F.col("cell")).alias("spans"))
+    rows = found.groupBy(_KEY).agg(*[
+        F.first(F.when(F.col("at") == i, F.col("spans")), ignorenulls=True).cast(SPANS_TYPE).alias(f"_s{i}") for i in range(len(plan.scanned))
+    ])
+    packed = rows.select(_KEY, pack_result({c: F.col(f"_s{i}") for i, c in enumerate(plan.scanned)}, plan.known, layout).alias(result_col))
+    return keyed.join(packed, _KEY).select(*[q(c) for c in df.columns], F.col(result_col))

@@ -14,22 +14,17 @@ SUMMARY_TYPE = T.StructType(
         T.StructField("entity_type", T.StringType()),
         T.StructField("num_entities", T.DoubleType()),
         T.StructField("avg_score", T.DoubleType()),
-        T.StructField("sample_size", T.IntegerType()),
+        T.StructField("sample_size", T.LongType()),
         T.StructField("hit_rate", T.DoubleType()),
     ]
 )
 
 
-def summarize(scanned: DataFrame, result_col: str = RESULT_COL) -> DataFrame:
-    """``column, entity_type, num_entities, avg_score, sample_size, hit_rate``.
-
-    * num_entities -- spans of that type in that column
-    * avg_score -- their mean score
-    * sample_size -- rows scanned
-    * hit_rate -- rows with at least one such span / sample_size
+def summary_parts(scanned: DataFrame, result_col: str = RESULT_COL) -> DataFrame:
+    """``column, entity_type, n, score_sum, rows``: sums that add up over any parts of a table.
 
     Each (row, column) emits one small record per entity type it holds,
-    plus one marker record that only counts the row; a single grouping on
+    plus one marker record (null type) that only counts the row; a single grouping on
     (column, entity_type) then yields everything.  The key space is tiny
     and the aggregate is partial, so a hot column is combined map-side.
     """
@@ -62,9 +57,16 @@ def summarize(scanned: DataFrame, result_col: str = RESULT_COL) -> DataFrame:
 
     cells = scanned.select(F.explode(F.array(*[per_cell(c) for c in analysed])).alias("cell"))
     recs = cells.select(F.col("cell.column").alias("column"), F.inline("cell.stats"))
-    agg = recs.groupBy("column", "entity_type").agg(
+    return recs.groupBy("column", "entity_type").agg(
         F.sum("n").alias("n"), F.sum("score_sum").alias("score_sum"), F.count(F.lit(1)).alias("rows")
     )
+
+
+def merge_parts(parts: DataFrame) -> DataFrame:
+    """The summary of all rows behind any number of ``summary_parts``."""
+    agg = parts.groupBy("column", "entity_type").agg(
+        F.sum("n").alias("n"), F.sum("score_sum").alias("score_sum"), F.sum("rows").alias("rows")
+    )
     w = Window.partitionBy("column")
     total = F.max(F.when(F.col("entity_type").isNull(), F.col("rows"))).over(w)
     return (
@@ -75,7 +77,18 @@ def summarize(scanned: DataFrame, result_col: str = RESULT_COL) -> DataFrame:
             "entity_type",
             F.col("n").cast("double").alias("num_entities"),
             (F.col("score_sum") / F.col("n")).alias("avg_score"),
-            F.col("sample_size").cast("int").alias("sample_size"),
+            F.col("sample_size").cast("long").alias("sample_size"),
             (F.col("rows") / F.col("sample_size")).cast("double").alias("hit_rate"),
         )
     )
+
+
+def summarize(scanned: DataFrame, result_col: str = RESULT_COL) -> DataFrame:
+    """``column, entity_type, num_entities, avg_score, sample_size, hit_rate``.
+
+    * num_entities -- spans of that type in that column
+    * avg_score -- their mean score
+    * sample_size -- rows scanned
+    * hit_rate -- rows with at least one such span / sample_size
+    """
+    return merge_parts(summary_parts(scanned, result_col))

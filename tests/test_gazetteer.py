@@ -1,24 +1,27 @@
-"""Dictionary recogniser: join form (broadcast and salted) vs in-row form vs brute force."""
-
-import re
+"""Dictionary recogniser: set form, join form and brute force agree."""
 
+import pytest
+import regex
 from pyspark.sql import functions as F
 
-from spanmask.operators.gazetteer import (GAZETTEER_SCORE, PERSON_NAMES, PLACE_NAMES, gazetteer_detector,
-                                          gazetteer_spans)
+from spanmask import anonymize, scan
+from spanmask.operators.gazetteer import (GAZETTEER_SCORE, PERSON_NAMES, PLACE_NAMES, add_gazetteer, builtin_dictionary,
+                                          gazetteer_detector, gazetteer_spans)
+
 
+def rows_of(df):
+    return sorted((r[0], r.term, r.entity_type, r.start, r.end) for r in df.collect())
 
-def test_join_forms_and_brute_force(spark):
+
+def test_forms_and_brute_force(spark):
     from conftest import SF001
 
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
-    bc = gazetteer_spans(docs, "doc_id", "text")
-    salted = gazetteer_spans(docs, "doc_id", "text", salt=4, broadcast=False)
-    key = lambda df: sorted((r.doc_id, r.term, r.entity_type, r.start, r.end) for r in df.collect())
-    a = key(bc)
-    assert a == key(salted)
+    a = rows_of(gazetteer_spans(docs, "doc_id", "text", broadcast=True))
+    assert a == rows_of(gazetteer_spans(docs, "doc_id", "text", broadcast=False))
+    assert a == rows_of(gazetteer_spans(docs, "doc_id", "text", max_bytes=10))          # measured too large: joins
+    assert a == rows_of(gazetteer_spans(docs, "doc_id", "text", broadcast=False, filter_bits=6))
     terms = {n: "PERSON" for n in PERSON_NAMES} | {n: "LOCATION" for n in PLACE_NAMES}
-    import regex
     want = []
     for r in docs.select("doc_id", "text").collect():
         for m in regex.finditer(r"\p{L}+", r.text):
@@ -26,16 +29,51 @@ def test_join_forms_and_brute_force(spark):
             if t in terms:
                 want.append((r.doc_id, t, terms[t], m.start(), m.end()))
     assert a == sorted(want) and len(a) > 0
-    # in-row detector for a bounded list gives the same spans
-    det = gazetteer_detector(terms)
-    rows = docs.select("doc_id", F.inline(det(F.col("text")))).collect()
-    assert sorted((r.doc_id, r.entity_type, r.start, r.end) for r in rows) == sorted((w[0], w[2], w[3], w[4]) for w in want)
-    assert all(r.score == GAZETTEER_SCORE for r in rows)
-
-
-def test_custom_dictionary_dedup(spark):
-    df = spark.createDataFrame([(1, "Zed met ZED at zed-town")], "id int, t string")
-    dic = spark.createDataFrame([("zed", "PERSON", 0.4), ("Zed", "LOCATION", 0.9)], "term string, entity_type string, score double")
-    got = sorted((r.start, r.entity_type) for r in gazetteer_spans(df, "id", "t", dic).collect())
-    assert got == [(0, "LOCATION"), (8, "LOCATION"), (15, "LOCATION")]
-    _ = re
+    det = gazetteer_detector(builtin_dictionary(spark))
+    found = docs.select("doc_id", F.inline(det(F.col("text")))).collect()
+    assert sorted((r.doc_id, r.entity_type, r.start, r.end) for r in found) == sorted((w[0], w[2], w[3], w[4]) for w in want)
+    assert all(r.score == GAZETTEER_SCORE for r in found)
+
+
+@pytest.fixture()
+def dictionary(spark):
+    rows = [("paris", "PERSON", 0.4), ("Paris", "LOCATION", 0.9), ("New  York", "LOCATION", 0.8), ("o'brien", "PERSON", 0.7), ("paris", "PERSON", 0.3)]
+    return spark.createDataFrame(rows, "term string, entity_type string, score double")
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_all_labels_and_terms_of_several_words(spark, dictionary, broadcast):
+    df = spark.createDataFrame([(1, "PARIS, new\nyork and O'Brien; new, york"), (2, None), (3, "")], "id int, t string")
+    got = rows_of(gazetteer_spans(df, "id", "t", dictionary, broadcast=broadcast))
+    assert got == [
+        (1, "new york", "LOCATION", 7, 15), (1, "o'brien", "PERSON", 20, 27), (1, "paris", "LOCATION", 0, 5), (1, "paris", "PERSON", 0, 5),
+    ]
+
+
+def test_into_scan_and_anonymise(spark, dictionary):
+    df = spark.createDataFrame([(1, "Paris a@b.co", "x"), (2, None, "New York"), (3, "", None)], "id int, t string, u string")
+    s = scan(df, exclude=["id"])
+    joined = anonymize(add_gazetteer(s, "id", dictionary, broadcast=False))
+    assert joined.columns == df.columns
+    want = [(1, "<LOCATION> <EMAIL_ADDRESS>", "x"), (2, None, "<LOCATION>"), (3, "", None)]
+    assert sorted(map(tuple, joined.collect())) == want
+    from spanmask import detect
+    both = scan(df, exclude=["id"], detector=[detect, gazetteer_detector(dictionary)])
+    assert sorted(map(tuple, anonymize(both).collect())) == want
+
+
+def test_limits_are_checked(spark, dictionary):
+    with pytest.raises(ValueError, match="bytes"):
+        gazetteer_detector(dictionary, max_bytes=10)
+    df = spark.createDataFrame([(1, "x")], "id int, t string")
+    with pytest.raises(ValueError, match="bytes"):
+        gazetteer_spans(df, "id", "t", dictionary, broadcast=True, max_bytes=10)
+    with pytest.raises(ValueError, match="letter"):
+        gazetteer_detector(spark.createDataFrame([("c++",)], "term string"))
+
+
+def test_empty_dictionary(spark):
+    df = spark.createDataFrame([(1, "x y")], "id int, t string")
+    none = spark.createDataFrame([], "term string")
+    for broadcast in (True, False):
+        assert gazetteer_spans(df, "id", "t", none, broadcast=broadcast).collect() == []
