@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 from dataclasses import dataclass, field
@@ -27,7 +27,8 @@ class ScanConfig:
     """Typed view of the job configuration.
 
     Keys (``spark.conf``): ``ingestion_folder``, ``known_pii_cols``,
-    ``cols_to_exclude``, ``pii_entities``, ``pii_parallelism``.
+    ``cols_to_exclude``, ``pii_entities``, ``pii_parallelism``, ``output_folder``,
+    ``input_schema`` (DDL), ``max_files_per_batch``.
     """
 
     ingestion_folder: Optional[str] = None
@@ -35,6 +36,9 @@ class ScanConfig:
     cols_to_exclude: list[str] = field(default_factory=list)
     entities: Optional[list[str]] = None
     parallelism: Optional[int] = None
+    output_folder: Optional[str] = None
+    input_schema: Optional[str] = None
+    max_files: Optional[int] = None
 
     @classmethod
     def from_spark(cls, spark: SparkSession, prefix: str = "") -> "ScanConfig":
@@ -49,18 +53,24 @@ class ScanConfig:
             cols_to_exclude=parse_list(get("cols_to_exclude")),
             entities=parse_list(ents) if ents else None,
             parallelism=int(par) if par else None,
+            output_folder=get("output_folder"),
+            input_schema=get("input_schema"),
+            max_files=int(get("max_files_per_batch")) if get("max_files_per_batch") else None,
         )
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Read from the session; only when unset (local tests) a temporary
-    folder is created and set.  Returns the folder.
+    Read from the session.  Only where it is unset and all runs in one process
+    (tests) a temporary folder is created and set; on a cluster each executor
+    would write to its own disk, so there it must be given.  Returns the folder.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="spanmask-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", base)
@@ -72,11 +82,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A fresh folder under the shared checkpoint directory."""
+    """The path of a fresh folder under the shared checkpoint directory; whoever writes creates it."""
     base = ensure_checkpoint_dir(spark)
     path = base.rstrip("/")
     for p in parts + (uuid.uuid4().hex[:12],):
         path = f"{path}/{p}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1) if path.startswith("file:") else path, exist_ok=True)
     return path

@@ -9,21 +9,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+# --- fixed values --------------------------------------------------------
 # File-lineage columns added by with_file_metadata (names as Spark gives them).
 FILE_METADATA_COLS = (
     "file_path", "file_name", "file_size", "file_block_start", "file_block_length", "file_modification_time",
 )
+# -------------------------------------------------------------------------
 
 
 def ingest_json(spark: SparkSession, path: str, schema: Optional[T.StructType] = None,
-                max_files: Optional[int] = None, stream: bool = True, infer_schema: bool = False) -> DataFrame:
+                max_files: Optional[int] = None, stream: bool = True, infer_schema: bool = False,
+                corrupt_column: Optional[str] = None) -> DataFrame:
     """JSON directory as a stream (or a batch with ``stream=False``).
 
     A stream needs ``schema`` unless ``infer_schema`` is set, which turns on
     ``spark.sql.streaming.schemaInference`` (types are then read from the
     files present when the query starts).  ``max_files`` caps files per
-    micro-batch.
+    micro-batch.  With ``corrupt_column`` (and a schema) a malformed line keeps its
+    text in that string column; without it such a line is a row of nulls.
     """
+    if corrupt_column and schema is not None and corrupt_column not in schema.fieldNames():
+        schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType())])
     if stream and schema is None:
         if not infer_schema:
             raise ValueError("a JSON stream needs a schema, or infer_schema=True")
@@ -34,10 +40,14 @@ def ingest_json(spark: SparkSession, path: str, schema: Optional[T.StructType] =
             r = r.schema(schema)
         if max_files:
             r = r.option("maxFilesPerTrigger", int(max_files))
+        if corrupt_column:
+            r = r.option("columnNameOfCorruptRecord", corrupt_column)
         return r.json(path)
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
+    if corrupt_column:
+        r = r.option("columnNameOfCorruptRecord", corrupt_column)
     return r.json(path)
 
 
@@ -52,9 +62,10 @@ def write_json(df: DataFrame, path: str, parts: Optional[int] = None, mode: str
     out.write.mode(mode).json(path)
 
 
-def read_hop(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Stream the append-only parquet table written by an upstream hop."""
-    return spark.readStream.schema(schema).parquet(path)
+def read_hop(spark: SparkSession, path: str, schema: T.StructType, max_files: Optional[int] = None) -> DataFrame:
+    """Stream the append-only parquet table written by an upstream hop, ``max_files`` per micro-batch."""
+    r = spark.readStream.schema(schema)
+    return (r.option("maxFilesPerTrigger", int(max_files)) if max_files else r).parquet(path)
 
 
 def write_hop(df: DataFrame, path: str, checkpoint: str, available_now: bool = True,

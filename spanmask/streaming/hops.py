@@ -16,12 +16,12 @@ from pyspark.sql import types as T
 
 from ..operators.anonymize import anonymize
 from ..operators.scan import scan
-from ..operators.summary import summarize
+from ..operators.summary import merge_parts, summary_parts
 from ..plans.config import ScanConfig
-from ..sources.files import ingest_json, read_hop, with_file_metadata, write_hop
+from ..sources.files import FILE_METADATA_COLS, ingest_json, read_hop, with_file_metadata, write_hop
 
-FILE_COLS = ("file_path", "file_name", "file_size", "file_block_start", "file_block_length",
-             "file_modification_time", "processing_time")
+LINEAGE_COLS = (*FILE_METADATA_COLS, "processing_time")
+CORRUPT = "_corrupt_record"
 
 
 @dataclass
@@ -43,11 +43,11 @@ def _nullable(schema: T.StructType) -> T.StructType:
 
 
 def raw_stream(spark: SparkSession, landing: str, schema: T.StructType, max_files: Optional[int] = None) -> DataFrame:
-    return with_file_metadata(ingest_json(spark, landing, schema, max_files))
+    return with_file_metadata(ingest_json(spark, landing, schema, max_files, corrupt_column=CORRUPT))
 
 
 def analysed_stream(raw: DataFrame, conf: ScanConfig, recognizers=None, detector=None) -> DataFrame:
-    exclude = list(conf.cols_to_exclude) + [c for c in FILE_COLS if c not in conf.cols_to_exclude]
+    exclude = list(conf.cols_to_exclude) + [c for c in LINEAGE_COLS if c not in conf.cols_to_exclude]
     return scan(raw, exclude=exclude, known=conf.known_pii_cols, recognizers=recognizers or conf.entities,
                 detector=detector, parallelism=conf.parallelism)
 
@@ -63,6 +63,7 @@ def run_hops(
     keep_analysed: bool = True,
     available_now: bool = True,
     processing_time: str = "30 seconds",
+    detector=None,
 ) -> list:
     """Run (or start) the hops; returns the streaming queries.
 
@@ -70,9 +71,11 @@ def run_hops(
     after the other.  Otherwise all hops are started with a
     ``processing_time`` trigger and keep running.  ``keep_analysed=False``
     scans and rewrites in one hop, so raw text never lands in an analysed
-    table.
+    table.  ``conf.max_files`` bounds the files of each micro-batch in every hop.
+    ``detector`` replaces the pattern recognisers.  A line that is no JSON keeps its
+    text in ``_corrupt_record``, which is scanned and rewritten like any text.
     """
-    raw = raw_stream(spark, landing, schema, None)
+    raw = raw_stream(spark, landing, schema, conf.max_files)
     raw_schema = _nullable(raw.schema)
     queries = []
 
@@ -84,27 +87,27 @@ def run_hops(
         queries.append(q)
 
     go(raw, paths.raw, "raw")
-    hop1 = read_hop(spark, paths.raw, raw_schema)
+    hop1 = read_hop(spark, paths.raw, raw_schema, conf.max_files)
     if keep_analysed:
-        analysed = analysed_stream(hop1, conf, recognizers)
+        analysed = analysed_stream(hop1, conf, recognizers, detector)
         go(analysed, paths.analysed, "analysed")
-        hop2 = read_hop(spark, paths.analysed, _nullable(analysed.schema))
+        hop2 = read_hop(spark, paths.analysed, _nullable(analysed.schema), conf.max_files)
         go(anonymize(hop2, operators=operators, parallelism=conf.parallelism), paths.anonymised, "anonymised")
     else:
-        go(anonymize(analysed_stream(hop1, conf, recognizers), operators=operators), paths.anonymised, "anonymised")
+        go(anonymize(analysed_stream(hop1, conf, recognizers, detector), operators=operators), paths.anonymised, "anonymised")
     return queries
 
 
 def summary_sink(scanned_stream: DataFrame, path: str, checkpoint: str, available_now: bool = True):
-    """Per micro-batch scan summary appended to a parquet table (``foreachBatch``).
+    """Additive parts of the scan summary, per micro-batch (``foreachBatch``).
 
-    Each batch's summary goes to its own ``batch_id=<n>`` partition folder;
-    a replayed batch overwrites that folder, so a restart adds no duplicate
-    rows.  Reading ``path`` back yields ``batch_id`` as a partition column.
+    Each batch's sums go to their own ``batch_id=<n>`` partition folder;
+    a replayed batch overwrites that folder, so a restart counts nothing
+    twice.  :func:`read_summary` adds the parts up.
     """
 
     def write(batch: DataFrame, batch_id: int):
-        summarize(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        summary_parts(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     w = scanned_stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
@@ -112,3 +115,22 @@ def summary_sink(scanned_stream: DataFrame, path: str, checkpoint: str, availabl
     if available_now:
         q.awaitTermination()
     return q
+
+
+def read_summary(spark: SparkSession, path: str) -> DataFrame:
+    """The scan summary of all micro-batches that :func:`summary_sink` has written."""
+    return merge_parts(spark.read.parquet(path))
+
+
+def run_pipeline(spark: SparkSession, conf: Optional[ScanConfig] = None, **options) -> list:
+    """The hops as the session's configuration says (see :class:`ScanConfig`).
+
+    ``ingestion_folder``, ``output_folder`` and ``input_schema`` must be set;
+    ``options`` go to :func:`run_hops`.
+    """
+    conf = conf or ScanConfig.from_spark(spark)
+    missing = [k for k in ("ingestion_folder", "output_folder", "input_schema") if not getattr(conf, k)]
+    if missing:
+        raise ValueError(f"not configured: {', '.join(missing)}")
+    schema = T.StructType.fromDDL(conf.input_schema)
+    return run_hops(spark, conf.ingestion_folder, HopPaths.under(conf.output_folder), schema, conf, **options)

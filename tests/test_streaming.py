@@ -3,11 +3,13 @@
 from pyspark.sql import functions as F
 
 from spanmask import anonymize, scan
-from spanmask.plans.catalogue import CHAIN, CWP_EXCLUDE, CWP_KNOWN
+from spanmask.functions.udf import python_regex_detector
+from spanmask.plans.catalogue import CWP_EXCLUDE, CWP_KNOWN, PATTERNS
 from spanmask.plans.config import ScanConfig
-from spanmask.sources.files import FILE_METADATA_COLS, ingest_json, with_file_metadata, write_hop, write_json
+from spanmask.sources.files import FILE_METADATA_COLS, ingest_json, with_file_metadata, write_json
 from spanmask.sources.tables import customers_with_pii
-from spanmask.streaming.hops import HopPaths, run_hops, summary_sink
+from spanmask import summarize
+from spanmask.streaming.hops import HopPaths, read_summary, run_hops, run_pipeline, summary_sink
 
 
 def test_hops_equal_batch_and_restart(spark, scratch):
@@ -20,14 +22,14 @@ def test_hops_equal_batch_and_restart(spark, scratch):
     write_json(cwp.where(F.col("id") < half), landing, parts=2)          # first drop
     conf = ScanConfig(known_pii_cols=CWP_KNOWN, cols_to_exclude=CWP_EXCLUDE)
     paths = HopPaths.under(scratch)
-    run_hops(spark, landing, paths, cwp.schema, conf, recognizers=CHAIN)
+    run_hops(spark, landing, paths, cwp.schema, conf, recognizers=PATTERNS)
     write_json(cwp.where(F.col("id") >= half), landing, parts=2)         # second drop
-    run_hops(spark, landing, paths, cwp.schema, conf, recognizers=CHAIN)
-    run_hops(spark, landing, paths, cwp.schema, conf, recognizers=CHAIN)  # nothing new: adds nothing
+    run_hops(spark, landing, paths, cwp.schema, conf, recognizers=PATTERNS)
+    run_hops(spark, landing, paths, cwp.schema, conf, recognizers=PATTERNS)  # nothing new: adds nothing
     out = spark.read.parquet(paths.anonymised)
     assert out.count() == cwp.count()
     assert out.select("id").distinct().count() == cwp.count()
-    batch = anonymize(scan(cwp, exclude=CWP_EXCLUDE, known=CWP_KNOWN, recognizers=CHAIN))
+    batch = anonymize(scan(cwp, exclude=CWP_EXCLUDE, known=CWP_KNOWN, recognizers=PATTERNS))
     cols = ["id", "fullname", "segment", "freetext_1", "lang"]
     assert out.select(cols).exceptAll(batch.select(cols)).count() == 0
     assert batch.select(cols).exceptAll(out.select(cols)).count() == 0
@@ -45,11 +47,35 @@ def test_fused_hop_and_summary_sink(spark, scratch):
     write_json(cwp, landing, parts=2)
     conf = ScanConfig(known_pii_cols=CWP_KNOWN, cols_to_exclude=CWP_EXCLUDE)
     paths = HopPaths.under(f"{scratch}/fused")
-    run_hops(spark, landing, paths, cwp.schema, conf, recognizers=CHAIN, keep_analysed=False)
+    run_hops(spark, landing, paths, cwp.schema, conf, recognizers=PATTERNS, keep_analysed=False)
     assert spark.read.parquet(paths.anonymised).count() == cwp.count()
     st = with_file_metadata(ingest_json(spark, landing, cwp.schema))
     scanned = scan(st, exclude=CWP_EXCLUDE + list(FILE_METADATA_COLS) + ["processing_time"], known=CWP_KNOWN)
     summary_sink(scanned, f"{scratch}/summary", f"{scratch}/_ck_summary")
-    s = spark.read.parquet(f"{scratch}/summary")
-    assert s.count() > 0 and set(s.columns) >= {"column", "entity_type", "hit_rate", "batch_id"}
-    _ = write_hop
+    key = lambda df: sorted((r.column, r.entity_type, r.num_entities, r.sample_size, r.hit_rate) for r in df.collect())
+    want = key(summarize(scan(cwp, exclude=CWP_EXCLUDE, known=CWP_KNOWN)))
+    assert key(read_summary(spark, f"{scratch}/summary")) == want
+
+
+def test_summary_over_several_batches(spark, scratch):
+    df = spark.createDataFrame([(1, "a@b.co"), (2, "nothing"), (3, "c@d.co e@f.co"), (4, None)], "id int, t string")
+    for i in range(1, 5):
+        write_json(df.where(F.col("id") == i), f"{scratch}/landing", parts=1)
+    st = ingest_json(spark, f"{scratch}/landing", df.schema, max_files=1)
+    summary_sink(scan(st, exclude=["id"]), f"{scratch}/summary", f"{scratch}/_ck")
+    assert spark.read.parquet(f"{scratch}/summary").select("batch_id").distinct().count() >= 3
+    (r,) = read_summary(spark, f"{scratch}/summary").collect()
+    assert (r.column, r.entity_type, r.num_entities, r.sample_size, r.hit_rate) == ("t", "EMAIL_ADDRESS", 3.0, 4, 0.5)
+
+
+def test_configured_run_with_a_detector_and_a_broken_line(spark, scratch):
+    df = spark.createDataFrame([(i, f"mail a{i}@b.co and {i}") for i in range(6)], "id int, t string")
+    for i in range(3):
+        write_json(df.where(F.col("id") % 3 == i), f"{scratch}/landing", parts=1)
+    spark.createDataFrame([('{"id": 9, "t": broken z@y.org',)], "value string").write.mode("append").text(f"{scratch}/landing")
+    conf = ScanConfig(ingestion_folder=f"{scratch}/landing", output_folder=f"{scratch}/out", cols_to_exclude=["id"], input_schema="id int, t string", max_files=1)
+    queries = run_pipeline(spark, conf, detector=python_regex_detector(PATTERNS))
+    assert all(len([p for p in q.recentProgress if p["numInputRows"]]) >= 3 for q in queries)
+    rows = {r.id: r for r in spark.read.parquet(HopPaths.under(f"{scratch}/out").anonymised).collect()}
+    assert len(rows) == 7 and all(rows[i].t == f"mail <EMAIL_ADDRESS> and {i}" for i in range(6))
+    assert rows[None]._corrupt_record == '{"id": 9, "t": broken <EMAIL_ADDRESS>'
