@@ -11,28 +11,25 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.recognizers import CREDIT_CARD, EMAIL, IP_ADDRESS, PHONE, SECRET, URL, Recognizer
 from ..functions.spans import detect, detect_hits, resolve_spans
-from ..functions.udf import python_regex_detector
+from ..functions.udf import python_regex_detector, python_regex_factory, register_row_detector
 from ..operators.anonymize import anonymize, bucket_rows, spans_long, union_columns
 from ..operators.columns import full_mask, q
-from ..operators.gazetteer import PERSON_NAMES, PLACE_NAMES, gazetteer_spans
+from ..operators.gazetteer import GAZETTEER_SCORE, PERSON_NAMES, PLACE_NAMES, add_gazetteer, gazetteer_spans
 from ..operators.scan import scan
 from ..operators.summary import summarize
-from ..sources.catalog import list_tables
 from ..sources.files import ingest_json, with_file_metadata, write_hop, write_json
 from ..sources.synth import synth_customers
-from ..sources.tables import CUSTOMERS_WITH_PII_SQL, TABLES, customers_with_pii, table
-from ..streaming.hops import HopPaths, run_hops, summary_sink
+from ..sources.tables import CUSTOMERS_WITH_PII_SQL, customers_with_pii, table
+from ..streaming.hops import HopPaths, read_summary, run_pipeline, summary_sink
 from ..plans.config import ScanConfig, shared_dir
 from . import oracle as O
 
 # Recogniser sets used by the queries.
 PATTERNS = [EMAIL, IP_ADDRESS, CREDIT_CARD, PHONE, SECRET]
-# For rewrite queries checked against chained regexp_replace: the chain
-# cannot skip Luhn-invalid numbers, so the card recogniser runs unvalidated.
-CHAIN = [EMAIL, IP_ADDRESS, CREDIT_CARD.without_validator(), PHONE, SECRET]
 # A deliberately overlapping recogniser (runs of 6+ digits sit inside
 # cards and secret tokens) to exercise overlap resolution on real text.
 DIGIT_RUN = Recognizer("DIGIT_RUN", "[0-9]{6,}", 0.3)
@@ -61,12 +58,58 @@ def _detect_sql(rec: Recognizer, tbl: str = "documents", key: str = "doc_id", co
             f"{O.span_rows(tbl, key, col, rec, key_alias='doc_id')})")
 
 
+def _matched(rows: DataFrame) -> DataFrame:
+    hit = F.col("text").substr(F.col("start") + 1, F.col("end") - F.col("start"))
+    return rows.select("doc_id", "entity_type", "start", "end", hit.alias("matched"))
+
+
 def detect_udf(spark, d):
+    """The five patterns as a Python batch detector."""
     docs = table(spark, d, "documents")
-    det = python_regex_detector([EMAIL])
-    rows = docs.select("doc_id", "text", F.inline(det(F.col("text"))))
-    return rows.select("doc_id", "entity_type", "start", "end",
-                       F.col("text").substr(F.col("start") + 1, F.col("end") - F.col("start")).alias("matched"))
+    return _matched(docs.select("doc_id", "text", F.inline(python_regex_detector(PATTERNS)(F.col("text")))))
+
+
+def detect_struct_udf(spark, d):
+    """The same as a row detector: all columns cross to Python once."""
+    s = scan(customers_with_pii(spark, d), exclude=CWP_EXCLUDE, recognizers=PATTERNS,
+             row_detector=register_row_detector(python_regex_factory(PATTERNS)))
+    return _per_column_counts(s)
+
+
+def detect_two_tables(spark, d):
+    """Columns of two joined tables, each with its own spans."""
+    a, b = table(spark, d, "documents"), table(spark, d, "pages")
+    joined = a.join(b, a["doc_id"] == b["page_id"])
+    sums = lambda c: F.aggregate(c, F.lit(0), lambda s, x: s + x["start"] + x["end"])
+    j = joined.select(a["doc_id"].alias("doc_id"), detect(a["text"], PATTERNS).alias("x"), detect(b["html"], PATTERNS).alias("y"))
+    return j.select("doc_id", F.size("x").alias("n_text"), sums(F.col("x")).alias("sum_text"),
+                    F.size("y").alias("n_html"), sums(F.col("y")).alias("sum_html"))
+
+
+def _two_tables_sql() -> str:
+    side = lambda tbl, key, col, n: (
+        f"SELECT {key} AS k, count(*) AS n_{n}, sum(start + \"end\") AS sum_{n} FROM ("
+        + " UNION ALL ".join(f"({O.span_rows(tbl, key, col, r)})" for r in PATTERNS) + f") GROUP BY {key}")
+    return (f"SELECT doc_id, CAST(coalesce(n_text, 0) AS INTEGER) AS n_text, CAST(coalesce(sum_text, 0) AS INTEGER) AS sum_text, "
+            f"CAST(coalesce(n_html, 0) AS INTEGER) AS n_html, CAST(coalesce(sum_html, 0) AS INTEGER) AS sum_html "
+            f"FROM documents JOIN pages ON doc_id = page_id "
+            f"LEFT JOIN ({side('documents', 'doc_id', 'text', 'text')}) x ON x.k = doc_id "
+            f"LEFT JOIN ({side('pages', 'page_id', 'html', 'html')}) y ON y.k = page_id")
+
+
+def detect_pages_html(spark, d):
+    return span_rows(table(spark, d, "pages"), "page_id", "html", PATTERNS)
+
+
+def scan_conversations(spark, d):
+    s = scan(table(spark, d, "conversations"), exclude=["conv_id", "turn", "role"], recognizers=PATTERNS)
+    return s.select("conv_id", "turn", "role", F.size("pii_analysis_result.analysis_results.text").alias("n_spans"))
+
+
+def scan_events(spark, d):
+    s = scan(table(spark, d, "events"), recognizers=PATTERNS, strings_only=True)
+    found = F.col("pii_analysis_result.analysis_results")
+    return s.select("event_id", F.size(found["props"]).alias("n_props"), F.size(found["event_type"]).alias("n_type"))
 
 
 # --- scans ------------------------------------------------------------------
@@ -91,7 +134,7 @@ def scan_partitioned(spark, d):
 
 def scan_stacked(spark, d):
     return _per_column_counts(scan(customers_with_pii(spark, d), exclude=CWP_EXCLUDE, recognizers=PATTERNS,
-                                   layout="flat", strategy="stacked"))
+                                   layout="flat", strategy="stacked", key="id"))
 
 
 def scan_nested(spark, d):
@@ -107,7 +150,7 @@ def _doc_counts(s: DataFrame) -> DataFrame:
 
 def scan_id_checked(spark, d):
     return _doc_counts(scan(table(spark, d, "documents"), exclude=DOC_EXCLUDE, recognizers=PATTERNS,
-                            id_check=True))
+                            id_check=True, key="doc_id"))
 
 
 def scan_id_debug(spark, d):
@@ -136,7 +179,7 @@ def _summary_sql(cols, recs, source: str = CWP) -> str:
     )
     return (
         f"SELECT \"column\", entity_type, CAST(sum(n) AS DOUBLE) AS num_entities, "
-        f"round(CAST(max(score) AS DOUBLE), 6) AS avg_score, CAST(count(*) AS INTEGER) AS sample_size, "
+        f"round(CAST(max(score) AS DOUBLE), 6) AS avg_score, CAST(count(*) AS BIGINT) AS sample_size, "
         f"CAST(sum(CASE WHEN n > 0 THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS hit_rate "
         f"FROM ({per}) GROUP BY \"column\", entity_type HAVING sum(n) > 0"
     )
@@ -150,24 +193,33 @@ def resolve_overlaps(spark, d):
     return r.select("doc_id", "start", "end", "entity_type")
 
 
-def anonymize_documents(spark, d):
-    s = scan(table(spark, d, "documents"), exclude=DOC_EXCLUDE, recognizers=CHAIN)
-    return anonymize(s).select("doc_id", "text")
+def _rewritten(operators=None) -> Query:
+    def run(spark, d):
+        s = scan(table(spark, d, "documents"), exclude=DOC_EXCLUDE, recognizers=PATTERNS)
+        return anonymize(s, operators=operators).select("doc_id", "text")
+
+    return run
+
+
+anonymize_documents = _rewritten()
+PER_ENTITY = {"EMAIL_ADDRESS": "hash", "IP_ADDRESS": "mask", "CREDIT_CARD": "redact", "PHONE_NUMBER": ("replace", "[phone]"), "DEFAULT": "keep"}
 
 
 def anonymize_customers(spark, d):
-    s = scan(customers_with_pii(spark, d), exclude=CWP_EXCLUDE, known=CWP_KNOWN, recognizers=CHAIN)
+    s = scan(customers_with_pii(spark, d), exclude=CWP_EXCLUDE, known=CWP_KNOWN, recognizers=PATTERNS)
     return anonymize(s).select("id", "fullname", "segment", "freetext_1", "lang")
 
 
-def anonymize_redact(spark, d):
-    s = scan(table(spark, d, "documents"), exclude=DOC_EXCLUDE, recognizers=CHAIN)
-    return anonymize(s, operators={"DEFAULT": "redact"}).select("doc_id", "text")
+def anonymize_overlaps(spark, d):
+    """Overlapping recognisers: the rewrite works on islands."""
+    s = scan(table(spark, d, "documents"), exclude=DOC_EXCLUDE, recognizers=PATTERNS + [DIGIT_RUN])
+    return anonymize(s).select("doc_id", "text")
 
 
-def anonymize_hash(spark, d):
-    s = scan(table(spark, d, "documents"), exclude=DOC_EXCLUDE, recognizers=CHAIN)
-    return anonymize(s, operators={"DEFAULT": "hash"}).select("doc_id", "text")
+def anonymize_gazetteer(spark, d):
+    """Patterns and dictionary together; the dictionary by its join form."""
+    s = scan(table(spark, d, "documents"), exclude=DOC_EXCLUDE, recognizers=PATTERNS)
+    return anonymize(add_gazetteer(s, "doc_id", broadcast=False)).select("doc_id", "text")
 
 
 def full_mask_query(spark, d):
@@ -215,54 +267,50 @@ FROM v JOIN dict ON lower(v.tok) = dict.term
 """
 
 
+def _union(recs, tbl: str = "documents", key: str = "doc_id", text: str = "text") -> str:
+    return " UNION ALL ".join(f"({O.span_rows(tbl, key, text, r)})" for r in recs)
+
+
 # --- streams ----------------------------------------------------------------
 
 def stream_ingest(spark, d):
-    """Land the documents as JSON, stream them into a parquet hop, read it back."""
+    """Land the documents as JSON, stream them into a parquet hop, read it back with its lineage."""
     root = shared_dir(spark, "stream_ingest")
     landing = f"{root}/landing"
     write_json(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"), landing, parts=4)
-    schema = "id long, text string"
-    from pyspark.sql.types import _parse_datatype_string
-    raw = with_file_metadata(ingest_json(spark, landing, _parse_datatype_string(schema)))
-    qy = write_hop(raw, f"{root}/raw", f"{root}/_checkpoints/raw")
-    qy.awaitTermination()
-    return spark.read.parquet(f"{root}/raw").select("id", "text")
+    raw = with_file_metadata(ingest_json(spark, landing, T.StructType.fromDDL("id long, text string"), max_files=2))
+    write_hop(raw, f"{root}/raw", f"{root}/_checkpoints/raw").awaitTermination()
+    hop = spark.read.parquet(f"{root}/raw")
+    return hop.select(
+        "id", "text", F.endswith("file_path", "file_name").alias("path_ends_in_name"), F.endswith("file_name", F.lit(".json")).alias("is_json"),
+        F.col("file_block_start"), (F.col("file_block_length") == F.col("file_size")).alias("whole_file"),
+        (F.col("file_modification_time") <= F.col("processing_time")).alias("written_before"),
+    )
 
 
 def stream_three_hop(spark, d):
-    """Raw -> analysed -> anonymised over JSON landed from customers_with_pii."""
+    """Raw -> analysed -> anonymised over JSON landed from customers_with_pii, in several micro-batches."""
     root = shared_dir(spark, "stream_three_hop")
-    landing = f"{root}/landing"
     cwp = customers_with_pii(spark, d)
-    write_json(cwp, landing, parts=4)
-    conf = ScanConfig(known_pii_cols=CWP_KNOWN, cols_to_exclude=CWP_EXCLUDE)
-    paths = HopPaths.under(root)
-    run_hops(spark, landing, paths, cwp.schema, conf, recognizers=CHAIN)
-    return spark.read.parquet(paths.anonymised).select("id", "fullname", "segment", "freetext_1", "lang")
+    write_json(cwp, f"{root}/landing", parts=6)
+    conf = ScanConfig(ingestion_folder=f"{root}/landing", output_folder=f"{root}/out", known_pii_cols=CWP_KNOWN, cols_to_exclude=CWP_EXCLUDE,
+                      input_schema=", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cwp.schema.fields), max_files=2)
+    run_pipeline(spark, conf, recognizers=PATTERNS)
+    return spark.read.parquet(HopPaths.under(conf.output_folder).anonymised).select("id", "fullname", "segment", "freetext_1", "lang")
 
 
 def stream_summary(spark, d):
-    """Scan summary per micro-batch (foreachBatch) over documents landed as JSON."""
+    """Scan summary gathered per micro-batch (foreachBatch), one landed file each."""
     root = shared_dir(spark, "stream_summary")
     landing = f"{root}/landing"
     write_json(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"), landing, parts=4)
-    from pyspark.sql.types import _parse_datatype_string
-    st = ingest_json(spark, landing, _parse_datatype_string("id long, text string"))
+    st = ingest_json(spark, landing, T.StructType.fromDDL("id long, text string"), max_files=1)
     summary_sink(scan(st, exclude=["id"], recognizers=PATTERNS), f"{root}/summary", f"{root}/_checkpoints/summary")
-    out = spark.read.parquet(f"{root}/summary")
-    return out.select("column", "entity_type", "num_entities", F.round("avg_score", 6).alias("avg_score"),
-                      "sample_size", "hit_rate")
-
-
-# --- catalog and synthetic data ------------------------------------------------
+    out = read_summary(spark, f"{root}/summary")
+    return out.withColumn("avg_score", F.round("avg_score", 6))
 
-def table_inventory(spark, d):
-    for name in TABLES:
-        table(spark, d, name).createOrReplaceTempView(name)
-    inv = list_tables(spark)
-    return inv.where(F.col("table_name").isin(*TABLES)).select("table_name", "table_type")
 
+# --- synthetic data --------------------------------------------------------
 
 def synth_query(spark, d):
     ids = table(spark, d, "customer").select(F.col("c_custkey").alias("id"))
@@ -280,6 +328,11 @@ def queries() -> dict[str, Query]:
         "detect_card_spans": _detect_query(CREDIT_CARD),
         "detect_url_spans": _detect_query(URL, "pages", "page_id", "url"),
         "detect_udf": detect_udf,
+        "detect_struct_udf": detect_struct_udf,
+        "detect_two_tables": detect_two_tables,
+        "detect_pages_html": detect_pages_html,
+        "scan_conversations": scan_conversations,
+        "scan_events": scan_events,
         "scan_flat_all": scan_flat_all,
         "scan_flat_excluding": scan_flat_excluding,
         "scan_partitioned": scan_partitioned,
@@ -291,8 +344,13 @@ def queries() -> dict[str, Query]:
         "resolve_overlaps": resolve_overlaps,
         "anonymize_documents": anonymize_documents,
         "anonymize_customers": anonymize_customers,
-        "anonymize_redact": anonymize_redact,
-        "anonymize_hash": anonymize_hash,
+        "anonymize_redact": _rewritten({"DEFAULT": "redact"}),
+        "anonymize_hash": _rewritten({"DEFAULT": "hash"}),
+        "anonymize_mask": _rewritten({"DEFAULT": "mask"}),
+        "anonymize_keep": _rewritten({"DEFAULT": "keep"}),
+        "anonymize_per_entity": _rewritten(PER_ENTITY),
+        "anonymize_overlaps": anonymize_overlaps,
+        "anonymize_gazetteer": anonymize_gazetteer,
         "full_mask": full_mask_query,
         "spans_long": spans_long_query,
         "union_columns": union_columns_query,
@@ -301,7 +359,6 @@ def queries() -> dict[str, Query]:
         "stream_ingest": stream_ingest,
         "stream_three_hop": stream_three_hop,
         "stream_summary": stream_summary,
-        "table_inventory": table_inventory,
         "synth_customers": synth_query,
     }
 
@@ -309,8 +366,13 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     all_cols = ["id", "fullname", "segment", "freetext_1", "lang"]
     scanned = ["fullname", "freetext_1", "lang"]
-    cwp_anon = (f"SELECT id, {O.MASKED} AS fullname, segment, {O.replace_chain('freetext_1', CHAIN)} AS freetext_1, "
-                f"{O.replace_chain('lang', CHAIN)} AS lang FROM {CWP}")
+    cwp_anon = (f"SELECT id, CAST({O.MASKED} AS VARCHAR) AS fullname, segment, freetext_1, lang FROM ("
+                + O.rewrite(_union(PATTERNS, CWP, "id", "freetext_1"), CWP, "id", "freetext_1", O.REPLACE, "segment,lang") + ")")
+    docs = lambda replacement, recs=PATTERNS: O.rewrite(_union(recs), "documents", "doc_id", "text", replacement)
+    per_entity = (f"CASE g.entity_type WHEN 'EMAIL_ADDRESS' THEN {O.HASH} WHEN 'IP_ADDRESS' THEN {O.MASK} WHEN 'CREDIT_CARD' THEN '' "
+                  f"WHEN 'PHONE_NUMBER' THEN '[phone]' ELSE {O.KEEP} END")
+    with_names = (f"{_union(PATTERNS)} UNION ALL (SELECT doc_id, entity_type, start, \"end\", "
+                  f"CAST({GAZETTEER_SCORE} AS DOUBLE) AS score, NULL AS matched FROM ({_gazetteer_sql()}))")
     doc_counts = f"SELECT doc_id, {O.count_expr('text', PATTERNS)} AS n_spans FROM documents"
     return {
         "detect_email_spans": _detect_sql(EMAIL),
@@ -319,7 +381,12 @@ def oracle_sql() -> dict[str, str]:
         "detect_secret_spans": _detect_sql(SECRET),
         "detect_card_spans": _detect_sql(CREDIT_CARD),
         "detect_url_spans": _detect_sql(URL, "pages", "page_id", "url"),
-        "detect_udf": _detect_sql(EMAIL),
+        "detect_udf": f"SELECT doc_id, entity_type, start, \"end\", matched FROM ({_union(PATTERNS)})",
+        "detect_struct_udf": _flat_counts_sql(scanned, PATTERNS),
+        "detect_two_tables": _two_tables_sql(),
+        "detect_pages_html": f"SELECT page_id AS doc_id, entity_type, start, \"end\", matched FROM ({_union(PATTERNS, 'pages', 'page_id', 'html')})",
+        "scan_conversations": f"SELECT conv_id, turn, role, {O.count_expr('text', PATTERNS)} AS n_spans FROM conversations",
+        "scan_events": f"SELECT event_id, {O.count_expr('props', PATTERNS)} AS n_props, {O.count_expr('event_type', PATTERNS)} AS n_type FROM events",
         "scan_flat_all": _flat_counts_sql(all_cols, PATTERNS),
         "scan_flat_excluding": _flat_counts_sql(scanned, PATTERNS),
         "scan_partitioned": _flat_counts_sql(scanned, PATTERNS),
@@ -329,13 +396,16 @@ def oracle_sql() -> dict[str, str]:
         "scan_id_checked": doc_counts,
         "scan_id_debug": doc_counts,
         "scan_summary": _summary_sql(["freetext_1", "lang"], PATTERNS),
-        "resolve_overlaps": O.islands(
-            " UNION ALL ".join(f"({O.span_rows('documents', 'doc_id', 'text', r)})" for r in PATTERNS + [DIGIT_RUN]),
-            "doc_id"),
-        "anonymize_documents": f"SELECT doc_id, {O.replace_chain('text', CHAIN)} AS text FROM documents",
+        "resolve_overlaps": O.islands(_union(PATTERNS + [DIGIT_RUN]), "doc_id"),
+        "anonymize_documents": docs(O.REPLACE),
         "anonymize_customers": cwp_anon,
-        "anonymize_redact": f"SELECT doc_id, {O.replace_chain('text', CHAIN, '')} AS text FROM documents",
-        "anonymize_hash": O.hash_chain_ctes("documents", "doc_id", "text", CHAIN),
+        "anonymize_redact": docs(O.REDACT),
+        "anonymize_hash": docs(O.HASH),
+        "anonymize_mask": docs(O.MASK),
+        "anonymize_keep": docs(O.KEEP),
+        "anonymize_per_entity": docs(per_entity),
+        "anonymize_overlaps": docs(O.REPLACE, PATTERNS + [DIGIT_RUN]),
+        "anonymize_gazetteer": O.rewrite(with_names, "documents", "doc_id", "text", O.REPLACE),
         "full_mask": f"SELECT id, {O.MASKED} AS fullname, segment, freetext_1, lang FROM {CWP}",
         "spans_long": f"SELECT id, \"column\", entity_type, start, \"end\", score, matched FROM ("
                       f"{O.all_span_rows(CWP, 'id', ['freetext_1', 'lang'], PATTERNS)})",
@@ -347,10 +417,9 @@ def oracle_sql() -> dict[str, str]:
             "CAST(sum(n_spans) AS BIGINT) AS n_spans FROM ("
             + _flat_counts_sql(["freetext_1", "lang"], PATTERNS) + ") GROUP BY 1, 2"),
         "gazetteer_spans": _gazetteer_sql(),
-        "stream_ingest": "SELECT doc_id AS id, text FROM documents",
+        "stream_ingest": "SELECT doc_id AS id, text, true AS path_ends_in_name, true AS is_json, "
+                         "CAST(0 AS BIGINT) AS file_block_start, true AS whole_file, true AS written_before FROM documents",
         "stream_three_hop": cwp_anon,
         "stream_summary": _summary_sql(["text"], PATTERNS, "documents"),
-        "table_inventory": (
-            "SELECT DISTINCT table_name, CASE WHEN table_type = 'VIEW' THEN 'VIEW' ELSE 'TABLE' END AS table_type "
-            "FROM information_schema.tables WHERE table_name IN (" + ", ".join(f"'{t}'" for t in TABLES) + ")"),
+        "synth_customers": O.synth_customers("(SELECT c_custkey AS id FROM customer)", 2, 42),
     }

@@ -68,36 +68,71 @@ def count_expr(text: str, recs: Sequence[Recognizer]) -> str:
     return "CAST(" + " + ".join(terms) + " AS INTEGER)"
 
 
-def replace_chain(text: str, recs: Sequence[Recognizer], replacement=None) -> str:
-    """Chained ``regexp_replace``, highest score first.
-
-    Valid for patterns whose hits never overlap and whose replacements
-    cannot be matched by a later pattern; no validator is possible here.
-    """
-    expr = text
-    for r in sorted(recs, key=lambda r: -r.score):
-        repl = f"<{r.entity_type}>" if replacement is None else replacement
-        expr = f"regexp_replace({expr}, {lit(r.pattern)}, {lit(repl)}, 'g')"
-    return expr
+HIT = 'substr(d.v, g.start + 1, g."end" - g.start)'
 
 
-def hash_chain_ctes(table: str, key: str, text: str, recs: Sequence[Recognizer]) -> str:
-    """Rebuild the text pattern by pattern, each hit replaced by its sha256.
+def rewrite(spans_sql: str, source: str, key: str, text: str, replacement: str, carry: str = "") -> str:
+    """Texts rebuilt from the resolved spans: gap, replacement, gap, ..., tail.
 
-    Secret tokens go first: a 64-hex digest would itself match the
-    secret pattern.
+    ``replacement`` is SQL over ``g.entity_type`` and ``HIT``; ``carry`` names more columns of the source.
     """
-    order = sorted(recs, key=lambda r: (r.entity_type != "SECRET_TOKEN", -r.score))
-    ctes = [f"s0 AS (SELECT {key} AS k, {text} AS v FROM {table})"]
-    for n, r in enumerate(order, start=1):
-        p = lit(r.pattern)
-        ctes.append(
-            f"s{n} AS (SELECT k, CASE WHEN v IS NULL THEN NULL ELSE array_to_string(list_transform("
-            f"range(1, len(string_split_regex(v, {p})) + 1), lambda i: string_split_regex(v, {p})[i] || "
-            f"CASE WHEN i <= len(regexp_extract_all(v, {p})) THEN sha256(regexp_extract_all(v, {p})[i]) ELSE '' END), '') END AS v "
-            f"FROM s{n - 1})"
-        )
-    return "WITH " + ", ".join(ctes) + f" SELECT k AS {key}, v AS {text} FROM s{len(order)}"
+    more = "".join(f", d.{c}" for c in carry.split(",") if c)
+    return f"""
+WITH d AS (SELECT {key} AS k, CAST({text} AS VARCHAR) AS v{"".join(f", {c}" for c in carry.split(",") if c)} FROM {source}),
+i AS ({islands(spans_sql, key)}),
+g AS (SELECT {key} AS k, start, "end", entity_type, coalesce(lag("end") OVER (PARTITION BY {key} ORDER BY start), 0) AS past FROM i),
+p AS (
+  SELECT g.k, string_agg(substr(d.v, g.past + 1, g.start - g.past) || {replacement}, '' ORDER BY g.start) AS head, max(g."end") AS last
+  FROM g JOIN d ON g.k = d.k GROUP BY g.k)
+SELECT d.k AS {key}, CASE WHEN p.head IS NULL THEN d.v ELSE p.head || substr(d.v, p.last + 1) END AS {text}{more}
+FROM d LEFT JOIN p ON d.k = p.k"""
+
+
+REPLACE = "'<' || g.entity_type || '>'"
+REDACT = "''"
+HASH = f"sha256({HIT})"
+MASK = f"regexp_replace(regexp_replace(regexp_replace({HIT}, '[A-Z]', 'X', 'g'), '[a-z]', 'x', 'g'), '[0-9]', 'n', 'g')"
+KEEP = HIT
+
+
+def synth_customers(source: str, texts: int, seed: int) -> str:
+    """The synthetic customers in SQL: every value a function of md5 of (id, seed, tag)."""
+    from ..sources import synth as S
+
+    def u(tag: str) -> str:
+        return f"(CAST('0x' || substr(md5(id || '|{seed}|' || {tag}), 1, 7) AS BIGINT) / 268435456.0)"
+
+    def pick(values, tag: str) -> str:
+        items = ", ".join(lit(v) for v in values)
+        return f"[{items}][CAST(floor({u(tag)} * {len(values)}) AS INTEGER) + 1]"
+
+    def whole(tag: str, n: int, low: int) -> str:
+        return f"(CAST(floor({u(tag)} * {n}) AS INTEGER) + {low})"
+
+    def free(k: int) -> str:
+        tag = f"text{k}"
+        word = pick(S.WORDS, f"'{tag}w' || i || '.' || j")
+        words = f"list_transform(range(1, {whole(f"'{tag}s' || i", 6, 4)} + 1), lambda j: {word})"
+        cap = f"list_transform({words}, lambda w: upper(w[1]) || w[2:])"
+        body = f"array_to_string(list_transform(range(1, {whole(lit(tag), 8, 3)} + 1), lambda i: array_to_string({cap}, ' ') || '.'), ' ')"
+        share = u(lit(tag + "pii"))
+        return (f"{body} || CASE WHEN {share} < 0.2 THEN ' Write to ' || email || '.' "
+                f"WHEN {share} < 0.35 THEN ' Call ' || phone || '.' ELSE '' END AS freetext_{k}")
+
+    total, acc, cases = sum(w for _, w in S.OPERATIONS), 0.0, []
+    for name, w in S.OPERATIONS:
+        acc += w
+        cases.append(f"WHEN {u(lit('op'))} * {total!r}::DOUBLE < {acc!r}::DOUBLE THEN {'NULL' if name is None else lit(name)}")
+    return f"""
+WITH a AS (
+  SELECT id, {pick(S.FIRST, lit("first"))} AS firstname, {pick(S.LAST, lit("last"))} AS lastname,
+    printf('+1 (%03d) 555-%04d', {whole(lit("ph1"), 800, 200)}, {whole(lit("ph2"), 10000, 0)}) AS phone FROM {source}),
+b AS (SELECT *, lower(firstname) || '.' || lower(lastname) || '@' || {pick(S.DOMAINS, lit("dom"))} AS email FROM a)
+SELECT id, firstname, lastname, email,
+  printf('%d %s, %s', {whole(lit("no"), 999, 1)}, {pick(S.STREETS, lit("street"))}, {pick(S.CITIES, lit("city"))}) AS address,
+  CASE {' '.join(cases)} ELSE NULL END AS operation, {', '.join(free(k) for k in range(1, texts + 1))},
+  strftime(make_timestamp((1764547200 + CAST(floor({u(lit("ts"))} * 2592000) AS BIGINT)) * 1000000), '%m-%d-%Y %H:%M:%S') AS operation_date
+FROM b"""
 
 
 def islands(spans_sql: str, key: str) -> str:

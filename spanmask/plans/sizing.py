@@ -1,4 +1,4 @@
-"""Partition and broadcast sizing decisions."""
+"""Partition sizing."""
 
 from __future__ import annotations
 
@@ -7,30 +7,19 @@ from typing import Optional
 from pyspark.sql import DataFrame
 
 
-def target_partitions(spark, factor: int = 2) -> int:
-    """Default task count for CPU-heavy text stages: ``factor`` x cores.
-
-    ``spanmask.minPartitions`` overrides it.
-    """
-    conf = spark.conf.get("spanmask.minPartitions", None)
-    return int(conf) if conf else max(1, spark.sparkContext.defaultParallelism * factor)
-
-
 def balance_splits(df: DataFrame, min_partitions: Optional[int] = None) -> DataFrame:
     """Spread a *bare file read* over enough tasks for a CPU-heavy stage.
 
     A parquet file written as one row group reads as one split, so every
     text expression above it would run in one task.  When the read has
     fewer splits than ``min_partitions`` (default: twice the cores) it is
-    round-robin repartitioned once, before any heavy work.  A large table
-    already has many splits and is left alone: no shuffle.
+    round-robin repartitioned once, before any heavy work.
 
-    Only call this on a plain ``spark.read`` result: counting the splits of
+    For small inputs on few cores, such as a benchmark; it is called by hand and by
+    no query.  Only call it on a plain ``spark.read`` result: counting the splits of
     a plan with an exchange would run that exchange.
     """
     if df.isStreaming:
         return df
-    spark = df.sparkSession
-    want = min_partitions or target_partitions(spark)
-    have = df.rdd.getNumPartitions()
-    return df.repartition(want) if have < want else df
+    want = min_partitions or max(1, df.sparkSession.sparkContext.defaultParallelism * 2)
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from typing import Sequence
+from typing import Optional, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,26 +22,22 @@ INVENTORY_TYPE = T.StructType(
 
 
 def _created(spark: SparkSession, qualified: str):
-    try:
-        js = spark.sql(f"DESCRIBE TABLE EXTENDED {qualified} AS JSON").first()[0]
-        v = json.loads(js).get("created_time")
-        return v
-    except Exception:  # views and temp views carry no creation time
-        return None
+    return json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {qualified} AS JSON").first()[0]).get("created_time")
 
 
-def list_tables(spark: SparkSession, catalogs: Sequence[str] = ()) -> DataFrame:
+def list_tables(spark: SparkSession, catalogs: Optional[Sequence[str]] = None, created: bool = True) -> DataFrame:
     """``table_catalog, table_schema, table_name, table_type, created, last_altered``.
 
     Lists every schema of each catalog (default: the current one) plus the
     session's temporary views; VIEW for views and temp views, TABLE for
     everything else; sorted by catalog, schema, name.  The current catalog
-    is restored afterwards.  An empty list of catalogs means the current
-    one only.  The listing is catalog metadata, gathered on the driver.
+    is restored afterwards.  An empty list of catalogs gives no rows.
+    The listing is catalog metadata, gathered on the driver; ``created`` costs one call
+    for each table and can be left out (null).
     """
     cat = spark.catalog
     current = cat.currentCatalog()
-    names = list(catalogs) or [current]
+    names = [current] if catalogs is None else list(catalogs)
     rows = []
     try:
         for c in names:
@@ -55,8 +51,8 @@ def list_tables(spark: SparkSession, catalogs: Sequence[str] = ()) -> DataFrame:
                         continue
                     seen.add(key)
                     kind = "VIEW" if (t.isTemporary or (t.tableType or "").upper() == "VIEW") else "TABLE"
-                    created = None if kind == "VIEW" else _created(spark, f"`{c}`.`{db.name}`.`{t.name}`")
-                    rows.append((c, schema, t.name, kind, created, None))
+                    when = _created(spark, f"`{c}`.`{db.name}`.`{t.name}`") if created and kind == "TABLE" else None
+                    rows.append((c, schema, t.name, kind, when, None))
     finally:
         cat.setCurrentCatalog(current)
     df = spark.createDataFrame(

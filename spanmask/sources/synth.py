@@ -29,28 +29,33 @@ WORDS = ("account", "order", "delivery", "support", "request", "invoice", "payme
 # -------------------------------------------------------------------------
 
 
-def _u(id_col: Column, seed: int, tag: str) -> Column:
-    """Uniform in [0, 1) from (id, seed, tag)."""
-    return F.pmod(F.xxhash64(id_col, F.lit(seed), F.lit(tag)), F.lit(1_000_003)) / F.lit(1_000_003.0)
+def _u(id_col: Column, seed: int, tag: str | Column) -> Column:
+    """Uniform in [0, 1): 28 bits of md5 of (id, seed, tag), which other engines have too."""
+    tag = F.lit(tag) if isinstance(tag, str) else tag
+    digest = F.md5(F.concat(id_col.cast("string"), F.lit(f"|{seed}|"), tag).cast("binary"))
+    return F.conv(F.substring(digest, 1, 7), 16, 10).cast("long") / F.lit(268435456.0)
 
 
-def _pick(values, id_col: Column, seed: int, tag: str) -> Column:
-    arr = F.array(*[F.lit(v) for v in values])
-    return F.element_at(arr, (F.floor(_u(id_col, seed, tag) * len(values)) + 1).cast("int"))
+def _whole(id_col: Column, seed: int, tag: str | Column, n: int, low: int) -> Column:
+    return (F.floor(_u(id_col, seed, tag) * n) + low).cast("int")
+
+
+def _pick(values, id_col: Column, seed: int, tag: str | Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), _whole(id_col, seed, tag, len(values), 1))
 
 
 def _sentence(id_col: Column, seed: int, tag: str, i: Column) -> Column:
-    n = (F.floor(_u(id_col, seed, tag) * 6) + 4).cast("int")
-    words = F.transform(F.sequence(F.lit(1), n), lambda j: F.element_at(
-        F.array(*[F.lit(w) for w in WORDS]),
-        (F.pmod(F.xxhash64(id_col, F.lit(seed), F.lit(tag), i, j), F.lit(len(WORDS))) + 1).cast("int")))
+    number = i.cast("string")
+    n = _whole(id_col, seed, F.concat(F.lit(tag + "s"), number), 6, 4)
+    words = F.transform(F.sequence(F.lit(1), n), lambda j: _pick(
+        WORDS, id_col, seed, F.concat(F.lit(tag + "w"), number, F.lit("."), j.cast("string"))))
     return F.concat(F.initcap(F.array_join(words, " ")), F.lit("."))
 
 
 def _freetext(id_col: Column, seed: int, k: int, email: Column, phone: Column) -> Column:
     tag = f"text{k}"
-    n = (F.floor(_u(id_col, seed, tag) * 8) + 3).cast("int")   # 3..10 sentences
-    body = F.array_join(F.transform(F.sequence(F.lit(1), n), lambda i: _sentence(id_col, seed, tag + "s", i)), " ")
+    n = _whole(id_col, seed, tag, 8, 3)   # 3..10 sentences
+    body = F.array_join(F.transform(F.sequence(F.lit(1), n), lambda i: _sentence(id_col, seed, tag, i)), " ")
     pii = _u(id_col, seed, tag + "pii")
     return (F.when(pii < 0.2, F.concat(body, F.lit(" Write to "), email, F.lit(".")))
             .when(pii < 0.35, F.concat(body, F.lit(" Call "), phone, F.lit(".")))

@@ -5,33 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.sizing import balance_splits
-
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:
-    """One given table; a read with too few splits is spread over the cores
-    (see ``balance_splits``)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return balance_splits(df) if balance else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One given table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def customers_with_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``customer JOIN documents ON c_custkey = doc_id``.
+    """``customer FULL JOIN documents ON c_custkey = doc_id``: no row of either is left out.
 
     id (excluded), fullname (known PII), segment (excluded), freetext_1
-    (scanned), lang (scanned, clean).  Both keys are unique; the join is a
-    plain equi-join whose strategy is left to the planner (AQE picks
-    broadcast only when a side is measured small at run time).
+    (scanned), lang (scanned, clean); null where a side is missing.  Both keys
+    are unique, and so is id.
     """
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return c.join(d, c.c_custkey == d.doc_id, "inner").select(
-        F.col("c_custkey").alias("id"),
+    return c.join(d, c.c_custkey == d.doc_id, "full").select(
+        F.coalesce("c_custkey", "doc_id").alias("id"),
         F.col("c_name").alias("fullname"),
         F.col("c_mktsegment").alias("segment"),
         F.col("text").alias("freetext_1"),
@@ -40,6 +35,6 @@ def customers_with_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CUSTOMERS_WITH_PII_SQL = (
-    "(SELECT c.c_custkey AS id, c.c_name AS fullname, c.c_mktsegment AS segment, "
-    "d.text AS freetext_1, d.lang AS lang FROM customer c JOIN documents d ON c.c_custkey = d.doc_id)"
+    "(SELECT coalesce(c.c_custkey, d.doc_id) AS id, c.c_name AS fullname, c.c_mktsegment AS segment, "
+    "d.text AS freetext_1, d.lang AS lang FROM customer c FULL JOIN documents d ON c.c_custkey = d.doc_id)"
 )

@@ -49,6 +49,20 @@ def test_json_roundtrip_and_inference(spark, scratch):
     assert [(x.start, x.end) for x in r.t] == [(0, 6)]
 
 
+def test_empty_list_of_catalogs(spark):
+    assert list_tables(spark, []).collect() == []
+
+
+def test_malformed_json_keeps_its_text(spark, tmp_path):
+    from spanmask.sources.files import ingest_json
+
+    (tmp_path / "a.json").write_text('{"id": 1, "text": "ok"}\n{"id": 2, "text": broken\n')
+    df = ingest_json(spark, str(tmp_path), spark.createDataFrame([], "id long, text string").schema, stream=False, corrupt_column="_corrupt_record")
+    rows = {r.id: r for r in df.cache().collect()}
+    assert rows[1].text == "ok" and rows[1]._corrupt_record is None
+    assert rows[None]._corrupt_record == '{"id": 2, "text": broken'
+
+
 def test_inventory_created_time(spark):
     spark.sql("CREATE TABLE IF NOT EXISTS inv_tbl_c (x int) USING parquet")
     r = list_tables(spark).where("table_name = 'inv_tbl_c'").first()
