@@ -31,7 +31,7 @@ class Limits:
     dup5: float = 0.35              # in 5-word windows found twice or more
     dup8: float = 0.30
     dup10: float = 0.25
-    symbols: float = 0.10           # characters of [#*$%&|<>]
+    symbols: float = 0.06           # characters of [#*$%&|<>]
 
 
 def _duplicated(code: np.ndarray, doc: np.ndarray) -> np.ndarray:
