@@ -59,6 +59,8 @@ class Recognizer:
 
     ``hint`` is a literal that every match must contain; texts without it
     skip the regex entirely (a cheap ``instr`` before a full regex pass).
+    ``languages`` limits the recogniser to texts of these languages (empty: all); it
+    matters only where the caller says which language a text has.
     ``validator`` names a SQL boolean function applied to the matched text
     (``luhn_check`` for cards); spans failing it are dropped.
     """
@@ -69,6 +71,7 @@ class Recognizer:
     hint: Optional[str] = None
     validator: Optional[str] = None
     java: Optional[str] = None
+    languages: tuple[str, ...] = ()
 
     def __post_init__(self):
         compiled = re.compile(self.pattern)
@@ -77,6 +80,9 @@ class Recognizer:
             # used to compute offsets.
             raise ValueError(f"pattern for {self.entity_type} can match the empty string")
 
+    def for_languages(self, *languages: str) -> "Recognizer":
+        return replace(self, languages=tuple(languages))
+
     def without_validator(self) -> "Recognizer":
         return replace(self, validator=None)
 

@@ -92,11 +92,18 @@ def _sorted_sql(spans: str) -> str:
     return f"transform(array_sort({keyed}), k -> k.x)"
 
 
+def _spoken_sql(rec: Recognizer) -> str:
+    """The hits of one recogniser in a text ``t`` of language ``lang``."""
+    if not rec.languages:
+        return _hits_sql(rec)
+    return f"if(lang in ({', '.join(map(lit, rec.languages))}), {_hits_sql(rec)}, {_NO_HITS})"
+
+
 @lru_cache(maxsize=256)
-def _detect_sql(recognizers: tuple, texts: bool) -> str:
+def _detect_sql(recognizers: tuple, texts: bool, spoken: bool = False) -> str:
     if not recognizers:
         return _NO_HITS if texts else NO_SPANS
-    hits = _sorted_sql(f"concat({', '.join(map(_hits_sql, recognizers))})")
+    hits = _sorted_sql(f"concat({', '.join(map(_spoken_sql if spoken else _hits_sql, recognizers))})")
     if texts:
         return hits
     return f"transform({hits}, h -> named_struct('entity_type', h.entity_type, 'start', h.`start`, 'end', h.`end`, 'score', h.score))"
@@ -117,11 +124,19 @@ def detect(text: Column, recognizers=None) -> Column:
     return apply(text.cast("string"), _detect_sql(tuple(as_recognizers(recognizers)), False)).cast(SPANS_TYPE)
 
 
-def detect_cells(texts: Sequence[Column], recognizers=None) -> Column:
-    """:func:`detect` of several columns as one array: a wide table costs one span expression, not one per column."""
-    body = _detect_sql(tuple(as_recognizers(recognizers)), False)
+def detect_cells(texts: Sequence[Column], recognizers=None, language: Column = None) -> Column:
+    """:func:`detect` of several columns as one array: a wide table costs one span expression, not one per column.
+
+    With ``language`` (of the row), recognisers that name languages look at texts of those only.
+    """
+    body = _detect_sql(tuple(as_recognizers(recognizers)), False, language is not None)
     cells = F.array(*[t.cast("string") for t in texts])
-    return apply(cells, f"transform(cells, t -> {body})", "cells").cast(T.ArrayType(SPANS_TYPE))
+    if language is None:
+        found = apply(cells, f"transform(cells, t -> {body})", "cells")
+    else:
+        row = F.struct(cells.alias("cells"), language.cast("string").alias("lang"))
+        found = apply(row, let("lang", "row.lang", f"transform(row.cells, t -> {body})"), "row")
+    return found.cast(T.ArrayType(SPANS_TYPE))
 
 
 def sort_spans(spans: Column) -> Column:

@@ -84,6 +84,7 @@ def scan(
     key: Optional[str] = None,
     strings_only: bool = False,
     row_detector: Optional[Callable] = None,
+    language: Optional[str] = None,
 ) -> DataFrame:
     """Scan ``df`` and append ``result_col``.
 
@@ -98,9 +99,13 @@ def scan(
       it, and fail unless every row comes back once with its own text (batch only).
     * ``id_debug`` -- keep the row id as a column and in the result.
     * ``strings_only`` -- scan string columns only.
+    * ``language`` -- column with the language of each row's texts, for recognisers
+      that are limited to some (strategy ``columns``).
     """
     plan = plan_columns(df, exclude, known, include, strings_only)
     det = make_detector(recognizers, detector)
+    if language is not None and (strategy != "columns" or id_check or detector is not None or row_detector is not None):
+        raise ValueError("language goes with recognisers and the plain 'columns' strategy")
     if strategy == "stacked":
         return _scan_stacked(df, plan, det, layout, parallelism, result_col, key)
     if strategy != "columns":
@@ -119,7 +124,7 @@ def scan(
     if detector is not None and row_detector is None or not cells:
         result = pack_result({c: det(q(c)) for c in plan.scanned}, plan.known, layout, extra)
     else:
-        found = row_detector(cells) if row_detector is not None else detect_cells(cells, recognizers)
+        found = row_detector(cells) if row_detector is not None else detect_cells(cells, recognizers, q(language) if language else None)
         result = F.element_at(F.transform(F.array(found), lambda a: pack_result(
             {c: a[i] for i, c in enumerate(plan.scanned)}, plan.known, layout, extra)), 1)
     return base.select(*[q(c) for c in base.columns], result.alias(result_col))

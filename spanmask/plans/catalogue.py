@@ -97,6 +97,30 @@ def _two_tables_sql() -> str:
             f"LEFT JOIN ({side('pages', 'page_id', 'html', 'html')}) y ON y.k = page_id")
 
 
+SPOKEN = [EMAIL, PHONE.for_languages("en"), IP_ADDRESS.for_languages("de", "fr"), CREDIT_CARD.for_languages("es"), SECRET.for_languages()]
+
+
+def detect_by_language(spark, d):
+    """Recognisers limited to languages, by the documents' lang column."""
+    s = scan(table(spark, d, "documents"), exclude=DOC_EXCLUDE, recognizers=SPOKEN, language="lang")
+    return _matched(s.select("doc_id", "text", F.inline("pii_analysis_result.analysis_results.text")))
+
+
+def _spoken_sql() -> str:
+    sides = []
+    for r in SPOKEN:
+        where = f" WHERE lang IN ({', '.join(O.lit(x) for x in r.languages)})" if r.languages else ""
+        sides.append(f"({O.span_rows(f'(SELECT doc_id, text FROM documents{where})', 'doc_id', 'text', r)})")
+    return f"SELECT doc_id, entity_type, start, \"end\", matched FROM ({' UNION ALL '.join(sides)})"
+
+
+def detect_span_order(spark, d):
+    """The place of each span in its cell's array: by start, longest first, then type."""
+    spans = detect(F.col("text"), PATTERNS + [DIGIT_RUN])
+    rows = table(spark, d, "documents").select("doc_id", F.posexplode(spans).alias("place", "s"))
+    return rows.select("doc_id", F.col("place").cast("long").alias("place"), "s.entity_type", "s.start", "s.end")
+
+
 def detect_pages_html(spark, d):
     return span_rows(table(spark, d, "pages"), "page_id", "html", PATTERNS)
 
@@ -331,6 +355,8 @@ def queries() -> dict[str, Query]:
         "detect_struct_udf": detect_struct_udf,
         "detect_two_tables": detect_two_tables,
         "detect_pages_html": detect_pages_html,
+        "detect_by_language": detect_by_language,
+        "detect_span_order": detect_span_order,
         "scan_conversations": scan_conversations,
         "scan_events": scan_events,
         "scan_flat_all": scan_flat_all,
@@ -385,6 +411,10 @@ def oracle_sql() -> dict[str, str]:
         "detect_struct_udf": _flat_counts_sql(scanned, PATTERNS),
         "detect_two_tables": _two_tables_sql(),
         "detect_pages_html": f"SELECT page_id AS doc_id, entity_type, start, \"end\", matched FROM ({_union(PATTERNS, 'pages', 'page_id', 'html')})",
+        "detect_by_language": _spoken_sql(),
+        "detect_span_order": (
+            "SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY start, \"end\" DESC, entity_type) - 1 AS place, "
+            f"entity_type, start, \"end\" FROM ({_union(PATTERNS + [DIGIT_RUN])})"),
         "scan_conversations": f"SELECT conv_id, turn, role, {O.count_expr('text', PATTERNS)} AS n_spans FROM conversations",
         "scan_events": f"SELECT event_id, {O.count_expr('props', PATTERNS)} AS n_props, {O.count_expr('event_type', PATTERNS)} AS n_type FROM events",
         "scan_flat_all": _flat_counts_sql(all_cols, PATTERNS),

@@ -82,9 +82,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """The path of a fresh folder under the shared checkpoint directory; whoever writes creates it."""
+    """A fresh folder under the shared checkpoint directory, in whatever store that is."""
     base = ensure_checkpoint_dir(spark)
     path = base.rstrip("/")
     for p in parts + (uuid.uuid4().hex[:12],):
         path = f"{path}/{p}"
+    # These tables hold raw texts: the folder goes when the application ends.
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
     return path

@@ -202,3 +202,13 @@ def test_python_twin_validates_cards(spark):
     df = spark.createDataFrame([("4111111111111111 4111111111111112",)], "t string")
     r = df.select(python_regex_detector([BUILTIN["CREDIT_CARD"]])(F.col("t")).alias("s")).first().s
     assert [(x.start, x.end) for x in r] == [(0, 16)]
+
+
+def test_recognisers_by_language(spark):
+    recs = [BUILTIN["EMAIL_ADDRESS"].for_languages("en", "de"), BUILTIN["IP_ADDRESS"]]
+    df = spark.createDataFrame([(1, "a@b.co 1.2.3.4", "en"), (2, "a@b.co 1.2.3.4", "fr"), (3, "a@b.co", None)], "id int, t string, lang string")
+    s = scan(df, exclude=["id", "lang"], recognizers=recs, language="lang")
+    got = {r.id: [x.entity_type for x in r.pii_analysis_result.analysis_results.t] for r in s.collect()}
+    assert got == {1: ["EMAIL_ADDRESS", "IP_ADDRESS"], 2: ["IP_ADDRESS"], 3: []}
+    with pytest.raises(ValueError):
+        scan(df, recognizers=recs, language="lang", strategy="stacked")
