@@ -7,8 +7,10 @@ ignored together by some mask, so every overlap is hit by a seed: nothing is sam
 Items of 5 to 11 words are looked for word by word as a whole.
 
 The benchmark's seeds set bits in a filter whose size is bounded by a parameter and that is
-sent to the tasks; documents are read once and only those with a seed in the filter go on, as
-rows of word hashes.  Their seeds join the benchmark's, and the hits' surroundings are compared.
+sent to the tasks.  Documents are read once; a position whose seed passes the filter goes on
+as one small row with the hashes of its 12 words, joins the benchmark's seeds, and is compared
+word by word there.  All windows with at most two differences are found this way, so the
+overlaps are put together from them alone.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import written
-from .text import blocks, find_words, lists, mix, ragged, range_hash, window_hash
+from .text import blocks, find_words, lists, mix, range_hash, window_hash
 
 U64 = np.uint64
 SPAN, DIFFER, SHORTEST = 12, 2, 5
@@ -38,16 +40,6 @@ def spaced(codes: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
     return [mix(part[a] + part[b], 20 + i) for i, (a, b) in enumerate(combinations(range(4), 2))]
 
 
-def _seeds(words, lengths=()):
-    """(hash, word, document) of all seeds: the masks, and whole windows of the given short lengths."""
-    first, doc = words.windows(SPAN)
-    found = [(h, first, doc) for h in spaced(words.code, first)] if len(first) else []
-    for k in lengths:
-        first, doc = words.windows(k)
-        found.append((window_hash(words.code, first, k), first, doc))
-    return found
-
-
 def _items(batches):
     for part, data, offsets in blocks(batches, "text"):
         words = find_words(data, offsets, lower=True)
@@ -58,6 +50,12 @@ def _items(batches):
         })
 
 
+def _windows(codes: np.ndarray, first: np.ndarray) -> pa.ListArray:
+    """32-bit hashes of the 12 words from each position."""
+    words = codes.astype(np.uint32).view(np.int32)[first[:, None] + np.arange(SPAN)]
+    return lists(words.reshape(-1), np.full(len(first), SPAN))
+
+
 def _item_seeds(batches):
     for batch in batches:
         for i in range(batch.num_rows):
@@ -66,10 +64,13 @@ def _item_seeds(batches):
             if n >= SPAN:
                 first = np.arange(n - SPAN + 1)
                 hashes, at = np.concatenate(spaced(codes, first)), np.tile(first, len(MASKS))
+                window = _windows(codes, at)
             else:
                 hashes, at = window_hash(codes, np.zeros(1, dtype=np.int64), n), np.zeros(1, dtype=np.int64)
+                window = lists(np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64))
             yield pa.RecordBatch.from_pydict({
-                "seed": hashes.view(np.int64), "item_id": pa.array([batch.column("item_id")[i].as_py()] * len(at), pa.int64()), "item_at": at.astype(np.int32),
+                "seed": hashes.view(np.int64), "item_id": pa.array([batch.column("item_id")[i].as_py()] * len(at), pa.int64()),
+                "item_at": at.astype(np.int32), "item_window": window,
             })
 
 
@@ -83,71 +84,65 @@ def _in_filter(bits: np.ndarray, mask: int, h: np.ndarray) -> np.ndarray:
 
 
 def _scan(shared, mask: int, lengths: tuple[int, ...]):
+    """Per position with a seed in the filter: doc_id, mark of the text, place, seeds, hashes of its 12 words."""
     def run(batches):
         bits = shared.value
         for part, data, offsets in blocks(batches, "text"):
             words = find_words(data, offsets, lower=True)
-            seeds, at, of = [], [], []
-            for h, first, doc in _seeds(words, lengths):
-                ok = _in_filter(bits, mask, h)
-                seeds.append(h[ok])
-                at.append(first[ok] - words.ptr[doc[ok]])
-                of.append(doc[ok])
-            if not seeds:
-                continue
-            of = np.concatenate(of)
-            order = np.argsort(of, kind="stable")
-            hits = np.bincount(of, minlength=part.num_rows)
-            some = np.flatnonzero(hits)
-            n = words.counts[some]
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": part.column("doc_id").take(pa.array(some)),
-                "mark": mix(range_hash(words.code, words.ptr[some], words.ptr[some + 1])).view(np.int64),
-                "codes": lists(words.code[ragged(words.ptr[some], n)].view(np.int64), n),
-                "seeds": lists(np.concatenate(seeds)[order].view(np.int64), hits[some]),
-                "at": lists(np.concatenate(at)[order].astype(np.int32), hits[some]),
-            })
+            mark = mix(range_hash(words.code, words.ptr[:-1], words.ptr[1:])).view(np.int64)
+
+            def rows(seeds, counts, first, doc, window):
+                return pa.RecordBatch.from_pydict({
+                    "doc_id": part.column("doc_id").take(pa.array(doc)), "mark": mark[doc], "at": (first - words.ptr[doc]).astype(np.int32),
+                    "seeds": lists(seeds.view(np.int64), counts), "window": window,
+                })
+
+            first, doc = words.windows(SPAN)
+            if len(first):
+                seeds = np.stack(spaced(words.code, first), axis=1)
+                ok = _in_filter(bits, mask, seeds.reshape(-1)).reshape(seeds.shape)
+                some = np.flatnonzero(ok.any(axis=1))
+                yield rows(seeds[some][ok[some]], ok[some].sum(axis=1), first[some], doc[some], _windows(words.code, first[some]))
+            for k in lengths:
+                first, doc = words.windows(k)
+                seeds = window_hash(words.code, first, k)
+                some = np.flatnonzero(_in_filter(bits, mask, seeds))
+                none = lists(np.zeros(0, dtype=np.int32), np.zeros(len(some), dtype=np.int64))
+                yield rows(seeds[some], np.ones(len(some), dtype=np.int64), first[some], doc[some], none)
 
     return run
 
 
-def overlap(doc: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int, int, int] | None:
-    """Longest overlap with doc[i + diagonal] beside item[i]: (item position, words, equal words).
+def longest(windows: list[dict], n: int) -> tuple[int, int, int, int]:
+    """(document position, item position, words, equal words) of the longest overlap of one document and item.
 
-    Runs of 12 words with at most two differences that overlap or touch make one overlap.
+    Windows on a diagonal that overlap or touch make one overlap.  ``equal`` has bit i set if word i of the window is equal.
     """
-    low, high = max(0, -diagonal), min(len(item), len(doc) - diagonal)
-    need = min(SPAN, len(item))
-    if high - low < need or need < SHORTEST:
-        return None
-    equal = item[low:high] == doc[low + diagonal:high + diagonal]
-    count = np.concatenate([[0], np.cumsum(equal)])
-    good = np.flatnonzero(count[need:] - count[:-need] >= need - (DIFFER if need == SPAN else 0))
-    if not len(good):
-        return None
-    cut = np.flatnonzero(np.diff(good) > need)
-    begin, end = good[np.append(0, cut + 1)], good[np.append(cut, len(good) - 1)] + need
-    best = int(np.argmax(end - begin))
-    a, b = int(begin[best]), int(end[best])
-    return low + a, b - a, int(count[b] - count[a])
-
-
-def _verify(batches):
+    need, best = min(SPAN, n), None
+    rows = sorted((w["diagonal"], w["item_at"], w["equal"]) for w in windows)
+    at = 0
+    while at < len(rows):
+        diagonal, start, _ = rows[at]
+        end, same = start, set()
+        while at < len(rows) and rows[at][0] == diagonal and rows[at][1] <= max(end, start):
+            _, place, equal = rows[at]
+            end = place + need
+            same.update(place + i for i in range(need) if equal >> i & 1)
+            at += 1
+        found = (end - start, len(same), -(start + diagonal), -start)
+        best = max(best or found, found)
+    words, equal, doc, item = best
+    return -doc, -item, words, equal
+
+
+def _longest(batches):
     for batch in batches:
-        rows = []
-        for i in range(batch.num_rows):
-            doc = batch.column("codes")[i].values.to_numpy()
-            item = batch.column("item_codes")[i].values.to_numpy()
-            best = None
-            for d in sorted(batch.column("diagonals")[i].as_py()):
-                found = overlap(doc, item, d)
-                if found and (best is None or found[1:] > best[2:]):
-                    best = (found[0] + d, *found)
-            if best:
-                rows.append((batch.column("doc_id")[i].as_py(), batch.column("item_id")[i].as_py(), *best))
-        names = ["doc_id", "item_id", "doc_start", "item_start", "n_words", "n_equal"]
-        columns = list(zip(*rows)) if rows else [()] * len(names)
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+        found = [longest(w, n) for w, n in zip(batch.column("windows").to_pylist(), batch.column("n").to_pylist())]
+        columns = list(zip(*found)) if found else [()] * 4
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("item_id"), *(pa.array(c, pa.int64()) for c in columns)],
+            ["doc_id", "item_id", "doc_start", "item_start", "n_words", "n_equal"],
+        )
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, *, filter_bits: int = FILTER_BITS) -> DataFrame:
@@ -167,7 +162,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, filter_bits: int = FILTER_BI
         .where(F.col("n") >= SHORTEST).groupBy("mark", "n").agg(F.min("item_id").alias("item_id"), F.first("codes").alias("codes"))
     )
     items = written(items.select("item_id", "n", "codes"), "items")
-    seeds = written(items.mapInArrow(_item_seeds, "seed long, item_id long, item_at int"), "item_seeds")
+    seeds = written(items.mapInArrow(_item_seeds, "seed long, item_id long, item_at int, item_window array<int>"), "item_seeds")
     total = seeds.count()
     if total == 0:
         return spark.createDataFrame([], schema)
@@ -182,19 +177,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, filter_bits: int = FILTER_BI
     bits = np.zeros(1 << (size - 6), dtype=np.uint64)
     bits[cells["cell"].to_numpy()] = cells["bits"].to_numpy().view(np.uint64)
 
-    hit = written(
-        docs.mapInArrow(_scan(spark.sparkContext.broadcast(bits), mask, lengths), "doc_id long, mark long, codes array<long>, seeds array<long>, at array<int>"),
-        "seed_hits",
-    )
-    pairs = (
-        hit.select("doc_id", "mark", F.explode(F.arrays_zip("seeds", "at")).alias("s"))
-        .select("doc_id", "mark", F.col("s.seeds").alias("seed"), F.col("s.at").alias("at"))
-        .join(seeds, "seed").groupBy("doc_id", "mark", "item_id").agg(F.collect_set(F.col("at") - F.col("item_at")).alias("diagonals"))
+    hits = docs.mapInArrow(_scan(spark.sparkContext.broadcast(bits), mask, lengths), "doc_id long, mark long, at int, seeds array<long>, window array<int>")
+    met = hits.select("doc_id", "mark", "at", "window", F.explode("seeds").alias("seed")).join(seeds, "seed")
+    same = F.zip_with("window", "item_window", lambda a, b: (a == b).cast("int"))
+    equal = F.aggregate(F.reverse(same), F.lit(0), lambda bits, x: bits * 2 + x)
+    good = met.withColumn("equal", F.when(F.size("item_window") == 0, F.lit((1 << SPAN) - 1)).otherwise(equal)).where(
+        F.bit_count("equal") >= SPAN - DIFFER
     )
+    window = F.struct((F.col("at") - F.col("item_at")).alias("diagonal"), "item_at", "equal")
     found = (
-        pairs.join(hit.select("doc_id", "mark", "codes").dropDuplicates(["doc_id", "mark"]), ["doc_id", "mark"])
-        .join(items.select("item_id", F.col("codes").alias("item_codes")), "item_id")
-        .select("doc_id", "item_id", "diagonals", "codes", "item_codes").mapInArrow(_verify, schema)
+        good.groupBy("doc_id", "mark", "item_id").agg(F.collect_set(window).alias("windows"))
+        .join(items.select("item_id", "n"), "item_id").select("doc_id", "item_id", "n", "windows").mapInArrow(_longest, schema)
     )
     best = F.max(F.struct("n_words", "n_equal", -F.col("doc_start"), -F.col("item_start"))).alias("b")
     return found.groupBy("doc_id", "item_id").agg(best).select(
