@@ -164,7 +164,7 @@ def _letters(column, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return has
 
 
-def _predict(shared):
+def _predict(shared, lang_name: str, score_name: str):
     def run(batches):
         model = shared.value
         for part, data, offsets in blocks(batches, "text"):
@@ -175,8 +175,8 @@ def _predict(shared):
             ok = _letters(part.column("text"), data, offsets)
             names = np.array([*model.languages, "und"], dtype=object)
             columns = {c: part.column(c) for c in part.schema.names}
-            columns["lang_pred"] = pa.array(names[np.where(ok, best, len(names) - 1)], pa.string())
-            columns["score"] = np.where(ok, score, 0.0)
+            columns[lang_name] = pa.array(names[np.where(ok, best, len(names) - 1)], pa.string())
+            columns[score_name] = np.where(ok, score, 0.0)
             yield pa.RecordBatch.from_pydict(columns)
 
     return run
@@ -187,21 +187,23 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def identify(docs: DataFrame, *, sample_docs: int = SAMPLE_DOCS, contexts: int = CONTEXTS, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` of each row of ``docs`` (doc_id, text, lang), and held_out, lang_pred, score.
+def identify(docs: DataFrame, *, sample_docs: int = SAMPLE_DOCS, contexts: int = CONTEXTS, keep: tuple[str, ...] = ("doc_id",), prefix: str = "") -> DataFrame:
+    """The columns ``keep`` of each row of ``docs`` (doc_id, text, lang), and held_out, lang_pred, score (with ``prefix``).
 
     Learnt from rows that are not held out and have a doc_id, text and lang.  score is the
     posterior of the winner under equal priors.  Texts that are null or have no letter, and all
     texts if there is nothing to learn from, get ``und`` and 0.  Equal code lengths: the first language by name.
     Rows are judged one by one, so null and repeated doc_ids pass; other columns are ignored.
+    A kept column must not have the name of a new one.
     """
+    out = tuple(prefix + c for c in ("held_out", "lang_pred", "score"))
     spark = docs.sparkSession
     labelled = docs.where(~held_out()).select("doc_id", "text", "lang").where("doc_id is not null and text is not null and lang is not null")
     model = train(labelled, sample_docs=sample_docs, contexts=contexts)
     names = list(dict.fromkeys((*keep, "text")))
-    rows = docs.select(*names, held_out().alias("held_out"))
+    rows = docs.select(*names, held_out().alias(out[0]))
     if model is None:
-        return rows.select(*keep, "held_out", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+        return rows.select(*keep, out[0], F.lit("und").alias(out[1]), F.lit(0.0).alias(out[2]))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    out = rows.mapInArrow(_predict(spark.sparkContext.broadcast(model)), f"{schema}, lang_pred string, score double")
-    return out.select(*keep, "held_out", "lang_pred", "score")
+    found = rows.mapInArrow(_predict(spark.sparkContext.broadcast(model), *out[1:]), f"{schema}, `{out[1]}` string, `{out[2]}` double")
+    return found.select(*keep, *out)

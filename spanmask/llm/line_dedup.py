@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import written
+from .store import fresh, written
 
 #: Above this share of its host's pages a line is boilerplate ...
 RATIO = 0.1
@@ -33,21 +33,26 @@ def boilerplate(docs: DataFrame, host: str = "source", *, ratio: float = RATIO,
     return often.groupBy("host").agg(F.collect_set("line").alias("lines"))
 
 
-def drop_boilerplate(docs: DataFrame, host: str = "source", *, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """All columns of ``docs`` with ``text`` cut, and n_lines (not blank) and n_dropped.
+def drop_boilerplate(
+    docs: DataFrame, host: str = "source", *, ratio: float = RATIO, min_pages: int = MIN_PAGES, counts: bool = True
+) -> DataFrame:
+    """All columns of ``docs`` with ``text`` cut, and with ``counts`` n_lines (not blank) and n_dropped.
 
     Lines are parted by \\n and compared without spaces around them; blank lines stay.  Null
     texts stay null and have no line; a null host is one host with the empty one.  Null and
-    repeated doc_ids pass: rows are judged one by one, and each counts as a page.  A column that is
-    called n_lines or n_dropped is replaced.
+    repeated doc_ids pass: rows are judged one by one, and each counts as a page.  With ``counts`` a
+    column that is called n_lines or n_dropped is replaced.
     """
-    found = written(boilerplate(docs, host, ratio=ratio, min_pages=min_pages), "boilerplate").toDF("_host", "_lines")
-    joined = docs.withColumn("_host", F.coalesce(F.col(host).cast("string"), F.lit(""))).join(found, "_host", "left")
+    key, drops = fresh("_host", docs), fresh("_lines", docs)
+    found = written(boilerplate(docs, host, ratio=ratio, min_pages=min_pages), "boilerplate").toDF(key, drops)
+    joined = docs.withColumn(key, F.coalesce(F.col(host).cast("string"), F.lit(""))).join(found, key, "left")
     lines = F.split(F.col("text").cast("string"), "\n")
-    bad = lambda x: (F.trim(x) != "") & F.coalesce(F.array_contains("_lines", _key(x)), F.lit(False))
-    kept = F.when(F.col("_lines").isNull(), F.col("text")).otherwise(F.array_join(F.filter(lines, lambda x: ~bad(x)), "\n"))
+    bad = lambda x: (F.trim(x) != "") & F.coalesce(F.array_contains(F.col(drops), _key(x)), F.lit(False))
+    kept = F.when(F.col(drops).isNull(), F.col("text")).otherwise(F.array_join(F.filter(lines, lambda x: ~bad(x)), "\n"))
+    if not counts:
+        return joined.withColumn("text", kept).select(*docs.columns)
     count = lambda rule: F.coalesce(F.size(F.filter(lines, rule)).cast("long"), F.lit(0).cast("long"))
     n = F.when(F.col("text").isNull(), F.lit(0).cast("long"))
     return joined.withColumns({
-        "n_lines": n.otherwise(count(lambda x: F.trim(x) != "")), "n_dropped": n.when(F.col("_lines").isNull(), F.lit(0).cast("long")).otherwise(count(bad)), "text": kept,
+        "n_lines": n.otherwise(count(lambda x: F.trim(x) != "")), "n_dropped": n.when(F.col(drops).isNull(), F.lit(0).cast("long")).otherwise(count(bad)), "text": kept,
     }).select(*docs.columns, *(c for c in ("n_lines", "n_dropped") if c not in docs.columns))

@@ -7,6 +7,14 @@ from pyspark.sql import DataFrame
 from ..plans.config import shared_dir
 
 
+def fresh(name: str, df: DataFrame) -> str:
+    """A column name like ``name`` that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df``, written as Parquet to the shared checkpoint folder and read back.
 

@@ -131,4 +131,5 @@ def judge(pages: DataFrame, labelled: DataFrame, *, rules=RULES, support: float
 
 def page_labels(pages: DataFrame, labels: DataFrame) -> DataFrame:
     """(url, blocked): pages whose page_id is a labelled doc_id; blocked if toxic or of low quality."""
-    return pages.join(labels, F.col("page_id") == F.col("doc_id")).select("url", ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("blocked"))
+    bad = labels.select("doc_id", "toxic", "quality")
+    return pages.select("page_id", "url").join(bad, F.col("page_id") == F.col("doc_id")).select("url", ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("blocked"))

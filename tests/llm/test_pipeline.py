@@ -47,6 +47,17 @@ def test_run_against_brute_force(spark):
     assert sum(r.length for r in got) == sum(map(len, want.values()))
 
 
+def test_clashing_columns_keep_their_values(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    names = ("held_out", "lang_pred", "score", "_host", "_lines", "n_lines", "n_dropped", "component_id", "kept", "key", "item_id")
+    wide = docs.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in names}).cache()
+    for _, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, wide, SF)
+        assert out.columns == wide.columns
+        rows = out.collect()
+        assert rows and all(r[c] == f"{c}{r.doc_id}" for r in rows for c in names)
+
+
 def test_odd_rows(spark, odd):
     kept = odd
     for _, stage in pipeline.STAGES[:-1]:
