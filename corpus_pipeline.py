@@ -17,13 +17,14 @@ from spanmask.llm.store import written
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: those without text or a letter go."""
-    out = langid.identify(docs, keep=tuple(docs.columns))
-    return out.where("lang_pred <> 'und'").select(*docs.columns)
+    prefix = "_" * (1 + max(map(len, docs.columns)))    # no column has such a name
+    out = langid.identify(docs, keep=tuple(docs.columns), prefix=prefix)
+    return out.where(F.col(f"{prefix}lang_pred") != "und").select(*docs.columns)
 
 
 def line_cleaning(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines leave the texts; every document stays, and n_chars follows its text."""
-    out = line_dedup.drop_boilerplate(docs)
+    out = line_dedup.drop_boilerplate(docs, counts=False)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
