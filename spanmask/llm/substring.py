@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import written
-from .text import blocks, find_words, mix, ragged, range_hash, sums, window_hash
+from .text import BLOCK_BYTES, blocks, find_words, mix, ragged, range_hash, sums, window_hash
 
 U64 = np.uint64
 SPAN, KMER = 50, 10
@@ -77,7 +77,7 @@ def paths(words, span: int, kmer: int):
 
 def _paths(span: int, kmer: int):
     def run(batches):
-        for part, data, offsets in blocks(batches, "text"):
+        for part, data, offsets in blocks(batches, "text", BLOCK_BYTES // 2):
             doc, start, size, node, path = paths(find_words(data, offsets), span, kmer)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": part.column("doc_id").take(pa.array(doc)),
@@ -91,7 +91,7 @@ def _paths(span: int, kmer: int):
 def _open(span: int):
     """Windows of the wanted paths of each document: (node, path, place in path, window, doc_id)."""
     def run(batches):
-        for part, data, offsets in blocks(batches, "text"):
+        for part, data, offsets in blocks(batches, "text", BLOCK_BYTES // 2):
             words = find_words(data, offsets)
             wanted = part.column("wanted")
             row = np.repeat(np.arange(part.num_rows), np.diff(wanted.offsets.to_numpy()))
@@ -115,7 +115,7 @@ def _open(span: int):
 
 def _cut(span: int):
     def run(batches):
-        for part, data, offsets in blocks(batches, "text"):
+        for part, data, offsets in blocks(batches, "text", BLOCK_BYTES // 2):
             docs = part.num_rows
             data = np.insert(data, offsets[1:], 32)              # a space ends every document
             offsets = offsets + np.arange(docs + 1)
