@@ -1,7 +1,8 @@
 """Site-relative boilerplate lines, with DataFrame functions only.
 
 A line's share is the number of a host's pages that contain it over the number of the
-host's pages.  Lines above the share go, from every page of the host.  A page has few
+host's pages; pages with equal text are one page, so that copies of a page do not make its own
+lines boilerplate.  Lines above the share go, from every page of the host.  A page has few
 lines that others share, so a host cannot have more than (distinct lines per page) / share such
 lines: they fit in one array per host, and pages meet them in one join on the host.
 """
@@ -25,10 +26,12 @@ def _key(line: Column) -> Column:
 
 def boilerplate(docs: DataFrame, host: str = "source", *, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """(host, lines): the 64-bit keys of each host's boilerplate lines."""
-    pages = docs.select(F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    lines = F.array_distinct(F.transform(F.filter(F.split(text, "\n"), lambda x: F.trim(x) != ""), _key))
+    rows = docs.select(F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"), F.xxhash64(text).alias("page"), lines.alias("lines"))
+    pages = rows.groupBy("host", "page").agg(F.first("lines").alias("lines"))
     totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    lines = F.array_distinct(F.transform(F.filter(F.split("text", "\n"), lambda x: F.trim(x) != ""), _key))
-    counts = pages.select("host", F.explode(lines).alias("line")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
+    counts = pages.select("host", F.explode("lines").alias("line")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
     often = counts.where(F.col("n") >= min_pages).join(totals, "host").where(F.col("n") > F.lit(ratio) * F.col("pages"))
     return often.groupBy("host").agg(F.collect_set("line").alias("lines"))
 
@@ -40,7 +43,7 @@ def drop_boilerplate(
 
     Lines are parted by \\n and compared without spaces around them; blank lines stay.  Null
     texts stay null and have no line; a null host is one host with the empty one.  Null and
-    repeated doc_ids pass: rows are judged one by one, and each counts as a page.  With ``counts`` a
+    repeated doc_ids pass: rows are judged one by one.  With ``counts`` a
     column that is called n_lines or n_dropped is replaced.
     """
     key, drops = fresh("_host", docs), fresh("_lines", docs)

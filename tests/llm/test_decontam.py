@@ -1,11 +1,11 @@
 import random
 
-import brute
 import pytest
 
 from spanmask.llm.decontam import MASKS, SPAN, leaks
 
-from conftest import prose, vocabulary
+from . import brute
+from .conftest import prose, vocabulary
 
 
 @pytest.fixture(scope="module")

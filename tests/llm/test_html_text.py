@@ -2,10 +2,11 @@ import html
 import random
 
 import pytest
-from conftest import prose, vocabulary
 
 from spanmask.llm.html_text import extract, main_text
 
+from .conftest import prose, vocabulary
+
 ARTICLE = "The first words of it are here, and the rest of the text is long enough to be read with care by you."
 
 

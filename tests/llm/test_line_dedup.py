@@ -14,6 +14,13 @@ def test_small(spark):
     assert rows[200].n_lines == 0
 
 
+def test_copies_of_a_page_are_one_page(spark):
+    rows = [(i, "copied line\nand another\nMenu", "a") for i in range(30)] + [(100 + i, f"own {i}\nMenu", "a") for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.text for r in drop_boilerplate(df, ratio=0.5).collect()}
+    assert got[0] == "copied line\nand another" and got[103] == "own 3"
+
+
 def test_empty_and_odd(empty, odd):
     assert drop_boilerplate(empty).collect() == []
     assert drop_boilerplate(odd).count() == 6

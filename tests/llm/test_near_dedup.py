@@ -1,9 +1,10 @@
-import brute
 import numpy as np
 
 from spanmask.llm.components import components
 from spanmask.llm.near_dedup import near_duplicates, sketch
 
+from . import brute
+
 
 def as_dict(df):
     return {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in df.collect()}

@@ -1,4 +1,3 @@
-import brute
 import corpus_pipeline as pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
@@ -7,6 +6,8 @@ from tokenizers import Tokenizer
 from spanmask.llm import langid
 from spanmask.llm.line_dedup import MIN_PAGES, RATIO
 
+from . import brute
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -24,8 +25,7 @@ def test_run_against_brute_force(spark):
     accepted = {r.doc_id for r in langid.identify(read("documents")).where("lang_pred <> 'und'").collect()}
     docs = {i: r.text for i, r in source.items() if i in accepted}
     pages, having = {}, {}
-    for i, text in docs.items():
-        host = source[i].source or ""
+    for host, text in {(source[i].source or "", t) for i, t in docs.items()}:
         pages[host] = pages.get(host, 0) + 1
         for line in {x.strip(" ") for x in text.split("\n")} - {""}:
             having[host, line] = having.get((host, line), 0) + 1

@@ -1,7 +1,7 @@
-import brute
-
 from spanmask.llm.quality import Limits, repetition
 
+from . import brute
+
 
 def test_counts(docs, documents):
     got = {r.doc_id: (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in repetition(docs).collect()}

@@ -1,8 +1,9 @@
-import brute
 import pytest
 
 from spanmask.llm.substring import cut_repeats
 
+from . import brute
+
 
 def as_dict(df):
     return {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in df.collect()}

@@ -1,4 +1,3 @@
-import brute
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -12,6 +11,8 @@ from spanmask.llm.packing import Slots, pack_documents, patterns
 from spanmask.llm.text import utf8
 from spanmask.llm.wavelet import WaveletMatrix, document_digests, read_shards, token_output, write_shards
 
+from . import brute
+
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
 

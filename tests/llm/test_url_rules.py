@@ -1,10 +1,11 @@
 from itertools import combinations
 
-import brute
 from pyspark.sql import functions as F
 
 from spanmask.llm.url_rules import RULES, judge, tokens
 
+from . import brute
+
 URLS = [
     "http://a.example.org/es/1", "http://example.org/es/", "http://EXAMPLE.org/en/12?x=1", "https://b.com/fr/x", "https://b.com/de/y#z",
     "https://b.com/de", "http://org/", "http://org", "http://forg/x", "ftp://x.org?a://b", "no scheme", None, "", "://", "http://É.com/de/", "http://a.com#/de/", "x\n://y.com/de/\n?z",
