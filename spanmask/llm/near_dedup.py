@@ -13,9 +13,9 @@ afterwards).  Classes that share a band are candidates:
 
 1. every class is compared with one leader, the smallest class of the bucket it
    shares most bands with.  One hot bucket costs one comparison per member;
-2. what is left are buckets whose members lie in several components by then.  Their
-   members are compared exactly in blocks of a bounded number of classes; only links
-   that join two components leave a block.
+2. what is left are buckets whose members lie in several components by then.  The members
+   outside the largest of them are compared with all members, in blocks of a bounded number of
+   classes; only links that join two components leave a block.
 
 All comparisons are on the whole shingle sets.  With the defaults a pair at
 exactly the threshold of 0.85 is missed by all 24 bands with probability below 1e-6.
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .store import written
-from .text import BLOCK_BYTES, blocks, find_words, lists, mix, range_hash, ragged, sums
+from .text import blocks, find_words, lists, mix, range_hash, ragged, sums
 
 U64 = np.uint64
 BANDS, ROWS = 24, 5
@@ -116,11 +116,11 @@ def _similar(inter, a, b, num: int, den: int):
 def _verified(k: int, num: int, den: int):
     """Keep the rows of (text, other text) whose sets are similar."""
     def run(batches):
-        for part, data, offsets in blocks(batches, "text", BLOCK_BYTES // 2):
+        for part, data, offsets in blocks(batches, "text"):
             a, pa_ = shingle_sets(find_words(data, offsets, lower=True), k)
             ok = np.zeros(part.num_rows, dtype=bool)
             at = 0
-            for sub, other, where in blocks([part], "leader_text", BLOCK_BYTES // 2):
+            for sub, other, where in blocks([part], "leader_text"):
                 b, pb = shingle_sets(find_words(other, where, lower=True), k)
                 m = sub.num_rows
                 mine = a[pa_[at]:pa_[at + m]]
@@ -244,17 +244,22 @@ def near_duplicates(
         met.join(label.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
         .withColumn("component", F.coalesce("component", "doc_id"))
     )
+    parts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"), F.first("size").alias("size"), F.first("mark").alias("mark"))
     mixed = (
-        placed.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.first("size").alias("size"), F.first("mark").alias("mark"))
-        .where("least <> most").groupBy("size", "mark").agg(F.min("key").alias("key"))
-        .withColumn("blocks", F.ceil(F.col("size") / block))
-    )
-    own = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.col("blocks"))
-    spread = (
-        placed.select("key", "doc_id", "component").join(mixed, "key")
-        .select("key", "doc_id", "component", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
-        .select("key", "doc_id", "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+        parts.groupBy("key").agg(
+            F.count(F.lit(1)).alias("components"), F.max(F.struct("c", "component")).alias("most"), F.first("size").alias("size"), F.first("mark").alias("mark"),
+        ).where("components > 1")
+        .groupBy("size", "mark").agg(F.min(F.struct("key", "most")).alias("b"))
+        .select("b.key", F.col("b.most.component").alias("most"), F.ceil(F.col("size") / block).alias("alls"), F.ceil((F.col("size") - F.col("b.most.c")) / block).alias("others"))
     )
+    # Members outside the bucket's largest component meet all members; that component's own pairs need no look.
+    own = lambda n: F.pmod(F.xxhash64("doc_id", F.lit(7)), F.col(n))
+    numbers = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    cells = F.array_distinct(F.concat(
+        F.transform(numbers("others"), lambda i: F.struct(i.alias("i"), own("alls").alias("j"))),
+        F.when(F.col("component") != F.col("most"), F.transform(numbers("alls"), lambda j: F.struct(own("others").alias("i"), j.alias("j")))).otherwise(F.array()),
+    ))
+    spread = placed.select("key", "doc_id", "component").join(mixed, "key").select("key", "doc_id", "component", F.inline(cells))
     met_blocks = (
         spread.join(texts, "doc_id").groupBy("key", "i", "j")
         .agg(F.collect_list(F.struct("doc_id", "component", "text")).alias("members"), F.min("component").alias("least"), F.max("component").alias("most"))

@@ -27,7 +27,7 @@ _BYTE_CODE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.
 _powers: dict[int, np.ndarray] = {}
 
 #: Bytes of text that one block holds (one longer document is a block of its own).
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -39,11 +39,10 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**n modulo 2**64; kept per base and grown by doubling."""
+    """base**0 .. base**n modulo 2**64; kept per base, with some room to grow."""
     have = _powers.get(base)
     if have is None or len(have) <= n:
-        size = max(1 << 16, 1 << int(n + 1).bit_length())
-        steps = np.full(size, base, dtype=np.uint64)
+        steps = np.full(n + n // 8 + (1 << 12), base, dtype=np.uint64)
         steps[0] = 1
         have = _powers[base] = np.cumprod(steps, dtype=np.uint64)
     return have

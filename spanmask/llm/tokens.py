@@ -3,7 +3,7 @@
 The tokenizers used here drop white space and never join characters across it,
 so the ids of a text are the ids of its words (runs without space or \\x09-\\x0D), one
 after the other.  A worker keeps the ids of the words that it has seen, found by their
-64-bit hash, up to a bound (then it starts afresh), and hands only new words to the library.
+63-bit hash, up to a bound (then it starts afresh), and hands only new words to the library.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from .text import find_words, ragged, sums
 
 U64 = np.uint64
 #: Words whose ids a worker keeps at most.
-MAX_WORDS = 1_100_000
+MAX_WORDS = 1_000_000
 TABLE_BITS = 21
 #: Latin letters, then marks other than apostrophes: tokenizer rules part the two, and each has its own ids.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ž]+)([!-&(-/:-@\[-`{-~]*)")
@@ -52,7 +52,9 @@ class HashTable:
 
     def add(self, keys: np.ndarray, first: int) -> None:
         """Give distinct new keys the numbers first, first + 1, ..."""
-        values = np.arange(first, first + len(keys), dtype=np.int32)
+        self._put(keys, np.arange(first, first + len(keys), dtype=np.int32))
+
+    def _put(self, keys: np.ndarray, values: np.ndarray) -> None:
         at = keys & self.mask
         while len(keys):
             free = self.keys[at] == 0
@@ -61,6 +63,14 @@ class HashTable:
             self.values[at[won]] = values[won]
             keys, values, at = keys[~won], values[~won], at[~won] + U64(1) & self.mask
 
+    def room(self, n: int) -> None:
+        """Make sure that n keys fill no more than three quarters."""
+        if 4 * n > 3 * len(self.keys):
+            keys, values = self.keys, self.values
+            self.__init__(int(2 * n).bit_length())
+            used = keys != 0
+            self._put(keys[used], values[used])
+
 
 class Encoder:
     def __init__(self, path: str):
@@ -76,73 +86,83 @@ class Encoder:
 
     def _reset(self):
         self.table, self.known = HashTable(TABLE_BITS), 0
-        self.parts: dict[str, bytes] = {}
         self.flat, self.used = np.zeros(1 << 16, dtype=np.uint32), 0
         self.first, self.count = np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64)
 
-    def _library(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32).tobytes()
+    def _each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, ids per word), by one call for each."""
+        got = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+        return np.array([i for ids in got for i in ids], dtype=np.uint32), np.array([len(ids) for ids in got], dtype=np.int64)
 
-    def _plain(self, words: list[str]):
-        """Ids of new lower-case words of letters: many in one call, parted after each word-end token."""
+    def _many(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of lower-case words of letters: many in one call, parted after each word-end token."""
+        out, sizes = [], []
         for at in range(0, len(words), 4096):
             some = words[at:at + 4096]
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype=np.uint32)
-            stop = (np.flatnonzero(self.ends[ids]) + 1) * 4
-            if len(stop) == len(some):
-                raw, start = ids.tobytes(), 0
-                for word, end in zip(some, stop.tolist()):
-                    self.parts[word] = raw[start:end]
-                    start = end
-            else:
-                self.parts.update((word, self._library(word)) for word in some)
-
-    def _learn(self, hashes: np.ndarray, words: list[str]):
-        parts = self.parts
-        stems, tails, need = [], [], {}
-        for word in words:
-            m = _PLAIN.fullmatch(word)
-            if m:
-                stem, tail = m.groups()
-                stem = stem.lower()
-                if stem not in parts:
-                    need[stem] = None
-            else:
-                stem, tail = None, word
-            if tail and tail not in parts and (stem is not None):
-                parts[tail] = self._library(tail)
-            stems.append(stem)
-            tails.append(tail)
-        self._plain(list(need))
-        out = [(parts[s] + parts[t] if t else parts[s]) if s is not None else self._library(t) for s, t in zip(stems, tails)]
-        sizes = np.array([len(x) >> 2 for x in out], dtype=np.int64)
-        total, n = int(sizes.sum()), self.known + len(out)
-        self.flat = _room(self.flat, self.used + total)
-        self.first, self.count = _room(self.first, n), _room(self.count, n)
-        self.flat[self.used:self.used + total] = np.frombuffer(b"".join(out), dtype=np.uint32)
+            stop = np.flatnonzero(self.ends[ids]) + 1
+            ids, size = (ids, np.diff(stop, prepend=0)) if len(stop) == len(some) else self._each(some)
+            out.append(ids)
+            sizes.append(size)
+        return np.concatenate(out), np.concatenate(sizes)
+
+    def _store(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray):
+        """Keep the ids of new words, one after the other in ``ids``."""
+        n, end = self.known + len(hashes), self.used + len(ids)
+        self.flat, self.first, self.count = _room(self.flat, end), _room(self.first, n), _room(self.count, n)
+        self.flat[self.used:end] = ids
         self.first[self.known:n] = self.used + np.cumsum(sizes) - sizes
         self.count[self.known:n] = sizes
+        self.table.room(n)
         self.table.add(hashes, self.known)
-        self.used, self.known = self.used + total, n
+        self.used, self.known = end, n
+
+    def _slots(self, words: list[str], ask) -> np.ndarray:
+        """The numbers of words; those not known yet are asked for."""
+        data = np.frombuffer(" ".join(words).encode(), dtype=np.uint8)
+        code = _key(find_words(data, np.array([0, len(data)])).code)
+        slot = self.table.find(code)
+        new = np.flatnonzero(slot < 0)
+        if len(new):
+            hashes, at = np.unique(code[new], return_index=True)
+            self._store(hashes, *ask([words[i] for i in new[at].tolist()]))
+            slot[new] = self.table.find(code[new])
+        return slot
+
+    def _learn(self, hashes: np.ndarray, words: list[str]):
+        match = [_PLAIN.fullmatch(w) for w in words]
+        plain = np.array([m is not None for m in match], dtype=bool)
+        if plain.any():
+            # Letters and marks are looked up apart, then joined; a word that is its own letters is known by then.
+            stem = self._slots([m.group(1).lower() for m in match if m], self._many)
+            tails = [m.group(2) for m in match if m]
+            has = np.array([bool(t) for t in tails], dtype=bool)
+            parts = np.stack([stem, np.zeros_like(stem)], axis=1)
+            if has.any():
+                parts[has, 1] = self._slots([t for t in tails if t], self._each)
+            size = self.count[parts]
+            size[~has, 1] = 0
+            new = self.table.find(hashes[plain]) < 0
+            parts, size = parts[new], size[new]
+            ids = self.flat[ragged(self.first[parts].reshape(-1), size.reshape(-1))]
+            self._store(hashes[plain][new], ids, size.sum(axis=1))
+        if not plain.all():
+            odd = np.flatnonzero(~plain)
+            odd = odd[self.table.find(hashes[odd]) < 0]      # marks alone may be known as tails
+            self._store(hashes[odd], *self._each([words[i] for i in odd.tolist()]))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, ids per text) of a block of UTF-8 texts; ``end`` follows each text if given."""
+        if self.known > MAX_WORDS:
+            self._reset()
         words = find_words(data, offsets)
-        code = words.code | U64(1) << U64(63)       # never 0
+        code = _key(words.code)
         slot = self.table.find(code)
         new = np.flatnonzero(slot < 0)
         if len(new):
             hashes, at = np.unique(code[new], return_index=True)
-            if self.known and self.known + len(hashes) > MAX_WORDS:
-                self._reset()
-                return self.encode(data, offsets, end)
             at, raw = new[at], data.tobytes()
-            step = 1 << 18
-            for i in range(0, len(at), step):
-                some = at[i:i + step]
-                if self.known + len(some) > len(self.table.keys) * 3 // 4:
-                    raise ValueError(f"a block of {len(hashes)} different words is too large")
-                self._learn(hashes[i:i + step], [raw[a:b].decode() for a, b in zip(words.start[some].tolist(), words.end[some].tolist())])
+            self._learn(hashes, [raw[a:b].decode() for a, b in zip(words.start[at].tolist(), words.end[at].tolist())])
             slot[new] = self.table.find(code[new])
         sizes = self.count[slot]
         ids = self.flat[ragged(self.first[slot], sizes)]
@@ -153,6 +173,11 @@ class Encoder:
         return ids, counts
 
 
+def _key(code: np.ndarray) -> np.ndarray:
+    """A word's hash as a key of the table, where 0 stands for a free place."""
+    return code | U64(1) << U64(63)
+
+
 def _room(a: np.ndarray, n: int) -> np.ndarray:
     if n <= len(a):
         return a

@@ -48,6 +48,11 @@ def test_encoder_starts_afresh(monkeypatch):
         ids, _ = enc.encode(*utf8(pa.array([text])))
         assert ids.tolist() == enc.tokenizer.encode(text, add_special_tokens=False).ids
     assert enc.known == 4
+    big = ' '.join(f'word{i} w{i}.' for i in range(40_000)) + ' x' * 5
+    monkeypatch.setattr(tokens, 'TABLE_BITS', 10)
+    small = tokens.Encoder(PATH)                          # a block that outgrows the table
+    ids, _ = small.encode(*utf8(pa.array([big])))
+    assert ids.tolist() == enc.tokenizer.encode(big, add_special_tokens=False).ids
 
 
 @settings(max_examples=60, deadline=None)
