@@ -106,14 +106,20 @@ def test_columns_of_two_tables_keep_their_own_spans(spark):
     assert [(s.start, s.end) for s in again.z] == [(20, 27)]
 
 
-def test_fifty_columns_build_in_seconds(spark):
+def test_wide_tables_cost_one_expression(spark):
+    """Fifty columns in seconds, or (on a busy machine) far below ten times five columns."""
     from spanmask import anonymize, scan
 
     df = spark.createDataFrame([tuple("x" for _ in range(50))], ", ".join(f"c{i} string" for i in range(50)))
-    anonymize(scan(df.select("c0", "c1")))                  # JVM classes loaded
-    t = time.time()
-    anonymize(scan(df))
-    assert time.time() - t < 5
+
+    def seconds(columns):
+        t = time.time()
+        anonymize(scan(df.select(*columns)))
+        return time.time() - t
+
+    seconds(df.columns[:5])                                 # JVM classes loaded
+    five = seconds(df.columns[:5])
+    assert seconds(df.columns) < max(5, 5 * five)
 
 
 @pytest.mark.parametrize("text,want", [
