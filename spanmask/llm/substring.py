@@ -170,6 +170,7 @@ def repeated_spans(docs: DataFrame, *, span: int = SPAN, kmer: int = KMER) -> Da
     nodes = filed.groupBy("node").agg(
         F.min("doc_id").alias("source"), F.max("doc_id").alias("last"), F.min("path").alias("one"), F.max("path").alias("other")
     ).where("source < last").select("node", "source", (F.col("one") != F.col("other")).alias("branches"))
+    nodes = written(nodes, "nodes")          # a join of two plain exchanges, so that a hot node's paths can be split
     shared = written(filed.join(nodes, "node"), "shared_paths")
 
     straight = shared.where("not branches and source < doc_id").select(
