@@ -1,3 +1,5 @@
+import functools
+
 import corpus_pipeline as pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
@@ -63,3 +65,19 @@ def test_odd_rows(spark, odd):
     for _, stage in pipeline.STAGES[:-1]:
         kept = stage(spark, kept, SF)
     assert kept.where(F.col("doc_id") == 4).count() == 0
+
+
+def test_near_dedup_stage_links_from_four_fifths(spark):
+    rows = []
+    for i in range(40):                                  # shared shingles of 100 in both: 80, and 79 of 101
+        shared = [f"s{i}x{j}" for j in range(84)]
+        rows += [(10 * i + d, " ".join(shared + [f"o{i}x{d}x{j}" for j in range(10)])) for d in (0, 1)]
+        rows += [(1000 + 10 * i + d, " ".join(["t" + w for w in shared[:83]] + [f"p{i}x{d}x{j}" for j in range(11)])) for d in (0, 1)]
+    kept = pipeline.near_dedup_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
+    want = {i for i, (_, _, keep) in brute.near_duplicates(rows, num=80).items() if keep}
+    assert {r.doc_id for r in kept.collect()} == want == {i for i, _ in rows if i >= 1000 or i % 10 == 0}
+
+
+def test_run_against_brute_force_at_four_fifths(spark, monkeypatch):
+    monkeypatch.setattr(brute, "near_duplicates", functools.partial(brute.near_duplicates, num=80))
+    test_run_against_brute_force(spark)
