@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from .store import fresh, written
 
-#: Above this share of its host's pages a line is boilerplate ...
-RATIO = 0.1
+#: Above this share of its host's pages a line is boilerplate: one page in twenty.  A template puts its lines on all pages
+#: of a section, and a section of interest has that many pages; a phrase that authors repeat does not reach it ...
+RATIO = 0.05
 #: ... if that many pages have it.
 MIN_PAGES = 5
 

@@ -21,6 +21,17 @@ def test_copies_of_a_page_are_one_page(spark):
     assert got[0] == "copied line\nand another" and got[103] == "own 3"
 
 
+def test_line_on_just_under_a_tenth_of_the_pages(spark):
+    rows = []
+    for h in range(4):                                   # 19 of 200 pages have the line, 10 of 200 (5 %) a phrase
+        for i in range(200):
+            lines = [f"body {h} {i}"] + ["Subscribe to our letter"] * (i % 10 == 3 and i > 3) + ["as they say"] * (i % 20 == 7)
+            rows.append((1000 * h + i, "\n".join(lines), f"host{h}"))
+    got = drop_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert sum(r.n_dropped for r in got) == 4 * 19 and not any("Subscribe" in r.text for r in got)
+    assert sum("as they say" in r.text for r in got) == 4 * 10
+
+
 def test_empty_and_odd(empty, odd):
     assert drop_boilerplate(empty).collect() == []
     assert drop_boilerplate(odd).count() == 6
