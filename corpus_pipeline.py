@@ -7,12 +7,12 @@ that its predecessor kept; all but the last return the columns of ``documents``.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanmask.llm import decontam, langid, line_dedup, near_dedup, packing
 from spanmask.llm.queries import TOKENIZER
-from spanmask.llm.store import written
+from spanmask.llm.store import fresh, written
 
 #: The stage links from a similarity of 0.8 on; 35 bands of 5 miss a pair at exactly 0.8 with probability below 1e-6.
 NEAR = {"num": 80, "den": 100, "bands": 35}
@@ -33,17 +33,50 @@ def line_cleaning(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return out.select(*docs.columns)
 
 
+def _row_keys(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a column of long row keys, and its name: doc_id, or a number that no doc_id has for each row without one.
+
+    The numbers are above all doc_ids, so that rows with a doc_id come first; below them if there is no room.
+    """
+    key, part, start = (fresh(name, docs) for name in ("_row", "_part", "_start"))
+    ids = F.col("doc_id").cast("long")
+    least, most, nulls = docs.agg(F.min(ids), F.max(ids), F.count_if(ids.isNull())).first()
+    if not nulls:
+        return docs.withColumn(key, ids), key
+    first = 0 if most is None else most + 1 if most + nulls < 1 << 63 else least - nulls
+    if first < -(1 << 63):
+        raise ValueError("rows without a doc_id: no numbers left beside the doc_ids")
+    # Written, so that all jobs see the same numbers; their upper bits are the task's, and counts per task close the gaps.
+    rows = written(docs.where(ids.isNull()).withColumn(key, F.monotonically_increasing_id()), "rows_without_id")
+    rows = rows.withColumn(part, F.shiftright(key, 33)).withColumn(key, F.col(key).bitwiseAND((1 << 33) - 1))
+    before = F.sum("count").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1))
+    starts = rows.groupBy(part).count().select(part, F.coalesce(before, F.lit(0)).alias(start))
+    rows = rows.join(F.broadcast(starts), part).withColumn(key, F.lit(first).cast("long") + F.col(start) + F.col(key))
+    return docs.where(ids.isNotNull()).withColumn(key, ids).unionByName(rows.drop(part, start)), key
+
+
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group stays; documents link from a similarity of 0.8 on."""
-    gone = near_dedup.near_duplicates(docs, **NEAR).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The document with the smallest doc_id of each group stays; documents link from a similarity of 0.8 on.
+
+    Of rows with equal doc_id and text one stays.  Each row without a doc_id is a document of its own, after those with one.
+    """
+    rows, key = _row_keys(docs)
+    marks = near_dedup.near_duplicates(rows.select(F.col(key).alias("doc_id"), "text"), **NEAR)
+    gone = written(marks.where("not kept").select(F.col("doc_id").alias(key)).distinct(), "gone")
+    kept = rows.join(gone, key, "left_anti")
+    several = written(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key), "several_rows")
+    if not several.isEmpty():
+        kept = kept.join(several, key, "left_anti").unionByName(kept.join(several, key, "left_semi").dropDuplicates([key, "text"]))
+    return kept.select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that overlap a benchmark item go."""
+    """Documents that overlap a benchmark item go, those without a doc_id too."""
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    gone = written(decontam.leaks(docs, benchmark).select("doc_id").distinct(), "leaks")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    rows, key = _row_keys(docs)
+    leaks = decontam.leaks(rows.select(F.col(key).alias("doc_id"), "text"), benchmark)
+    gone = written(leaks.select(F.col("doc_id").alias(key)).distinct(), "leaks")
+    return rows.join(gone, key, "left_anti").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -78,6 +78,24 @@ def test_near_dedup_stage_links_from_four_fifths(spark):
     assert {r.doc_id for r in kept.collect()} == want == {i for i, _ in rows if i >= 1000 or i % 10 == 0}
 
 
+def test_repeated_rows_and_rows_without_id(spark):
+    say = lambda name, n=40: " ".join(f"{name}{j}" for j in range(n))
+    for last in (7, (1 << 63) - 1):
+        rows = [(5, say("a"))] * 4 + [(5 if last == 7 else 6, say("b")), (last, say("c") + " end")]
+        rows += [(None, say("a")), (None, say("c") + " stop"), (None, say("d") + " x"), (None, say("d") + " y"), (None, say("e"))]
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+        got = [(r.doc_id, r.text[:2]) for r in pipeline.near_dedup_stage(spark, df, SF).collect()]
+        assert sorted(t for _, t in got) == ["a0", "b0", "c0", "d0", "e0"] and (None, "d0") in got and (None, "e0") in got
+        assert last > 7 or {(5, "a0"), (5, "b0"), (last, "c0")} < set(got)
+
+
+def test_rows_without_id_are_decontaminated(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    rows = [(None, f"some words before {item}"), (None, "a clean text of its own"), (3, item), (4, "another clean text")]
+    out = pipeline.decontamination(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
+    assert sorted(r.text for r in out.collect()) == ["a clean text of its own", "another clean text"]
+
+
 def test_run_against_brute_force_at_four_fifths(spark, monkeypatch):
     monkeypatch.setattr(brute, "near_duplicates", functools.partial(brute.near_duplicates, num=80))
     test_run_against_brute_force(spark)
