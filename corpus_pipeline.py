@@ -14,8 +14,8 @@ from spanmask.llm import decontam, langid, line_dedup, near_dedup, packing
 from spanmask.llm.queries import TOKENIZER
 from spanmask.llm.store import fresh, written
 
-#: The stage links from a similarity of 0.8 on; 35 bands of 5 miss a pair at exactly 0.8 with probability below 1e-6.
-NEAR = {"num": 80, "den": 100, "bands": 35}
+#: The stage links from a similarity of 0.8 on; 27 bands of 4 miss a pair at exactly 0.8 with probability below 1e-6.
+NEAR = {"num": 80, "den": 100, "bands": 27, "rows": 4}
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
