@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, html_text, langid, line_dedup, near_dedup, packing, quality, substring, url_rules, wavelet
+from . import conversations, decontam, exact, html_text, langid, line_dedup, merkle, near_dedup, packing, quality, substring, twins, url_rules, wavelet
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -58,11 +58,25 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.token_output(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations")
+    return conversations.repair(conversations.damaged(rows), ids=rows)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_table(spark, sf_dir, "documents"), merkle.lower_cased())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_near_dedup, op2_packing, op3_quality, op4_decontamination, op5_url_filter, op6_html_text,
         op7_language_id, op8_line_dedup, op9_substring_dedup, op10_token_output,
+        op11_exact_dedup, op12_conversation_repair, op13_merkle_manifest,
     )
 }
 
@@ -84,4 +98,7 @@ SELECT doc_id, source,
   coalesce(len(list_filter(lines, lambda x: trim(x, ' ') <> '')), 0)::BIGINT AS n_lines,
   CASE WHEN drops IS NULL OR text IS NULL THEN 0 ELSE len(list_filter(lines, lambda x: list_contains(drops, trim(x, ' ')))) END::BIGINT AS n_dropped
 FROM d LEFT JOIN g USING (host)""",
+    "op11_exact_dedup": twins.EXACT,
+    "op12_conversation_repair": twins.repair(),
+    "op13_merkle_manifest": twins.manifest(),
 }
