@@ -1,5 +1,3 @@
-import functools
-
 import corpus_pipeline as pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
@@ -33,7 +31,7 @@ def test_run_against_brute_force(spark):
             having[host, line] = having.get((host, line), 0) + 1
     gone = {k for k, n in having.items() if n >= MIN_PAGES and n > RATIO * pages[k[0]]}
     docs = {i: "\n".join(x for x in t.split("\n") if (source[i].source or "", x.strip(" ")) not in gone) for i, t in docs.items()}
-    near = brute.near_duplicates(list(docs.items()))
+    near = brute.near_duplicates(list(docs.items()), num=80)
     docs = {i: t for i, t in docs.items() if near[i][2]}
     items = [(r.item_id, r.text) for r in read("benchmark").collect()]
     grams = {tuple(w[i:i + 8]) for w in (brute.words(t, True) for _, t in items) for i in range(len(w) - 7)}
@@ -94,8 +92,3 @@ def test_rows_without_id_are_decontaminated(spark):
     rows = [(None, f"some words before {item}"), (None, "a clean text of its own"), (3, item), (4, "another clean text")]
     out = pipeline.decontamination(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
     assert sorted(r.text for r in out.collect()) == ["a clean text of its own", "another clean text"]
-
-
-def test_run_against_brute_force_at_four_fifths(spark, monkeypatch):
-    monkeypatch.setattr(brute, "near_duplicates", functools.partial(brute.near_duplicates, num=80))
-    test_run_against_brute_force(spark)
