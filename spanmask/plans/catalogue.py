@@ -7,6 +7,7 @@ sides.  All queries read whole tables and whole texts.
 
 from __future__ import annotations
 
+import functools
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,15 +17,18 @@ from pyspark.sql import types as T
 from ..functions.recognizers import CREDIT_CARD, EMAIL, IP_ADDRESS, PHONE, SECRET, URL, Recognizer
 from ..functions.spans import detect, detect_hits, resolve_spans
 from ..functions.udf import python_regex_detector, python_regex_factory, register_row_detector
+from ..operators.advise import FIRST, GROWTH, HIGH, LOW, Z, advise_columns
 from ..operators.anonymize import anonymize, bucket_rows, spans_long, union_columns
 from ..operators.columns import full_mask, q
 from ..operators.gazetteer import GAZETTEER_SCORE, PERSON_NAMES, PLACE_NAMES, add_gazetteer, gazetteer_spans
+from ..operators.distinct import distinct_values
+from ..operators.sample import DIGEST, bottom_k
 from ..operators.scan import scan
 from ..operators.summary import summarize
 from ..sources.files import ingest_json, with_file_metadata, write_hop, write_json
 from ..sources.synth import synth_customers
 from ..sources.tables import CUSTOMERS_WITH_PII_SQL, customers_with_pii, table
-from ..streaming.hops import HopPaths, read_summary, run_pipeline, summary_sink
+from ..streaming.hops import HopPaths, distinct_sink, read_distinct, read_summary, run_pipeline, summary_sink
 from ..plans.config import ScanConfig, shared_dir
 from . import oracle as O
 
@@ -189,6 +193,45 @@ def scan_summary(spark, d):
     return summarize(s).withColumn("avg_score", F.round("avg_score", 6))
 
 
+SAMPLE = 500
+
+
+def sample_summary(spark, d):
+    """The scan summary of a sample: the rows with the smallest md5 of the id, and only those, are scanned."""
+    sample = bottom_k(customers_with_pii(spark, d), "id", SAMPLE).drop(DIGEST)
+    s = scan(sample, exclude=CWP_EXCLUDE, known=CWP_KNOWN, recognizers=PATTERNS)
+    return summarize(s).withColumn("avg_score", F.round("avg_score", 6))
+
+
+ADVISED = (("customer", "c_custkey"), ("supplier", "s_suppkey"), ("documents", "doc_id"), ("pages", "page_id"), ("events", "event_id"), ("benchmark", "item_id"))
+
+
+def advise_tables(spark, d):
+    """What to do with every string column of several tables, from a sample that grows until the column is decided."""
+    parts = [advise_columns(table(spark, d, t), key, recognizers=PATTERNS + [URL]).select(F.lit(t).alias("table"), "*") for t, key in ADVISED]
+    out = functools.reduce(DataFrame.unionByName, parts)
+    return out.withColumns({c: F.round(c, 6) for c in ("hit_low", "hit_high", "whole_low", "whole_high")})
+
+
+def _advise_sql() -> str:
+    strings = {
+        "customer": ["c_name", "c_mktsegment"], "supplier": ["s_name"], "documents": ["text", "lang", "source"], "pages": ["url", "html"],
+        "events": ["event_type", "props"], "benchmark": ["text"]}
+    return " UNION ALL ".join(
+        f"({O.advice(t, t, key, c, PATTERNS + [URL], LOW, HIGH, Z, FIRST, GROWTH)})" for t, key in ADVISED for c in strings[t])
+
+
+def distinct_entities(spark, d):
+    """Different values of each entity type in each column."""
+    s = scan(customers_with_pii(spark, d), exclude=CWP_EXCLUDE, known=CWP_KNOWN, recognizers=PATTERNS)
+    return distinct_values(s)
+
+
+def _distinct_sql(source: str, key: str, cols) -> str:
+    return (f"SELECT \"column\", entity_type, count(DISTINCT matched) AS distinct_values, true AS exact FROM ({O.all_span_rows(source, key, cols, PATTERNS)}) "
+            f"GROUP BY \"column\", entity_type")
+
+
 def _flat_counts_sql(cols, recs) -> str:
     return " UNION ALL ".join(
         f"SELECT id, '{c}' AS \"column\", {O.count_expr(c, recs)} AS n_spans FROM {CWP}" for c in cols
@@ -334,6 +377,16 @@ def stream_summary(spark, d):
     return out.withColumn("avg_score", F.round("avg_score", 6))
 
 
+def stream_distinct(spark, d):
+    """Distinct values gathered as sketches per micro-batch, one landed file each."""
+    root = shared_dir(spark, "stream_distinct")
+    landing = f"{root}/landing"
+    write_json(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"), landing, parts=4)
+    st = ingest_json(spark, landing, T.StructType.fromDDL("id long, text string"), max_files=1)
+    distinct_sink(scan(st, exclude=["id"], recognizers=PATTERNS), f"{root}/distinct", f"{root}/_checkpoints/distinct")
+    return read_distinct(spark, f"{root}/distinct")
+
+
 # --- synthetic data --------------------------------------------------------
 
 def synth_query(spark, d):
@@ -367,6 +420,9 @@ def queries() -> dict[str, Query]:
         "scan_id_checked": scan_id_checked,
         "scan_id_debug": scan_id_debug,
         "scan_summary": scan_summary,
+        "sample_summary": sample_summary,
+        "advise_columns": advise_tables,
+        "distinct_entities": distinct_entities,
         "resolve_overlaps": resolve_overlaps,
         "anonymize_documents": anonymize_documents,
         "anonymize_customers": anonymize_customers,
@@ -385,6 +441,7 @@ def queries() -> dict[str, Query]:
         "stream_ingest": stream_ingest,
         "stream_three_hop": stream_three_hop,
         "stream_summary": stream_summary,
+        "stream_distinct": stream_distinct,
         "synth_customers": synth_query,
     }
 
@@ -426,6 +483,10 @@ def oracle_sql() -> dict[str, str]:
         "scan_id_checked": doc_counts,
         "scan_id_debug": doc_counts,
         "scan_summary": _summary_sql(["freetext_1", "lang"], PATTERNS),
+        "sample_summary": _summary_sql(["freetext_1", "lang"], PATTERNS, f"(SELECT * FROM {CWP} ORDER BY md5(CAST(id AS VARCHAR)) LIMIT {SAMPLE})"),
+        "advise_columns": _advise_sql(),
+        "distinct_entities": _distinct_sql(CWP, "id", ["freetext_1", "lang"]),
+        "stream_distinct": _distinct_sql("documents", "doc_id", ["text"]),
         "resolve_overlaps": O.islands(_union(PATTERNS + [DIGIT_RUN]), "doc_id"),
         "anonymize_documents": docs(O.REPLACE),
         "anonymize_customers": cwp_anon,

@@ -159,3 +159,33 @@ FROM r WHERE rk = 1
 
 
 MASKED = lit(PII_MASKED)
+
+
+def advice(name: str, table: str, key: str, column: str, recs: Sequence[Recognizer], low: float, high: float, z: float, first: int, growth: int) -> str:
+    """The column advice: shares and their bounds at every sample size, the first size that decides."""
+    spans = " UNION ALL ".join(f"({span_rows(table, key, column, r, key_alias='k')})" for r in recs)
+
+    def bound(hits: str, sign: str) -> str:
+        p, zz = f"({hits}::DOUBLE / f)", f"({z} * {z}::DOUBLE / f)"
+        inner = f"({p} + {zz} / 2 {sign} {z}::DOUBLE * sqrt({p} * (1 - {p}) / f + {zz} / (4 * f))) / (1 + {zz})"
+        return f"CASE WHEN f = 0 THEN {0.0 if sign == '-' else 1.0} ELSE least(1.0, greatest(0.0, {inner})) END"
+
+    return f"""
+SELECT {lit(name)} AS "table", {lit(column)} AS "column", advice, n AS sampled, f AS filled, h AS hits, w AS whole,
+  round(hl, 6) AS hit_low, round(hh, 6) AS hit_high, round(wl, 6) AS whole_low, round(wh, 6) AS whole_high
+FROM (
+  SELECT *, CASE WHEN n >= total THEN CASE WHEN f > 0 AND w >= {high}::DOUBLE * f THEN 'known' WHEN h <= {low}::DOUBLE * f THEN 'exclude' ELSE 'scan' END
+    WHEN wl >= {high} THEN 'known' WHEN hh <= {low} THEN 'exclude' WHEN hl > {low} AND wh < {high} THEN 'scan' END AS advice
+  FROM (
+    SELECT *, {bound('h', '-')} AS hl, {bound('h', '+')} AS hh, {bound('w', '-')} AS wl, {bound('w', '+')} AS wh
+    FROM (
+      SELECT s.n, any_value(total) AS total, count(*) FILTER (filled AND place <= s.n) AS f, count(*) FILTER (filled AND hit AND place <= s.n) AS h,
+        count(*) FILTER (filled AND hit AND covered AND place <= s.n) AS w
+      FROM (
+        SELECT coalesce(length(trim(v, ' ')), 0) > 0 AS filled, c.n IS NOT NULL AS hit, coalesce(c.n >= length(trim(v, ' ')), false) AS covered,
+          row_number() OVER (ORDER BY md5(CAST(k AS VARCHAR))) AS place, count(*) OVER () AS total
+        FROM (SELECT {key} AS k, CAST({column} AS VARCHAR) AS v FROM {table}) t
+        LEFT JOIN (SELECT k, sum("end" - start) AS n FROM ({islands(spans, 'k')}) GROUP BY k) c USING (k)) cells,
+      (SELECT DISTINCT least((SELECT count(*) FROM {table}), {first} * {growth} ** r)::BIGINT AS n FROM range(14) AS x(r)) s
+      GROUP BY s.n)))
+WHERE advice IS NOT NULL QUALIFY row_number() OVER (ORDER BY n) = 1"""

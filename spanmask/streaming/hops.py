@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..operators.anonymize import anonymize
 from ..operators.scan import scan
+from ..operators.distinct import K, distinct_parts, merge_distinct
 from ..operators.summary import merge_parts, summary_parts
 from ..plans.config import ScanConfig
 from ..sources.files import FILE_METADATA_COLS, ingest_json, read_hop, with_file_metadata, write_hop
@@ -98,18 +99,13 @@ def run_hops(
     return queries
 
 
-def summary_sink(scanned_stream: DataFrame, path: str, checkpoint: str, available_now: bool = True):
-    """Additive parts of the scan summary, per micro-batch (``foreachBatch``).
-
-    Each batch's sums go to their own ``batch_id=<n>`` partition folder;
-    a replayed batch overwrites that folder, so a restart counts nothing
-    twice.  :func:`read_summary` adds the parts up.
-    """
+def _parts_sink(stream: DataFrame, parts, path: str, checkpoint: str, available_now: bool):
+    """Parts of every micro-batch in a ``batch_id=<n>`` folder of their own (``foreachBatch``); a replayed batch overwrites its folder."""
 
     def write(batch: DataFrame, batch_id: int):
-        summary_parts(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        parts(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    w = scanned_stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     q = w.start()
     if available_now:
@@ -117,11 +113,29 @@ def summary_sink(scanned_stream: DataFrame, path: str, checkpoint: str, availabl
     return q
 
 
+def summary_sink(scanned_stream: DataFrame, path: str, checkpoint: str, available_now: bool = True):
+    """Additive parts of the scan summary, per micro-batch; a restart counts nothing twice.
+
+    :func:`read_summary` adds the parts up.
+    """
+    return _parts_sink(scanned_stream, summary_parts, path, checkpoint, available_now)
+
+
 def read_summary(spark: SparkSession, path: str) -> DataFrame:
     """The scan summary of all micro-batches that :func:`summary_sink` has written."""
     return merge_parts(spark.read.parquet(path))
 
 
+def distinct_sink(scanned_stream: DataFrame, path: str, checkpoint: str, k: int = K, available_now: bool = True):
+    """Sketches of the distinct values per (column, entity type), per micro-batch; :func:`read_distinct` adds them up."""
+    return _parts_sink(scanned_stream, lambda batch: distinct_parts(batch, k), path, checkpoint, available_now)
+
+
+def read_distinct(spark: SparkSession, path: str, k: int = K) -> DataFrame:
+    """Distinct values over all micro-batches that :func:`distinct_sink` has written with the same ``k``."""
+    return merge_distinct(spark.read.parquet(path), k)
+
+
 def run_pipeline(spark: SparkSession, conf: Optional[ScanConfig] = None, **options) -> list:
     """The hops as the session's configuration says (see :class:`ScanConfig`).
 
