@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.pseudonym import pseudonym
 from ..functions.recognizers import PII_MASKED
 from ..functions.rewrite import anonymize_cells, anonymize_text
 from ..functions.spans import SPANS_TYPE
@@ -28,6 +29,7 @@ def anonymize(
     mask_nulls: bool = True,
     result_col: str = RESULT_COL,
     keep_result: bool = False,
+    known_operator: Optional[tuple] = None,
 ) -> DataFrame:
     """Anonymise a scanned table (either result layout).
 
@@ -37,7 +39,8 @@ def anonymize(
     analysed columns: a cell that is not a string keeps its value, or is null if
     anything was found in it.  The result column
     is dropped unless ``keep_result``.  ``parallelism`` repartitions
-    before the rewrite, never after it.
+    before the rewrite, never after it.  With ``known_operator`` = ``("pseudonym", key)`` (or ``("restore", key)``) known
+    columns of text get pseudonyms of their values in place of ``token``; null cells stay null.
     """
     analysed, known = result_columns(df, result_col)
     known_set, analysed_set = set(known), set(analysed)
@@ -56,7 +59,9 @@ def anonymize(
                 out.append(F.col(result_col))
             continue
         if c in known_set:
-            if mask_nulls:
+            if known_operator and isinstance(df.schema[c].dataType, T.StringType):
+                out.append(pseudonym(q(c), known_operator[1], c, known_operator[0] == "restore").alias(c))
+            elif mask_nulls:
                 out.append(F.lit(token).alias(c))
             else:
                 out.append(F.when(q(c).isNull(), F.lit(None).cast("string")).otherwise(F.lit(token)).alias(c))
@@ -68,6 +73,21 @@ def anonymize(
     return base.select(*out)
 
 
+def deanonymize(df: DataFrame, key: str, exclude=(), known=(), recognizers=None, entities=None, result_col: str = RESULT_COL, **scan_options) -> DataFrame:
+    """The table behind one whose hits were replaced by keyed pseudonyms.
+
+    A pseudonym keeps its value's format, so a scan with the same columns and recognisers finds it where the value was; it is
+    then undone with ``key``.  ``entities`` names the types that got pseudonyms (default: all).  ``known`` columns must have
+    got theirs with ``known_operator``.
+    """
+    from .scan import scan
+
+    undo = ("restore", key)
+    operators = {"DEFAULT": undo} if entities is None else {"DEFAULT": "keep"} | {e: undo for e in entities}
+    scanned = scan(df, exclude, known, recognizers=recognizers, result_col=result_col, **scan_options)
+    return anonymize(scanned, operators=operators, result_col=result_col, known_operator=undo)
+
+
 def scan_and_anonymize(df: DataFrame, exclude=(), known=(), recognizers=None, detector=None,
                        operators=None, parallelism=None, **kw) -> DataFrame:
     """Scan and rewrite in one hop: the raw text never lands in an analysed table."""

@@ -14,14 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.pseudonym import ROUNDS
 from ..functions.recognizers import CREDIT_CARD, EMAIL, IP_ADDRESS, PHONE, SECRET, URL, Recognizer
 from ..functions.spans import detect, detect_hits, resolve_spans
 from ..functions.udf import python_regex_detector, python_regex_factory, register_row_detector
 from ..operators.advise import FIRST, GROWTH, HIGH, LOW, Z, advise_columns
-from ..operators.anonymize import anonymize, bucket_rows, spans_long, union_columns
+from ..operators.anonymize import anonymize, bucket_rows, deanonymize, spans_long, union_columns
 from ..operators.columns import full_mask, q
 from ..operators.gazetteer import GAZETTEER_SCORE, PERSON_NAMES, PLACE_NAMES, add_gazetteer, gazetteer_spans
 from ..operators.distinct import distinct_values
+from ..operators.ordering import row_places
 from ..operators.sample import DIGEST, bottom_k
 from ..operators.scan import scan
 from ..operators.summary import summarize
@@ -81,11 +83,11 @@ def detect_struct_udf(spark, d):
 
 
 def detect_two_tables(spark, d):
-    """Columns of two joined tables, each with its own spans."""
+    """Columns of two joined tables, each with its own spans; no row of either is left out."""
     a, b = table(spark, d, "documents"), table(spark, d, "pages")
-    joined = a.join(b, a["doc_id"] == b["page_id"])
+    joined = a.join(b, a["doc_id"] == b["page_id"], "full")
     sums = lambda c: F.aggregate(c, F.lit(0), lambda s, x: s + x["start"] + x["end"])
-    j = joined.select(a["doc_id"].alias("doc_id"), detect(a["text"], PATTERNS).alias("x"), detect(b["html"], PATTERNS).alias("y"))
+    j = joined.select(F.coalesce(a["doc_id"], b["page_id"]).alias("doc_id"), detect(a["text"], PATTERNS).alias("x"), detect(b["html"], PATTERNS).alias("y"))
     return j.select("doc_id", F.size("x").alias("n_text"), sums(F.col("x")).alias("sum_text"),
                     F.size("y").alias("n_html"), sums(F.col("y")).alias("sum_html"))
 
@@ -94,9 +96,9 @@ def _two_tables_sql() -> str:
     side = lambda tbl, key, col, n: (
         f"SELECT {key} AS k, count(*) AS n_{n}, sum(start + \"end\") AS sum_{n} FROM ("
         + " UNION ALL ".join(f"({O.span_rows(tbl, key, col, r)})" for r in PATTERNS) + f") GROUP BY {key}")
-    return (f"SELECT doc_id, CAST(coalesce(n_text, 0) AS INTEGER) AS n_text, CAST(coalesce(sum_text, 0) AS INTEGER) AS sum_text, "
+    return (f"SELECT coalesce(doc_id, page_id) AS doc_id, CAST(coalesce(n_text, 0) AS INTEGER) AS n_text, CAST(coalesce(sum_text, 0) AS INTEGER) AS sum_text, "
             f"CAST(coalesce(n_html, 0) AS INTEGER) AS n_html, CAST(coalesce(sum_html, 0) AS INTEGER) AS sum_html "
-            f"FROM documents JOIN pages ON doc_id = page_id "
+            f"FROM documents FULL JOIN pages ON doc_id = page_id "
             f"LEFT JOIN ({side('documents', 'doc_id', 'text', 'text')}) x ON x.k = doc_id "
             f"LEFT JOIN ({side('pages', 'page_id', 'html', 'html')}) y ON y.k = page_id")
 
@@ -125,6 +127,15 @@ def detect_span_order(spark, d):
     return rows.select("doc_id", F.col("place").cast("long").alias("place"), "s.entity_type", "s.start", "s.end")
 
 
+def ordered_spans(spark, d):
+    """All spans in one order over the whole table (type, text, document, start), and the place of each row in it.
+
+    The place is that of the row in the sorted result, so it shows the order of the rows themselves.
+    """
+    rows = span_rows(table(spark, d, "documents"), "doc_id", "text", PATTERNS)
+    return row_places(rows.orderBy("entity_type", "matched", "doc_id", "start"))
+
+
 def detect_pages_html(spark, d):
     return span_rows(table(spark, d, "pages"), "page_id", "html", PATTERNS)
 
@@ -289,6 +300,29 @@ def anonymize_gazetteer(spark, d):
     return anonymize(add_gazetteer(s, "doc_id", broadcast=False)).select("doc_id", "text")
 
 
+PSEUDONYM_KEY = "catalogue key"
+
+
+def pseudonyms(spark, d):
+    """Card and phone numbers of the documents and what stands in their place."""
+    s = scan(table(spark, d, "documents"), exclude=DOC_EXCLUDE, recognizers=[CREDIT_CARD, PHONE])
+    hidden = anonymize(s, operators={"DEFAULT": ("pseudonym", PSEUDONYM_KEY)}, keep_result=True)
+    rows = hidden.select("doc_id", F.col("text").alias("new"), F.inline("pii_analysis_result.analysis_results.text"))
+    return rows.select("doc_id", "entity_type", "start", "end", F.col("new").substr(F.col("start") + 1, F.col("end") - F.col("start")).alias("pseudonym"))
+
+
+def pseudonym_round_trip(spark, d):
+    """Customers with pseudonyms of all entities and of the known column, and the same table restored by a second scan."""
+    plan = {"exclude": CWP_EXCLUDE, "known": CWP_KNOWN, "recognizers": PATTERNS}
+    key = ("pseudonym", PSEUDONYM_KEY)
+    hidden = anonymize(scan(customers_with_pii(spark, d), **plan), operators={"DEFAULT": key}, known_operator=key)
+    shown = deanonymize(hidden, PSEUDONYM_KEY, **plan).select("id", "fullname", F.col("freetext_1"), "lang")
+    h = hidden.select("id", F.col("fullname").alias("_name"), F.col("freetext_1").alias("_text"))
+    return shown.join(h, "id").select(
+        "id", "fullname", "freetext_1", "lang", (F.col("_name") != F.col("fullname")).alias("name_hidden"),
+        (F.col("_text") != F.col("freetext_1")).alias("text_hidden"), (F.length("_text") == F.length("freetext_1")).alias("same_length"))
+
+
 def full_mask_query(spark, d):
     return full_mask(customers_with_pii(spark, d), CWP_KNOWN)
 
@@ -410,6 +444,7 @@ def queries() -> dict[str, Query]:
         "detect_pages_html": detect_pages_html,
         "detect_by_language": detect_by_language,
         "detect_span_order": detect_span_order,
+        "ordered_spans": ordered_spans,
         "scan_conversations": scan_conversations,
         "scan_events": scan_events,
         "scan_flat_all": scan_flat_all,
@@ -433,6 +468,8 @@ def queries() -> dict[str, Query]:
         "anonymize_per_entity": _rewritten(PER_ENTITY),
         "anonymize_overlaps": anonymize_overlaps,
         "anonymize_gazetteer": anonymize_gazetteer,
+        "pseudonyms": pseudonyms,
+        "pseudonym_round_trip": pseudonym_round_trip,
         "full_mask": full_mask_query,
         "spans_long": spans_long_query,
         "union_columns": union_columns_query,
@@ -472,6 +509,8 @@ def oracle_sql() -> dict[str, str]:
         "detect_span_order": (
             "SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY start, \"end\" DESC, entity_type) - 1 AS place, "
             f"entity_type, start, \"end\" FROM ({_union(PATTERNS + [DIGIT_RUN])})"),
+        "ordered_spans": (
+            f"SELECT doc_id, entity_type, start, \"end\", matched, row_number() OVER (ORDER BY entity_type, matched, doc_id, start) - 1 AS place FROM ({_union(PATTERNS)})"),
         "scan_conversations": f"SELECT conv_id, turn, role, {O.count_expr('text', PATTERNS)} AS n_spans FROM conversations",
         "scan_events": f"SELECT event_id, {O.count_expr('props', PATTERNS)} AS n_props, {O.count_expr('event_type', PATTERNS)} AS n_type FROM events",
         "scan_flat_all": _flat_counts_sql(all_cols, PATTERNS),
@@ -497,6 +536,10 @@ def oracle_sql() -> dict[str, str]:
         "anonymize_per_entity": docs(per_entity),
         "anonymize_overlaps": docs(O.REPLACE, PATTERNS + [DIGIT_RUN]),
         "anonymize_gazetteer": O.rewrite(with_names, "documents", "doc_id", "text", O.REPLACE),
+        "pseudonyms": O.pseudonyms(_union([CREDIT_CARD, PHONE]), PSEUDONYM_KEY, ROUNDS),
+        "pseudonym_round_trip": f"SELECT id, fullname, freetext_1, lang, fullname IS NOT NULL OR NULL AS name_hidden, "
+                                f"{O.count_expr('freetext_1', PATTERNS)} > 0 AND freetext_1 IS NOT NULL OR CASE WHEN freetext_1 IS NULL THEN NULL ELSE false END AS text_hidden, "
+                                f"CASE WHEN freetext_1 IS NOT NULL THEN true END AS same_length FROM {CWP}",
         "full_mask": f"SELECT id, {O.MASKED} AS fullname, segment, freetext_1, lang FROM {CWP}",
         "spans_long": f"SELECT id, \"column\", entity_type, start, \"end\", score, matched FROM ("
                       f"{O.all_span_rows(CWP, 'id', ['freetext_1', 'lang'], PATTERNS)})",

@@ -189,3 +189,23 @@ FROM (
       (SELECT DISTINCT least((SELECT count(*) FROM {table}), {first} * {growth} ** r)::BIGINT AS n FROM range(14) AS x(r)) s
       GROUP BY s.n)))
 WHERE advice IS NOT NULL QUALIFY row_number() OVER (ORDER BY n) = 1"""
+
+
+def pseudonyms(spans: str, key: str, rounds: int) -> str:
+    """Pseudonyms of card and phone numbers (up to 16 digits: one network), round by round."""
+    digest = lambda value, r: (
+        f"CAST('0x' || substr(sha256(concat_ws('|', {lit(key)}, entity_type, '10', n, 0, {r}, {value})), 1, 15) AS BIGINT)")
+    state = f"""
+SELECT *, length(body) AS n, length(body) // 2 AS half, CAST(left(body, length(body) // 2) AS BIGINT) AS a, CAST(substr(body, length(body) // 2 + 1) AS BIGINT) AS b
+FROM (SELECT *, CASE entity_type WHEN 'CREDIT_CARD' THEN left(matched, length(matched) - 1) ELSE substr(regexp_replace(matched, '[^0-9]', '', 'g'), 2) END AS body FROM ({spans}))"""
+    for r in range(rounds):
+        half, size = ("a", "half") if r % 2 == 0 else ("b", "(n - half)")
+        other = "b" if half == "a" else "a"
+        new = f"({half} + {digest(other, r)} % CAST(10 ** {size} AS BIGINT)) % CAST(10 ** {size} AS BIGINT) AS {half}"
+        state = f"SELECT * EXCLUDE ({half}), {new} FROM ({state})"
+    total = ("list_sum(list_transform(range(1, length(d) + 1), lambda i: CASE WHEN (length(d) - i) % 2 = 0 AND CAST(d[i] AS INTEGER) > 4 THEN 2 * CAST(d[i] AS INTEGER) - 9 "
+             "WHEN (length(d) - i) % 2 = 0 THEN 2 * CAST(d[i] AS INTEGER) ELSE CAST(d[i] AS INTEGER) END))")
+    return f"""
+SELECT doc_id, entity_type, start, "end", CASE entity_type WHEN 'CREDIT_CARD' THEN d || CAST((10 - {total} % 10) % 10 AS VARCHAR)
+  ELSE '+1 (' || d[1:3] || ') ' || d[4:6] || '-' || d[7:10] END AS pseudonym
+FROM (SELECT *, lpad(CAST(a AS VARCHAR), CAST(half AS INTEGER), '0') || lpad(CAST(b AS VARCHAR), CAST(n - half AS INTEGER), '0') AS d FROM ({state}))"""
