@@ -21,7 +21,7 @@ from ..functions.udf import python_regex_detector, python_regex_factory, registe
 from ..operators.advise import FIRST, GROWTH, HIGH, LOW, Z, advise_columns
 from ..operators.anonymize import anonymize, bucket_rows, deanonymize, spans_long, union_columns
 from ..operators.columns import full_mask, q
-from ..operators.gazetteer import GAZETTEER_SCORE, PERSON_NAMES, PLACE_NAMES, add_gazetteer, gazetteer_spans
+from ..operators.gazetteer import FUZZY_LENGTH, FUZZY_SCORE, GAZETTEER_SCORE, PERSON_NAMES, PLACE_NAMES, add_gazetteer, fuzzy_spans, gazetteer_spans
 from ..operators.distinct import distinct_values
 from ..operators.ordering import row_places
 from ..operators.sample import DIGEST, bottom_k
@@ -368,6 +368,31 @@ FROM v JOIN dict ON lower(v.tok) = dict.term
 """
 
 
+def fuzzy_query(spark, d):
+    """Names and places with at most one typing error."""
+    g = fuzzy_spans(table(spark, d, "documents"), "doc_id", "text")
+    return g.select("doc_id", "word", "term", F.col("distance").cast("int").alias("distance"), "entity_type", "start", "end", F.round("score", 6).alias("score"))
+
+
+def _fuzzy_sql() -> str:
+    values = ", ".join([f"('{n}', 'PERSON')" for n in PERSON_NAMES] + [f"('{n}', 'LOCATION')" for n in PLACE_NAMES])
+    w = r"'\p{L}+'"
+    same = "(coalesce(list_position(list_transform(range(1, least(length(word), length(term)) + 1), lambda x: word[x] <> term[x]), true) - 1, least(length(word), length(term))))"
+    return f"""
+WITH t AS (SELECT doc_id, regexp_extract_all(text, {w}) AS m, string_split_regex(text, {w}) AS p FROM documents),
+u AS (SELECT doc_id, i, m[i] AS tok, length(p[i]) + length(m[i]) AS step FROM t, unnest(range(1, len(m) + 1)) AS x(i)),
+v AS (SELECT doc_id, tok, lower(tok) AS word, sum(step) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - length(tok) AS start FROM u),
+dict(term, entity_type) AS (VALUES {values}),
+near AS (
+  SELECT word, term, CASE WHEN word = term THEN 0 ELSE 1 END AS distance FROM (
+    SELECT word, term, {same} AS k FROM (SELECT DISTINCT word FROM v) JOIN dict ON length(term) >= {FUZZY_LENGTH} AND abs(length(word) - length(term)) <= 1)
+  WHERE word = term OR substr(word, k + 2) = substr(term, k + 2) AND length(word) = length(term)
+    OR substr(word, k + 1) = substr(term, k + 2) AND length(word) < length(term) OR substr(word, k + 2) = substr(term, k + 1) AND length(word) > length(term))
+SELECT doc_id, word, term, CAST(distance AS INTEGER) AS distance, entity_type, CAST(start AS INTEGER) AS start, CAST(start + length(tok) AS INTEGER) AS "end",
+  round(CASE distance WHEN 0 THEN {GAZETTEER_SCORE} ELSE {GAZETTEER_SCORE} * {FUZZY_SCORE} END::DOUBLE, 6) AS score
+FROM v JOIN near USING (word) JOIN dict USING (term)"""
+
+
 def _union(recs, tbl: str = "documents", key: str = "doc_id", text: str = "text") -> str:
     return " UNION ALL ".join(f"({O.span_rows(tbl, key, text, r)})" for r in recs)
 
@@ -475,6 +500,7 @@ def queries() -> dict[str, Query]:
         "union_columns": union_columns_query,
         "bucket_rows": bucket_rows_query,
         "gazetteer_spans": gazetteer_query,
+        "gazetteer_fuzzy": fuzzy_query,
         "stream_ingest": stream_ingest,
         "stream_three_hop": stream_three_hop,
         "stream_summary": stream_summary,
@@ -551,6 +577,7 @@ def oracle_sql() -> dict[str, str]:
             "CAST(sum(n_spans) AS BIGINT) AS n_spans FROM ("
             + _flat_counts_sql(["freetext_1", "lang"], PATTERNS) + ") GROUP BY 1, 2"),
         "gazetteer_spans": _gazetteer_sql(),
+        "gazetteer_fuzzy": _fuzzy_sql(),
         "stream_ingest": "SELECT doc_id AS id, text, true AS path_ends_in_name, true AS is_json, "
                          "CAST(0 AS BIGINT) AS file_block_start, true AS whole_file, true AS written_before FROM documents",
         "stream_three_hop": cwp_anon,
