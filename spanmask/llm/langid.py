@@ -6,8 +6,8 @@ context that has it; from a context that lacks it the model escapes to the next
 at the price of the escape (method C: ``distinct / (total + distinct)``), at the end to
 a uniform byte.  The language with the shortest code for the whole text wins.
 
-As the counts are frozen, the cost of a byte depends on the longest known context only:
-all languages' costs stand in one table, looked up for many texts at once.
+As the counts are frozen, the cost of a byte depends on the longest known context only: a
+language's costs stand in one table of its own contexts, looked up for many texts at once.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from .text import blocks, sums
 
 #: Training texts per language, about (chosen by a hash of doc_id): the bound of the model's sample.
 SAMPLE_DOCS = 2000
-#: Contexts in the table at most; the most frequent ones.
+#: Contexts of a language's table at most, its own most frequent ones: the bound of the model is this times the languages.
 CONTEXTS = 20_000
 ORDER = 3
 #: a-z stand for both cases; other ASCII bytes are one class, as a space.
@@ -50,8 +50,8 @@ class Model:
     languages: list[str]
     classes: np.ndarray         # byte -> class
     width: int                  # number of classes
-    node: np.ndarray            # packed context of ORDER classes -> its longest known context
-    cost: np.ndarray            # [language, node * width + class] -> bits
+    node: list[np.ndarray]      # by language: packed context of ORDER classes -> its longest known context
+    cost: list[np.ndarray]      # by language: [node * width + class] -> bits
 
     def bits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Code length of each text under each language."""
@@ -61,9 +61,9 @@ class Model:
             key = np.zeros(len(data), dtype=np.int32)
             for before in reversed(_history(now, offsets, ORDER)):
                 key = key * np.int32(self.width) + before
-            at = self.node[key] * np.int32(self.width) + now
             some = np.flatnonzero(np.diff(offsets) > 0)
             for i in range(len(self.languages)):
+                at = self.node[i][key] * np.int32(self.width) + now
                 out[some, i] = np.add.reduceat(self.cost[i][at], offsets[some], dtype=np.float64)
         return out
 
@@ -78,44 +78,54 @@ def build(languages: list[str], grams: np.ndarray, lang: np.ndarray, count: np.n
     classes = classes[_FOLD]
     index = np.zeros(256, dtype=np.int64)
     index[used] = np.arange(len(used))
-    symbols = [index[(grams >> (8 * i)) & 0xFF] for i in range(ORDER, -1, -1)]      # oldest first
+    nodes, costs = [], []
+    for i in range(len(languages)):
+        mine = lang == i
+        symbols = [index[(grams[mine] >> (8 * k)) & 0xFF] for k in range(ORDER, -1, -1)]      # oldest first
+        node, cost = _tree(symbols, count[mine], width, contexts)
+        nodes.append(node)
+        costs.append(cost)
+    return Model(languages, classes, width, nodes, costs)
+
+
+def _tree(symbols: list[np.ndarray], count: np.ndarray, width: int, contexts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(node, cost) of one language from its counted strings."""
+    def pack(k: int) -> np.ndarray:
+        packed = np.zeros(len(count), dtype=np.int64)
+        for s in symbols[ORDER - k:ORDER]:
+            packed = packed * width + s
+        return packed
+
     # Known contexts: (order, packed); the root first, then the most frequent.
     found = []
     for k in range(1, ORDER + 1):
-        packed = np.zeros(len(grams), dtype=np.int64)
-        for s in symbols[ORDER - k:ORDER]:
-            packed = packed * width + s
-        keys, inverse = np.unique(packed, return_inverse=True)
+        keys, inverse = np.unique(pack(k), return_inverse=True)
         found.append((np.full(len(keys), k), keys, np.bincount(inverse, weights=count, minlength=len(keys))))
-    order, packed, seen = (np.concatenate(x) for x in zip(*found)) if found else ([], [], [])
+    order, packed, seen = (np.concatenate(x) for x in zip(*found))
     best = np.lexsort((packed, order, -seen))[:contexts - 1]
     best = best[np.argsort(order[best], kind="stable")]
     order, packed = np.append(0, order[best]), np.append(0, packed[best])
     # Costs, shorter contexts first: a context lacking a byte passes on the shorter one's cost and its escape.
-    cost = np.empty((len(languages), len(order), width), dtype=np.float32)
+    cost = np.empty((len(order), width), dtype=np.float32)
     node = np.zeros(1, dtype=np.int32)
     for k in range(ORDER + 1):
         shorter = np.tile(node, width) if k else node            # by the last k - 1 classes
         rows = np.flatnonzero(order == k)
-        at = np.zeros(len(grams), dtype=np.int64)
-        for s in symbols[ORDER - k:ORDER]:
-            at = at * width + s
         slot = np.full(width ** k, -1, dtype=np.int64)
         slot[packed[rows]] = np.arange(len(rows))
-        inside = slot[at] >= 0
-        for i in range(len(languages)):
-            mine = inside & (lang == i)
-            counts = np.bincount(slot[at[mine]] * width + symbols[ORDER][mine], weights=count[mine], minlength=len(rows) * width).reshape(len(rows), width)
-            total, distinct = counts.sum(axis=1, keepdims=True), (counts > 0).sum(axis=1, keepdims=True)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                escape = np.where(total > 0, -np.log2(distinct / (total + distinct)), 0.0)
-                direct = -np.log2(counts / (total + distinct))
-            base = cost[i][shorter[packed[rows]]] if k else np.full((len(rows), width), 8.0)
-            cost[i][rows] = np.where(counts > 0, direct, base + escape)
+        at = slot[pack(k)]
+        inside = at >= 0
+        counts = np.bincount(at[inside] * width + symbols[ORDER][inside], weights=count[inside], minlength=len(rows) * width).reshape(len(rows), width)
+        total, distinct = counts.sum(axis=1, keepdims=True), (counts > 0).sum(axis=1, keepdims=True)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            escape = np.where(total > 0, -np.log2(distinct / (total + distinct)), 0.0)
+            direct = -np.log2(counts / (total + distinct))
+        base = cost[shorter[packed[rows]]] if k else np.full((len(rows), width), 8.0)
+        cost[rows] = np.where(counts > 0, direct, base + escape)
         known = shorter.copy()
         known[packed[rows]] = rows
         node = known
-    return Model(languages, classes, width, node.astype(np.int32), cost.reshape(len(languages), -1))
+    return node.astype(np.int32), cost.reshape(-1)
 
 
 def _grams(batches):
@@ -137,7 +147,8 @@ def _grams(batches):
 def train(labelled: DataFrame, *, sample_docs: int = SAMPLE_DOCS, contexts: int = CONTEXTS) -> Model | None:
     """Model from (doc_id, text, lang) rows without nulls; None if there are none.
 
-    Texts are taken whole; of a language with more than ``sample_docs`` of them, about that many.
+    Texts are taken whole; of a language with more than ``sample_docs`` of them, about that many.  The driver gets the distinct
+    4-byte strings of those texts (24 bytes each): bounded per language.
     """
     sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:

@@ -85,9 +85,8 @@ ORACLE_SQL: dict[str, str] = {
 WITH d AS (
   SELECT doc_id, source, text, coalesce(source, '') AS host, string_split(text, chr(10)) AS lines
   FROM documents
-), pages AS (SELECT host, text, any_value(lines) AS lines FROM d GROUP BY host, text),
-totals AS (SELECT host, count(*) AS pages FROM pages GROUP BY host),
-l AS (SELECT DISTINCT host, text, trim(unnest(lines), ' ') AS line FROM pages),
+), totals AS (SELECT host, count(*) AS pages FROM d GROUP BY host),
+l AS (SELECT DISTINCT host, doc_id, trim(unnest(lines), ' ') AS line FROM d),
 b AS (
   SELECT host, line FROM (SELECT host, line, count(*) AS n FROM l WHERE line <> '' GROUP BY host, line) c JOIN totals USING (host)
   WHERE n >= {line_dedup.MIN_PAGES} AND n > {line_dedup.RATIO}::DOUBLE * pages

@@ -65,3 +65,25 @@ def test_code_lengths_follow_the_escapes():
         got = model.bits(*utf8(pa.array([text])))[0]
         want = [sum(bits(i, padded[at - ORDER:at], padded[at]) for at in range(ORDER, len(padded))) for i in range(2)]
         assert np.allclose(got, want, rtol=1e-5)
+
+
+def test_a_rare_language_keeps_its_contexts():
+    """The contexts of one language do not depend on how much text another one has."""
+    import numpy as np
+    import pyarrow as pa
+
+    def counted(texts):
+        out = {}
+        for text in texts:
+            padded = " " * ORDER + text
+            for at in range(ORDER, len(padded)):
+                key = int.from_bytes(padded[at - ORDER:at + 1].encode(), "big")
+                out[key] = out.get(key, 0) + 1
+        return out
+
+    rare, common = counted(["ozi ruka vimo lesta"]), counted(["the tea and the sea " * 50 + "".join(chr(97 + i * 7 % 26) for i in range(999))])
+    grams, lang, n = zip(*[(g, i, float(c)) for i, table in enumerate((common, rare)) for g, c in table.items()])
+    model = build(["common", "rare"], np.array(grams), np.array(lang), np.array(n), contexts=60)
+    alone = build(["rare"], np.array(list(rare)), np.zeros(len(rare), dtype=int), np.array(list(rare.values()), dtype=float), contexts=60)
+    text = utf8(pa.array(["ozi lesta vimo"]))
+    assert np.isclose(model.bits(*text)[0][1], alone.bits(*text)[0][0]) and model.bits(*text)[0].argmin() == 1

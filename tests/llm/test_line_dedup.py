@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from spanmask.llm.line_dedup import drop_boilerplate
@@ -6,18 +7,24 @@ from spanmask.llm.line_dedup import drop_boilerplate
 def test_small(spark):
     pages = [(i, f"Menu\nbody {i}\n\n Menu \nFooter {i % 2}", "a") for i in range(20)] + [(100 + i, "Menu\nonly here", "b") for i in range(4)]
     pages += [(200, None, "a"), (201, "", None), (202, "x", "")]
-    df = spark.createDataFrame(pages, "doc_id long, text string, source string").withColumn("n_lines", F.lit("clash"))
+    df = spark.createDataFrame(pages, "doc_id long, text string, source string")
+    with pytest.raises(ValueError, match="n_lines"):
+        drop_boilerplate(df.withColumn("N_lines", F.lit("clash")))
     rows = {r.doc_id: r for r in drop_boilerplate(df, ratio=0.6).collect()}
     assert len(rows) == len(pages)
     assert rows[3].text == "body 3\n\nFooter 1" and (rows[3].n_lines, rows[3].n_dropped) == (4, 2)
+    kept = drop_boilerplate(df.withColumn("n_lines", F.lit("own")), ratio=0.6, counts=False).collect()
+    assert {r.n_lines for r in kept} == {"own"} and {r.doc_id: r.text for r in kept} == {i: r.text for i, r in rows.items()}
     assert rows[100].text == "Menu\nonly here" and rows[200].text is None and rows[201].text == ""
     assert rows[200].n_lines == 0
 
 
-def test_copies_of_a_page_are_one_page(spark):
+def test_copies_of_a_page_are_one_page_with_fold(spark):
     rows = [(i, "copied line\nand another\nMenu", "a") for i in range(30)] + [(100 + i, f"own {i}\nMenu", "a") for i in range(9)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    got = {r.doc_id: r.text for r in drop_boilerplate(df, ratio=0.5).collect()}
+    plain = {r.doc_id: r.text for r in drop_boilerplate(df, ratio=0.5).collect()}
+    assert plain[0] == "" and plain[103] == "own 3"
+    got = {r.doc_id: r.text for r in drop_boilerplate(df, ratio=0.5, fold=True).collect()}
     assert got[0] == "copied line\nand another" and got[103] == "own 3"
 
 
