@@ -26,8 +26,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_cleaning(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines leave the texts; every document stays, and n_chars follows its text."""
-    out = line_dedup.drop_boilerplate(docs, counts=False)
+    """Boilerplate lines leave the texts; every document stays, and n_chars follows its text.
+
+    Pages of equal text count once: copies go in the next stage, and one of them must keep its lines.
+    """
+    out = line_dedup.drop_boilerplate(docs, counts=False, fold=True)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
