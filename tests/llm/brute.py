@@ -76,8 +76,11 @@ def cut_repeats(docs, span=50):
     return out
 
 
-def leaks(docs, items, span=12, differ=2, shortest=5):
-    """{(doc_id, item_id): longest overlap}; equal items are named by the smallest id."""
+def leaks(docs, items, span=12):
+    """{(doc_id, item_id): longest overlap}; equal items are named by the smallest id.
+
+    Two words may differ in 12, one in a whole item of 8 to 11 words, none in one of 5 to 7; shorter items must be the whole text.
+    """
     named = {}
     for i, text in sorted(x for x in items if x[0] is not None and x[1] is not None):
         named.setdefault(tuple(words(text, True)), i)
@@ -86,12 +89,13 @@ def leaks(docs, items, span=12, differ=2, shortest=5):
         doc = words(text, True)
         for item, i in named.items():
             need = min(span, len(item))
-            if need < shortest:
+            if not need or need < 5 and item != tuple(doc):
                 continue
+            differ = 2 if need == span else int(need >= 8)
             for diagonal in range(-len(item) + need, len(doc) - need + 1):
                 low, high = max(0, -diagonal), min(len(item), len(doc) - diagonal)
                 equal = [item[p] == doc[p + diagonal] for p in range(low, high)]
-                good = [p for p in range(len(equal) - need + 1) if sum(equal[p:p + need]) >= need - (differ if need == span else 0)]
+                good = [p for p in range(len(equal) - need + 1) if sum(equal[p:p + need]) >= need - differ]
                 runs = []
                 for p in good:
                     if runs and p <= runs[-1][1]:

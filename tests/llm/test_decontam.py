@@ -12,7 +12,7 @@ from .conftest import prose, vocabulary
 def planted(documents):
     rng, vocab = random.Random(8), vocabulary(900)
     items = [(i, prose(rng, rng.randint(3, 50), vocab)) for i in range(20)] + [(90, None), (91, ""), (None, "a b c d e f")]
-    items += [(50, items[7][1]), (51, "short item of six words")]
+    items += [(50, items[7][1]), (51, "short item of six words"), (52, "Yes it is"), (53, "one"), (54, "nine words of an item that may differ once")]
     docs = list(documents)
     for n in range(40):
         words = brute.words(rng.choice(items[:20])[1])
@@ -21,6 +21,10 @@ def planted(documents):
         a = rng.randint(0, len(words) // 2)
         docs.append((10_000 + n, prose(rng, 30, vocab) + " " + " ".join(words[a:]).upper() + " " + prose(rng, 20, vocab)))
     docs.append((20_000, "x Short item of six words y"))
+    docs += [(20_001 + i, t) for i, t in enumerate([
+        "yes  it\nIS", "yes it is so", "one", "one two", "a nine words of an ITEM that can differ once b", "nine words in an item that can differ once", "short item of few words", "short " * 3])]
+    docs.append((20_020, "echo " * 3000))
+    items.append((55, "echo " * 40))
     return docs, items
 
 
