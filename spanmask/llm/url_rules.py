@@ -1,9 +1,14 @@
 """URL filter: given host and path rules, and association rules mined from labels.
 
 Everything is DataFrame functions and Spark's FP-growth.  A URL's tokens are its scheme,
-host labels, path words, ending, query keys and fragment.  FP-growth mines the combinations that go with
-a blocked label; rules are pruned by support and confidence, and a rule that adds
-tokens to a shorter one without more confidence goes.  Matching uses an inverted index: a rule is
+host labels, path words, ending, query keys and fragment.  Rules say that some tokens go with a blocked label, so the label
+is fixed as the consequent: FP-growth mines the combinations that are frequent among blocked URLs only, and a second pass counts them in
+the others.  Before mining, tokens that stand in the same URLs are folded into one, and those
+that stand in all of them go, since a combination says no more with them; a token that is a sure rule alone goes too.  So templates of
+many shared query keys make one item, not all subsets of them.
+
+Rules are pruned by support and confidence (a share, and the lower Wilson bound of it, so that few pages prove
+nothing), and a rule that contains a sure one goes.  Matching uses an inverted index: a rule is
 filed under its rarest token, a URL looks up its tokens and checks the rules found.
 """
 
@@ -20,8 +25,9 @@ RULES = (
     ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
     ("allow", "com", "/fr/"), ("block", "com", "/de/"),
 )
-SUPPORT, CONFIDENCE, MIN_PAGES = 0.002, 0.85, 8
-BLOCK = "=block"
+#: Share of the labelled URLs that a rule blocks at least, share of blocked among those it fits, and the least lower bound
+#: (Z: two-sided 95 %) of the latter; six pages without an exception reach it.  The same at all sizes of the table.
+SUPPORT, CONFIDENCE, PROVEN, Z = 0.002, 0.85, 0.6, 1.96
 UPPER, LOWERED = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -64,33 +70,72 @@ def tokens(url: Column) -> Column:
     ))
 
 
-def mine(labelled: DataFrame, *, support: float = SUPPORT, confidence: float = CONFIDENCE, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(antecedent, confidence, anchor) rules for blocking, from rows (url, blocked)."""
+def _wilson_low(hits: Column, n: Column) -> Column:
+    p, zz = hits / n, F.lit(Z * Z) / n
+    return (p + zz / 2 - Z * F.sqrt(p * (1 - p) / n + zz / (4 * n))) / (1 + zz)
+
+
+def _sure(bad: Column, n: Column, confidence: float) -> Column:
+    return (bad >= F.lit(confidence) * n) & (_wilson_low(bad, n) >= PROVEN)
+
+
+def _folded(rows: DataFrame, total: int, support: float, confidence: float) -> tuple[DataFrame, DataFrame]:
+    """(item, members, bad, n, sure): the tokens that stand in the same URLs as one item, the first by name; and (row, token) of all.
+
+    Two 64-bit sums of row hashes and the count tell sets of rows apart.
+    """
+    pairs = written(rows.select("row", "blocked", F.explode("tokens").alias("token")), "url_tokens")
+    sets = pairs.groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("blocked").alias("bad"),
+        F.expr("bit_xor(xxhash64(row))").alias("a"), F.expr("bit_xor(xxhash64(row, 1))").alias("b"))
+    items = sets.groupBy("a", "b", "n", "bad").agg(F.min("token").alias("item"), F.array_sort(F.collect_list("token")).alias("members"))
+    items = items.where(F.col("bad") >= F.lit(support) * total).select("item", "members", "bad", "n", _sure(F.col("bad"), F.col("n"), confidence).alias("sure"))
+    return written(items, "url_items"), pairs
+
+
+def mine(labelled: DataFrame, *, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
+    """(antecedent, confidence, pages, anchor) rules for blocking, from rows (url, blocked).
+
+    ``pages`` is the number of labelled URLs that the rule fits.  Antecedents are spelled with the tokens of all their items.
+    """
     spark = labelled.sparkSession
-    shape = "antecedent array<string>, confidence double, anchor string"
-    baskets = labelled.where("url is not null and blocked is not null").select(
-        F.when(F.col("blocked"), F.array_append(tokens(F.col("url")), F.lit(BLOCK))).otherwise(tokens(F.col("url"))).alias("items")
-    )
-    baskets = written(baskets, "baskets")
-    total = baskets.count()
+    rows = labelled.where("url is not null and blocked is not null").select(
+        F.monotonically_increasing_id().alias("row"), F.col("blocked").cast("boolean").alias("blocked"), tokens(F.col("url")).alias("tokens"))
+    rows = written(rows, "baskets")
+    total = rows.count()
     if total == 0:
-        return spark.createDataFrame([], shape)
-    model = FPGrowth(itemsCol="items", minSupport=max(support, min(1.0, min_pages / total)), minConfidence=confidence).fit(baskets)
-    rules = model.associationRules.where(F.array_contains("consequent", BLOCK)).select("antecedent", "confidence")
-    rules = written(rules.select(F.array_sort("antecedent").alias("antecedent"), "confidence"), "rules")
-    # Longer rules that are no surer than one with some of their tokens.
-    short = rules.toDF("fewer", "sure").withColumn("token", F.col("fewer")[0])
+        return spark.createDataFrame([], "antecedent array<string>, confidence double, pages long, anchor string")
+    items, pairs = _folded(rows, total, support, confidence)
+    single = items.where("sure").select(F.array("item").alias("items"), "bad", "n")
+    open_ = items.where(F.lit(total) > F.col("n")).where("not sure").select(F.col("item").alias("token"), "n")
+    baskets = written(pairs.join(open_.select("token"), "token").groupBy("row", "blocked").agg(F.collect_list("token").alias("items")), "items")
+    blocked = baskets.where("blocked")
+    share = support * total / max(1, blocked.count())
+    found = single
+    if share <= 1 and not blocked.isEmpty():
+        model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=1.0).fit(blocked.select("items"))
+        sets = model.freqItemsets.where(F.size("items") > 1).select(F.array_sort("items").alias("items"), F.col("freq").alias("bad"))
+        # How often each combination stands in URLs that are not blocked: looked up by its rarest item.
+        rare = sets.withColumn("token", F.explode("items")).join(open_, "token").groupBy("items", "bad").agg(F.min_by("token", F.struct("n", "token")).alias("token"))
+        rare = written(rare, "combinations")
+        clean = baskets.where("not blocked").select("items").withColumn("token", F.explode("items")).withColumnRenamed("items", "basket")
+        others = clean.join(rare, "token").where(F.size(F.array_except("items", "basket")) == 0).groupBy("items").agg(F.count(F.lit(1)).alias("clean"))
+        counted = rare.join(others, "items", "left").select("items", "bad", (F.col("bad") + F.coalesce("clean", F.lit(0))).alias("n"))
+        found = single.unionByName(counted.where(_sure(F.col("bad"), F.col("n"), confidence)))
+    found = written(found.select("items", (F.col("bad") / F.col("n")).alias("confidence"), F.col("n").alias("pages")), "rules")
+    count = items.select(F.col("item").alias("token"), "n")
+    anchor = found.withColumn("token", F.explode("items")).join(count, "token").groupBy("items", "confidence", "pages").agg(F.min_by("token", F.struct("n", "token")).alias("anchor"))
+    anchor = written(anchor, "anchors")
+    # A rule that contains a sure one fits nothing more; the shorter is looked up by its rarest item.
+    fewer = anchor.select(F.col("items").alias("fewer"), F.col("anchor").alias("token"))
     weak = (
-        rules.withColumn("token", F.explode("antecedent")).join(short, "token")
-        .where((F.size("fewer") < F.size("antecedent")) & (F.col("sure") >= F.col("confidence")) & (F.size(F.array_except("fewer", "antecedent")) == 0))
-        .select("antecedent").distinct()
-    )
-    frequency = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
-    anchor = (
-        rules.join(weak, "antecedent", "left_anti").withColumn("token", F.explode("antecedent")).join(frequency, "token")
-        .groupBy("antecedent", "confidence").agg(F.min_by("token", F.struct("freq", "token")).alias("anchor"))
+        anchor.select("items", F.explode("items").alias("token")).join(fewer, "token")
+        .where((F.size("fewer") < F.size("items")) & (F.size(F.array_except("fewer", "items")) == 0)).select("items").distinct()
     )
-    return written(anchor, "mined")
+    kept = anchor.join(weak, "items", "left_anti")
+    spelled = kept.withColumn("item", F.explode("items")).join(items.select("item", "members"), "item").groupBy("items", "confidence", "pages", "anchor").agg(
+        F.array_sort(F.flatten(F.collect_list("members"))).alias("antecedent"))
+    return written(spelled.select("antecedent", "confidence", "pages", "anchor"), "mined")
 
 
 def blocked_urls(urls: DataFrame, rules: DataFrame) -> DataFrame:

@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 
 from spanmask.llm.components import components
@@ -60,3 +62,34 @@ def test_components_of_a_chain_and_a_star(spark):
     rows = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 130)] + [(129, 200), (300, 300)]
     got = {r.node: r.component for r in components(spark.createDataFrame(rows, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 130)}, 200: 100}
+
+
+def template_family(n, shared=250, own=50, seed=5):
+    """Pages of one template, alike at 0.71; every 40th has a near copy."""
+    rng, rows = np.random.default_rng(seed), []
+    for i in range(n):
+        words = [f"c{j}" for j in range(shared)] + [f"w{i}x{j}" for j in range(own)]
+        rows.append((i, " ".join(words)))
+        if i % 40 == 7:
+            words[int(rng.integers(0, len(words)))] = "changed"
+            rows.append((100_000 + i, " ".join(words)))
+    return rows
+
+
+def test_template_family_against_brute_force(spark):
+    rows = template_family(240) + [(500_000 + i, " ".join(f"s{j}" for j in range(60)) + f" t{i % 9} u{i % 4}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = brute.near_duplicates(rows)
+    assert as_dict(near_duplicates(df)) == want == as_dict(near_duplicates(df, block=16))
+    low = brute.near_duplicates(rows, num=80)
+    assert as_dict(near_duplicates(df, num=80, bands=27, rows=4)) == low
+
+
+def test_template_family_grows_in_proportion(spark):
+    rows = template_family(6000)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    began = time.time()
+    got = as_dict(near_duplicates(df))
+    assert time.time() - began < 120
+    assert {i for i, (_, _, kept) in got.items() if not kept} == {i for i, _ in rows if i >= 100_000}
+    assert all(got[i][1] == i - 100_000 for i, _ in rows if i >= 100_000)
