@@ -1,9 +1,12 @@
 """Token ids of whole texts by a public tokenizer file, at the speed of a table lookup.
 
-The tokenizers used here drop white space and never join characters across it,
+Many tokenizers drop white space and never join characters across it,
 so the ids of a text are the ids of its words (runs without space or \\x09-\\x0D), one
 after the other.  A worker keeps the ids of the words that it has seen, found by their
 63-bit hash, up to a bound (then it starts afresh), and hands only new words to the library.
+
+Whether a tokenizer file is of that kind is checked when it is loaded, on texts with all that sets tokenizers apart (case, marks,
+scripts, white space at all places).  One that is not gets whole texts, one after the other.
 """
 
 from __future__ import annotations
@@ -22,6 +25,13 @@ TABLE_BITS = 21
 #: Latin letters, then marks other than apostrophes: tokenizer rules part the two, and each has its own ids.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ž]+)([!-&(-/:-@\[-`{-~]*)")
 _END = "</w>"
+#: Texts on which the words' ids and the library's are compared when a tokenizer is loaded.
+PROBES = (
+    "The Cat sat on the mat.", " the cat", "the cat ", "the  cat\n\tsat\r\n\x0bon", "NASA iPhone McDonald's don't I'LL we've", "a", "A", " ", "\n", "x y",
+    "naïve café Über straße ÅNGSTRÖM", "e\u0301a\u0308 \u0301x", "Русский текст", "Ελληνικά ΣΑΣ", "漢字かな交じり文 と空白", "한국어 문장", "العربية نص", "हिन्दी पाठ", "ไทย",
+    "12345 3.14 1,000 12a3b 0x7f", "e-mail: a.b@c.org, http://x.org/?q=1&r=2", "a_b-c/d\\e (f) [g] {h} <i>", "!!! ??? ... -- ***", "'quoted' \"text\"", "end. Next,then;more",
+    "😀 👩‍👩‍👧 ❤️", "a\u00a0b\u2003c\u3000d", "tab\tand\x0cfeed", "word" * 40, "aa aaa aaaa aaaaa", "İstanbul ǅ ŉ ſ", "snake_case camelCase PascalCase", "x\u200by",
+)
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -83,6 +93,20 @@ class Encoder:
         self.ends[[i for t, i in vocab.items() if t.endswith(_END)]] = True
         self.width = max(1, int(len(self.ends) - 1).bit_length())
         self._reset()
+        self.by_words = self._parted()
+        self._reset()
+
+    def _parted(self) -> bool:
+        """Whether the ids of a text are those of its words, and words have the same ids in any company and case."""
+        want = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in PROBES]
+        data = "".join(PROBES).encode()
+        offsets = np.cumsum([0] + [len(t.encode()) for t in PROBES])
+        ids, counts = self._from_words(np.frombuffer(data, dtype=np.uint8), offsets)
+        return counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+    def _from_texts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        raw = data.tobytes()
+        return self._each([raw[a:b].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())])
 
     def _reset(self):
         self.table, self.known = HashTable(TABLE_BITS), 0
@@ -153,6 +177,13 @@ class Encoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, ids per text) of a block of UTF-8 texts; ``end`` follows each text if given."""
+        ids, counts = (self._from_words if self.by_words else self._from_texts)(data, offsets)
+        if end is not None:
+            ids = np.insert(ids, np.cumsum(counts), np.uint32(end))
+            counts = counts + 1
+        return ids, counts
+
+    def _from_words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if self.known > MAX_WORDS:
             self._reset()
         words = find_words(data, offsets)
@@ -166,11 +197,7 @@ class Encoder:
             slot[new] = self.table.find(code[new])
         sizes = self.count[slot]
         ids = self.flat[ragged(self.first[slot], sizes)]
-        counts = sums(sizes, words.ptr)
-        if end is not None:
-            ids = np.insert(ids, np.cumsum(counts), np.uint32(end))
-            counts = counts + 1
-        return ids, counts
+        return ids, sums(sizes, words.ptr)
 
 
 def _key(code: np.ndarray) -> np.ndarray:

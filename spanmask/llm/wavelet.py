@@ -30,6 +30,8 @@ from .tokens import encoder
 SHARD_TOKENS = 1 << 21
 #: Bytes of text per range partition; about a shard's worth of ids.
 SHARD_BYTES = 5 << 20
+#: Tasks that write shards at most; each writes as many as its part of the documents fills.
+MAX_TASKS = 2048
 STEP = 4096
 FILE = "shard long, n_tokens long, width int, doc_ids array<long>, lengths array<long>, planes array<binary>, ones array<binary>"
 
@@ -156,13 +158,13 @@ def _shards(path: str, end: int):
     return run
 
 
-def write_shards(docs: DataFrame, path: str, tokenizer: str, *, end: int = 1, shard_bytes: int = SHARD_BYTES) -> None:
+def write_shards(docs: DataFrame, path: str, tokenizer: str, *, end: int = 1, shard_bytes: int = SHARD_BYTES, max_tasks: int = MAX_TASKS) -> None:
     """Write (doc_id, text) as shard files to ``path``, in ascending doc_id order (null first, repeated
     ids by text); null texts are empty; every document is followed by the end id."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     (
-        docs.repartitionByRange(max(1, -(-size // shard_bytes)), "doc_id").sortWithinPartitions("doc_id", "text")
+        docs.repartitionByRange(min(max_tasks, max(1, -(-size // shard_bytes))), "doc_id").sortWithinPartitions("doc_id", "text")
         .mapInArrow(_shards(tokenizer, end), FILE).write.mode("overwrite").parquet(path)
     )
 
@@ -189,9 +191,13 @@ def _documents(batches):
 def document_digests(spark, path: str) -> DataFrame:
     """Per document of the shard files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32."""
     files = read_shards(spark, path)
-    # One row per shard of millions of ids: the running total is over a short table, and
-    # the files are read where they are; only a few numbers per document meet it.
-    before = files.select("shard", (F.sum("n_tokens").over(Window.orderBy("shard")) - F.col("n_tokens")).alias("before"))
+    # Running totals in two levels: over the tasks that wrote (a bounded number), and over the shards of each.
+    # The files are read where they are; only a few numbers per document meet the totals.
+    sizes = files.select("shard", F.shiftright("shard", 24).alias("task"), "n_tokens")
+    tasks = sizes.groupBy("task").agg(F.sum("n_tokens").alias("n"))
+    tasks = tasks.select("task", (F.sum("n").over(Window.orderBy("task")) - F.col("n")).alias("earlier"))
+    inside = F.sum("n_tokens").over(Window.partitionBy("task").orderBy("shard")) - F.col("n_tokens")
+    before = sizes.withColumn("inside", inside).join(F.broadcast(tasks), "task").select("shard", (F.col("earlier") + F.col("inside")).alias("before"))
     found = files.drop("width").mapInArrow(_documents, "shard long, doc_id long, start long, n_tokens long, ids_crc32 long")
     return found.join(before, "shard").select("doc_id", (F.col("before") + F.col("start")).alias("start"), "n_tokens", "ids_crc32")
 

@@ -131,3 +131,25 @@ def test_wavelet_matrix(ids, data):
     assert w.find(token, k) == where[k]
     with pytest.raises(IndexError):
         w.find(token, len(where))
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_every_tokenizer_file_equals_the_library(name, documents):
+    path = public_tokenizers.path(name)
+    library, enc = Tokenizer.from_file(path), tokens.Encoder(path)
+    assert enc.by_words == (name == "word_bpe_49k.json")
+    texts = [t for _, t in documents] + [*tokens.PROBES, "The Cat sat on the mat.", "  Two  spaces ", "Case CASE case"]
+    ids, counts = enc.encode(*utf8(pa.array(texts, pa.string())), 1)
+    want = [library.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == sum(want, [])
+
+
+def test_tasks_are_bounded(spark, docs, documents, library, scratch):
+    write_shards(docs, f"{scratch}/few", PATH, shard_bytes=100, max_tasks=3)
+    assert read_shards(spark, f"{scratch}/few").count() <= 3
+    rows = sorted(document_digests(spark, f"{scratch}/few").collect())
+    want, start = [], 0
+    for (i, _), (ids, crc) in zip(sorted(documents, key=lambda d: d[0]), brute.token_digests(sorted(documents, key=lambda d: d[0]), library)):
+        want.append((i, start, len(ids), crc))
+        start += len(ids)
+    assert [tuple(r) for r in rows] == want
