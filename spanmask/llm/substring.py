@@ -187,6 +187,7 @@ def repeated_spans(docs: DataFrame, *, span: int = SPAN, kmer: int = KMER) -> Da
         opened.select("node", "path", "place", "window").join(first, ["node", "window"])
         .groupBy("node", "path").agg(F.collect_list(F.struct("place", "source")).alias("windows"), F.min("source").alias("least"))
     )
+    path_sources = written(path_sources, "path_sources")     # again plain exchanges on both sides, for a hot path
     bits = F.aggregate(
         F.filter("windows", lambda w: w["source"] < F.col("doc_id")), F.lit(0).cast("long"),
         lambda m, w: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), w["place"])),
