@@ -41,8 +41,9 @@ BANDS, ROWS = 24, 5
 BLOCK = 256
 #: Rare shingles that two similar sets share at least.
 MEETINGS = 4
-#: Cells of the table that estimates how rare a shingle is (2**20: 8 MB).
-COUNT_BITS = 20
+#: Cells of the table that estimates how rare a shingle is (2**16: 0.5 MB).  Template shingles stand out of the T shingles
+#: counted when their family is larger than some sqrt(T / cells).
+COUNT_BITS = 16
 
 
 def shingle_sets(words, k: int) -> tuple[np.ndarray, np.ndarray]:
