@@ -18,7 +18,9 @@ afterwards).  Classes that share a band are candidates:
    shingles, whatever the order of rarity: of a set of n shingles the first ``n - ceil(t n) + 4`` are filed, and two
    similar sets meet under 4 of them at least.  Pages of a template have the template's shingles last, so they do not meet.
    Rarity is an estimate from a table of counts of bounded size; the same order for all sets is all that it takes to miss nothing.
-   Pairs that meet, share a band and lie in different components are compared.
+   Classes that meet none of another component often enough leave their buckets.  Of those that remain, the members
+   outside the largest component are compared with all members, in blocks of a bounded number of
+   classes; only links that join two components leave a block.
 
 All comparisons are on the whole shingle sets.  With the defaults a pair at
 exactly the threshold of 0.85 is missed by all 24 bands with probability below 1e-6.
@@ -37,7 +39,7 @@ from .text import blocks, find_words, lists, mix, range_hash, ragged, sums
 
 U64 = np.uint64
 BANDS, ROWS = 24, 5
-#: Members of a block of step 2, where one rare shingle has many: a task sees two blocks of numbers at most.
+#: Classes in a block of step 2: a task compares two blocks at most.
 BLOCK = 256
 #: Rare shingles that two similar sets share at least.
 MEETINGS = 4
@@ -190,17 +192,56 @@ def _rarest(k: int, num: int, den: int, shared):
     return run
 
 
-def _meetings(num: int, den: int):
-    """(a, b, need) of the members of a block that may be similar; need is how often they must meet."""
+def _block_links(k: int, num: int, den: int):
+    """Links between the components that meet in a block; a spanning set of them."""
+    def one(ids, comps, texts):
+        column = pa.array(texts, type=pa.large_string())
+        codes, owner, at = [], [], 0
+        sizes = np.zeros(len(ids), dtype=np.int64)
+        for part, data, offsets in blocks([pa.RecordBatch.from_arrays([column], ["text"])], "text"):
+            code, ptr = shingle_sets(find_words(data, offsets, lower=True), k)
+            sizes[at:at + part.num_rows] = np.diff(ptr)
+            codes.append(code)
+            owner.append(np.repeat(np.arange(at, at + part.num_rows), np.diff(ptr)))
+            at += part.num_rows
+        code, owner = np.concatenate(codes), np.concatenate(owner)
+        values, index, count = np.unique(code, return_inverse=True, return_counts=True)
+        shared = count[index] > 1
+        index, owner = (np.cumsum(count > 1) - 1)[index[shared]], owner[shared]
+        order = np.argsort(index, kind="stable")
+        index, owner = index[order], owner[order]
+        inter = np.zeros((len(ids), len(ids)), dtype=np.float64)
+        rows, at = int(index[-1]) + 1 if len(index) else 0, 0
+        while at < rows:                      # shared shingles x documents, in slices of bounded size
+            to = min(rows, at + max(1, (4 << 20) // len(ids)))
+            lo, hi = np.searchsorted(index, [at, to])
+            grid = np.zeros((to - at, len(ids)), dtype=np.float32)
+            grid[index[lo:hi] - at, owner[lo:hi]] = 1
+            inter += grid.T @ grid
+            at = to
+        linked = _similar(inter, sizes[:, None], sizes[None, :], num, den) & (inter > 0)
+        linked &= comps[:, None] != comps[None, :]
+        parent = {}
+
+        def root(x):
+            while parent.get(x, x) != x:
+                x = parent[x]
+            return x
+
+        for i, j in zip(*np.nonzero(np.triu(linked))):
+            x, y = root(comps[i]), root(comps[j])
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                yield ids[i], ids[j]
+
     def run(batches):
         for batch in batches:
+            found = []
             for row in range(batch.num_rows):
                 members = batch.column("members")[row].values
-                ids, comps, n = (members.field(c).to_numpy() for c in ("doc_id", "component", "n"))
-                i, j = np.nonzero((ids[:, None] < ids[None, :]) & (comps[:, None] != comps[None, :])
-                                  & (np.minimum(n[:, None], n[None, :]) * den >= np.maximum(n[:, None], n[None, :]) * num))
-                need = np.minimum(MEETINGS, np.minimum(_least(n[i], num, den), _least(n[j], num, den)))
-                yield pa.RecordBatch.from_pydict({"a": ids[i], "b": ids[j], "need": need.astype(np.int64), "shingle": np.full(len(i), batch.column("shingle")[row].as_py())})
+                found += one(members.field("doc_id").to_numpy(), members.field("component").to_numpy(), members.field("text").to_pylist())
+            a, b = zip(*found) if found else ((), ())
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
 
@@ -264,30 +305,36 @@ def near_duplicates(
     counts[cells["cell"].to_numpy(dtype=np.int64)] = cells["n"].to_numpy(dtype=np.int64)
     filed = written(
         doubtful.mapInArrow(_rarest(shingle, num, den, docs.sparkSession.sparkContext.broadcast(counts)), "shingle long, doc_id long, component long, n long"), "filed")
-    groups = filed.groupBy("shingle").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("size"))
-    groups = written(groups.where("least <> most").select("shingle", F.ceil(F.col("size") / block).alias("parts")), "shingles")
-    # Each pair of parts of a group is a cell: a member goes to the row and the column of its part.
-    own = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.col("parts"))
-    grid = F.array_distinct(F.transform(
-        F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda i: F.struct(F.least(i, own).alias("i"), F.greatest(i, own).alias("j"))))
-    spread = filed.join(groups, "shingle").select("shingle", "doc_id", "component", "n", F.inline(grid))
-    met_blocks = (
-        spread.groupBy("shingle", "i", "j")
-        .agg(F.collect_list(F.struct("doc_id", "component", "n")).alias("members"), F.min("component").alias("least"), F.max("component").alias("most"))
-        .where("least <> most").select("shingle", "members")
+    groups = filed.groupBy("shingle").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("shingle")
+    # Classes that may have a partner in another component; the rest of a family leaves its buckets.
+    least = F.ceil(F.col("n") * num / den)
+    meeting = filed.join(written(groups, "shingles"), "shingle", "left_semi").groupBy("doc_id", "n").agg(F.count(F.lit(1)).alias("met"))
+    open_ = written(meeting.where(F.col("met") >= F.least(F.lit(MEETINGS), least)).select("doc_id").distinct(), "open")
+    placed = written(placed.select("key", "doc_id", "component").join(open_, "doc_id", "left_semi"), "placed")
+    parts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"), F.expr("bit_xor(xxhash64(doc_id))").alias("mark"))
+    # One row per set of members instead of one per band.
+    mixed = (
+        parts.groupBy("key").agg(
+            F.count(F.lit(1)).alias("components"), F.max(F.struct("c", "component")).alias("most"), F.sum("c").alias("size"), F.expr("bit_xor(mark)").alias("mark"),
+        ).where("components > 1")
+        .groupBy("size", "mark").agg(F.min(F.struct("key", "most")).alias("b"))
+        .select("b.key", F.col("b.most.component").alias("most"), F.ceil(F.col("size") / block).alias("alls"), F.ceil((F.col("size") - F.col("b.most.c")) / block).alias("others"))
     )
-    meetings = met_blocks.mapInArrow(_meetings(num, den), "a long, b long, need long, shingle long").distinct()
-    close = meetings.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.min("need").alias("need")).where("met >= need").select("a", "b")
-    keys = classes.select("doc_id", "keys")
-    close = (
-        close.join(keys.toDF("a", "keys_a"), "a").join(keys.toDF("b", "keys_b"), "b")
-        .where(F.arrays_overlap("keys_a", "keys_b")).select("a", "b").distinct()
-    )
-    second = (
-        written(close, "close").join(texts.select(F.col("doc_id").alias("a"), "text"), "a")
-        .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("leader_text")), "b").select("a", "b", "text", "leader_text")
-        .mapInArrow(_verified(shingle, num, den), "a long, b long")
+    mixed = written(mixed, "mixed_open")
+    # Members outside the bucket's largest component meet all members; that component's own pairs need no look.
+    own = lambda n: F.pmod(F.xxhash64("doc_id", F.lit(7)), F.col(n))
+    numbers = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    cells = F.array_distinct(F.concat(
+        F.transform(numbers("others"), lambda i: F.struct(i.alias("i"), own("alls").alias("j"))),
+        F.when(F.col("component") != F.col("most"), F.transform(numbers("alls"), lambda j: F.struct(own("others").alias("i"), j.alias("j")))).otherwise(F.array()),
+    ))
+    spread = placed.join(mixed, "key").select("key", "doc_id", "component", F.inline(cells))
+    met_blocks = (
+        spread.join(texts, "doc_id").groupBy("key", "i", "j")
+        .agg(F.collect_list(F.struct("doc_id", "component", "text")).alias("members"), F.min("component").alias("least"), F.max("component").alias("most"))
+        .where("least <> most").select("members")
     )
+    second = met_blocks.mapInArrow(_block_links(shingle, num, den), "a long, b long")
     # A second link joins two components of the first links.
     at = label.select("node", "component")
     lifted = (
