@@ -63,6 +63,8 @@ class Recognizer:
     matters only where the caller says which language a text has.
     ``validator`` names a SQL boolean function applied to the matched text
     (``luhn_check`` for cards); spans failing it are dropped.
+    ``alphabet`` is the inside of a character class with every character that a match can hold: a long
+    text may be cut after any other character (beside a word boundary, patterns must not look further than that).
     """
 
     entity_type: str
@@ -72,6 +74,7 @@ class Recognizer:
     validator: Optional[str] = None
     java: Optional[str] = None
     languages: tuple[str, ...] = ()
+    alphabet: Optional[str] = None
 
     def __post_init__(self):
         compiled = re.compile(self.pattern)
@@ -87,12 +90,12 @@ class Recognizer:
         return replace(self, validator=None)
 
 
-EMAIL = Recognizer("EMAIL_ADDRESS", EMAIL_PATTERN, 1.0, hint="@", java=EMAIL_JAVA)
-IP_ADDRESS = Recognizer("IP_ADDRESS", IP_PATTERN, 0.6, hint=".")
-CREDIT_CARD = Recognizer("CREDIT_CARD", CARD_PATTERN, 1.0, validator="luhn_check")
-PHONE = Recognizer("PHONE_NUMBER", PHONE_PATTERN, 0.75, hint="+1 (")
-SECRET = Recognizer("SECRET_TOKEN", SECRET_PATTERN, 0.85)
-URL = Recognizer("URL", URL_PATTERN, 0.5, hint="://")
+EMAIL = Recognizer("EMAIL_ADDRESS", EMAIL_PATTERN, 1.0, hint="@", java=EMAIL_JAVA, alphabet="A-Za-z0-9._%+@-")
+IP_ADDRESS = Recognizer("IP_ADDRESS", IP_PATTERN, 0.6, hint=".", alphabet="0-9.")
+CREDIT_CARD = Recognizer("CREDIT_CARD", CARD_PATTERN, 1.0, validator="luhn_check", alphabet="0-9")
+PHONE = Recognizer("PHONE_NUMBER", PHONE_PATTERN, 0.75, hint="+1 (", alphabet="0-9+() -")
+SECRET = Recognizer("SECRET_TOKEN", SECRET_PATTERN, 0.85, alphabet="0-9a-f")
+URL = Recognizer("URL", URL_PATTERN, 0.5, hint="://", alphabet="A-Za-z0-9./?=&_%#:-")
 
 BUILTIN = {r.entity_type: r for r in (EMAIL, IP_ADDRESS, CREDIT_CARD, PHONE, SECRET, URL)}
 

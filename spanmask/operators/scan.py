@@ -7,21 +7,23 @@ repartition *before* the heavy stage, for inputs with too few splits (a
 stream of a few files).  ``stacked`` turns a wide table into one
 (row key, column) pair per row so the work of very uneven columns spreads
 evenly; only keys and spans come back, in one grouping and one join, so it is batch only.
+``chunked`` cuts very long cells and leaves all others to the narrow projection.
 """
 
 from __future__ import annotations
 
-from typing import Callable, Optional, Sequence
+from typing import Callable, Mapping, Optional, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.context import Context, rescore, rescore_cells
 from ..functions.spans import SPANS_TYPE, as_recognizers, concat_spans, detect, detect_cells
-from ..plans.config import ensure_checkpoint_dir
+from .chunked import CHUNK, scan_chunked
 from .columns import RESULT_COL, ColumnPlan, pack_result, plan_columns, q
+from .rowkeys import ROW_KEY, batch_only, keyed_rows
 
 ROW_ID = "monotonic_id"
-_KEY = "_row_key"
 
 Detector = Callable[[Column], Column]
 
@@ -49,25 +51,6 @@ def detect_struct(cols: Sequence[str], recognizers=None, detector: Optional[Dete
     return F.struct(*[det(q(c)).alias(c) for c in cols])
 
 
-def _batch_only(df: DataFrame, what: str):
-    if df.isStreaming:
-        raise ValueError(f"{what} needs a row id and a join, which Spark does not allow on a stream")
-
-
-def _keyed(df: DataFrame, key: Optional[str]) -> DataFrame:
-    """``df`` with a unique row key that both sides of a self-join agree on.
-
-    A caller's unique, non-null ``key`` is used as it is.  Without one the rows get a
-    ``monotonically_increasing_id``; it depends on partition layout and row
-    order, which is not kept between two evaluations (nor across a task retry), so the
-    rows are then written once with ``checkpoint()`` to the shared ``spark.checkpoint.dir``.
-    """
-    if key is not None:
-        return df.withColumn(_KEY, q(key))
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.withColumn(_KEY, F.monotonically_increasing_id()).checkpoint(eager=True)
-
-
 def scan(
     df: DataFrame,
     exclude: Sequence[str] = (),
@@ -85,6 +68,9 @@ def scan(
     strings_only: bool = False,
     row_detector: Optional[Callable] = None,
     language: Optional[str] = None,
+    context: Optional[Mapping[str, Context]] = None,
+    min_score: float = 0.0,
+    chunk: int = CHUNK,
 ) -> DataFrame:
     """Scan ``df`` and append ``result_col``.
 
@@ -101,21 +87,30 @@ def scan(
     * ``strings_only`` -- scan string columns only.
     * ``language`` -- column with the language of each row's texts, for recognisers
       that are limited to some (strategy ``columns``).
+    * ``context`` -- words that raise or lower scores nearby (:func:`rescore`), by entity type.
+    * ``min_score`` -- spans below it, after that, are left out.
+    * ``chunk`` -- strategy ``chunked``: cells of more characters are cut and spread over the tasks.
     """
     plan = plan_columns(df, exclude, known, include, strings_only)
-    det = make_detector(recognizers, detector)
+    scored = context is not None or min_score > 0
+    if strategy == "chunked":
+        if detector is not None or row_detector is not None or language is not None or id_check or id_debug or scored:
+            raise ValueError("the chunked strategy goes with plain recognisers")
+        return scan_chunked(df, plan, as_recognizers(recognizers), layout, parallelism, result_col, key, chunk)
+    plain = make_detector(recognizers, detector)
+    det = (lambda c: rescore(c, plain(c), context or {}, min_score)) if scored else plain
     if language is not None and (strategy != "columns" or id_check or detector is not None or row_detector is not None):
         raise ValueError("language goes with recognisers and the plain 'columns' strategy")
     if strategy == "stacked":
         return _scan_stacked(df, plan, det, layout, parallelism, result_col, key)
     if strategy != "columns":
-        raise ValueError("strategy must be 'columns' or 'stacked'")
+        raise ValueError("strategy must be 'columns', 'stacked' or 'chunked'")
     if id_check:
         return _scan_id_checked(df, plan, det, layout, parallelism, result_col, key)
 
     base = df
     if id_debug:
-        _batch_only(df, "id_debug")
+        batch_only(df, "id_debug")
         base = df.withColumn(ROW_ID, F.monotonically_increasing_id())
     if parallelism:
         base = base.repartition(parallelism)
@@ -125,6 +120,7 @@ def scan(
         result = pack_result({c: det(q(c)) for c in plan.scanned}, plan.known, layout, extra)
     else:
         found = row_detector(cells) if row_detector is not None else detect_cells(cells, recognizers, q(language) if language else None)
+        found = rescore_cells(cells, found, context or {}, min_score) if scored else found
         result = F.element_at(F.transform(F.array(found), lambda a: pack_result(
             {c: a[i] for i, c in enumerate(plan.scanned)}, plan.known, layout, extra)), 1)
     return base.select(*[q(c) for c in base.columns], result.alias(result_col))
@@ -137,18 +133,18 @@ def _scan_id_checked(df, plan: ColumnPlan, det, layout, parallelism, result_col,
     key.  A filter above the left join, which no column pruning removes, fails unless
     each row meets exactly one result with the hash of its own cells.
     """
-    _batch_only(df, "id_check")
-    keyed = _keyed(df, key)
+    batch_only(df, "id_check")
+    keyed = keyed_rows(df, key)
     mark = F.xxhash64(*([q(c) for c in plan.scanned] or [F.lit(0)]))
-    side = keyed.select(_KEY, *[q(c) for c in plan.scanned])
+    side = keyed.select(ROW_KEY, *[q(c) for c in plan.scanned])
     if parallelism:
         side = side.repartition(parallelism)
     side = side.select(
-        F.col(_KEY), mark.alias("_mark"),
+        F.col(ROW_KEY), mark.alias("_mark"),
         pack_result({c: det(q(c)) for c in plan.scanned}, plan.known, layout).alias(result_col),
     )
-    side = side.groupBy(_KEY).agg(F.count(F.lit(1)).alias("_rows"), F.first("_mark").alias("_mark"), F.first(result_col).alias(result_col))
-    joined = keyed.withColumn("_own", mark).join(side, _KEY, "left")
+    side = side.groupBy(ROW_KEY).agg(F.count(F.lit(1)).alias("_rows"), F.first("_mark").alias("_mark"), F.first(result_col).alias(result_col))
+    joined = keyed.withColumn("_own", mark).join(side, ROW_KEY, "left")
     right = F.coalesce((F.col("_rows") == 1) & (F.col("_mark") == F.col("_own")), F.lit(False))
     checked = joined.where(F.assert_true(right, F.lit("scan result joined to the wrong row")).isNull())
     return checked.select(*[q(c) for c in df.columns], F.col(result_col))
@@ -156,15 +152,15 @@ def _scan_id_checked(df, plan: ColumnPlan, det, layout, parallelism, result_col,
 
 def _scan_stacked(df, plan: ColumnPlan, det, layout, parallelism, result_col, key) -> DataFrame:
     """One row per cell, spread over the tasks; spans regrouped by row key and joined back."""
-    _batch_only(df, "stacked scan")
+    batch_only(df, "stacked scan")
     if not plan.scanned:
         return df.select(*[q(c) for c in df.columns], pack_result({}, plan.known, layout).alias(result_col))
-    keyed = _keyed(df, key)
-    cells = keyed.select(_KEY, F.posexplode(F.array(*[q(c).cast("string") for c in plan.scanned])).alias("at", "cell"))
-    cells = cells.repartition(parallelism, _KEY, "at") if parallelism else cells.repartition(_KEY, "at")
-    found = cells.select(_KEY, "at", det(F.col("cell")).alias("spans"))
-    rows = found.groupBy(_KEY).agg(*[
+    keyed = keyed_rows(df, key)
+    cells = keyed.select(ROW_KEY, F.posexplode(F.array(*[q(c).cast("string") for c in plan.scanned])).alias("at", "cell"))
+    cells = cells.repartition(parallelism, ROW_KEY, "at") if parallelism else cells.repartition(ROW_KEY, "at")
+    found = cells.select(ROW_KEY, "at", det(F.col("cell")).alias("spans"))
+    rows = found.groupBy(ROW_KEY).agg(*[
         F.first(F.when(F.col("at") == i, F.col("spans")), ignorenulls=True).cast(SPANS_TYPE).alias(f"_s{i}") for i in range(len(plan.scanned))
     ])
-    packed = rows.select(_KEY, pack_result({c: F.col(f"_s{i}") for i, c in enumerate(plan.scanned)}, plan.known, layout).alias(result_col))
-    return keyed.join(packed, _KEY).select(*[q(c) for c in df.columns], F.col(result_col))
+    packed = rows.select(ROW_KEY, pack_result({c: F.col(f"_s{i}") for i, c in enumerate(plan.scanned)}, plan.known, layout).alias(result_col))
+    return keyed.join(packed, ROW_KEY).select(*[q(c) for c in df.columns], F.col(result_col))

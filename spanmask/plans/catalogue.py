@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.context import Context
 from ..functions.pseudonym import ROUNDS
 from ..functions.recognizers import CREDIT_CARD, EMAIL, IP_ADDRESS, PHONE, SECRET, URL, Recognizer
 from ..functions.spans import detect, detect_hits, resolve_spans
@@ -120,6 +121,34 @@ def _spoken_sql() -> str:
     return f"SELECT doc_id, entity_type, start, \"end\", matched FROM ({' UNION ALL '.join(sides)})"
 
 
+# The tables' prose is invented, so the context words are common words of it.
+NEARBY = {
+    "PHONE_NUMBER": Context(("on", "st", "the"), ("de", "la", "le"), window=4),
+    "CREDIT_CARD": Context(("are", "the", "this"), ("de", "et"), 0.2, 0.5, window=3),
+    "SECRET_TOKEN": Context(("token",), ("en", "est"), 0.1, 0.3),
+    "DIGIT_RUN": Context(("from", "token", "with"), ("the",), 0.8, 0.25, window=6),
+}
+SURE = 0.2
+
+
+def context_scores(spark, d):
+    """Spans with scores moved by the words around them; those under 0.2 go."""
+    s = scan(table(spark, d, "documents"), exclude=DOC_EXCLUDE, recognizers=PATTERNS + [DIGIT_RUN], context=NEARBY, min_score=SURE)
+    return s.select("doc_id", F.inline("pii_analysis_result.analysis_results.text")).select(
+        "doc_id", "entity_type", "start", "end", F.round("score", 6).alias("score"))
+
+
+def context_overlaps(spark, d):
+    """Documents rewritten by the labels that the moved scores give to overlapping spans."""
+    return anonymize(scan(table(spark, d, "documents"), exclude=DOC_EXCLUDE, recognizers=PATTERNS + [DIGIT_RUN], context=NEARBY, min_score=SURE)).select("doc_id", "text")
+
+
+def scan_chunked(spark, d):
+    """Documents of more than 256 characters cut into pieces of about that size, and the spans of the whole texts."""
+    s = scan(table(spark, d, "documents"), exclude=DOC_EXCLUDE, recognizers=PATTERNS, strategy="chunked", key="doc_id", chunk=256)
+    return _matched(s.select("doc_id", "text", F.inline("pii_analysis_result.analysis_results.text")))
+
+
 def detect_span_order(spark, d):
     """The place of each span in its cell's array: by start, longest first, then type."""
     spans = detect(F.col("text"), PATTERNS + [DIGIT_RUN])
@@ -397,6 +426,10 @@ def _union(recs, tbl: str = "documents", key: str = "doc_id", text: str = "text"
     return " UNION ALL ".join(f"({O.span_rows(tbl, key, text, r)})" for r in recs)
 
 
+def _nearby_sql() -> str:
+    return O.rescored(_union(PATTERNS + [DIGIT_RUN]), "documents", "doc_id", "text", NEARBY, SURE)
+
+
 # --- streams ----------------------------------------------------------------
 
 def stream_ingest(spark, d):
@@ -476,6 +509,9 @@ def queries() -> dict[str, Query]:
         "scan_flat_excluding": scan_flat_excluding,
         "scan_partitioned": scan_partitioned,
         "scan_stacked": scan_stacked,
+        "scan_chunked": scan_chunked,
+        "context_scores": context_scores,
+        "context_overlaps": context_overlaps,
         "scan_nested": scan_nested,
         "scan_id_checked": scan_id_checked,
         "scan_id_debug": scan_id_debug,
@@ -543,6 +579,9 @@ def oracle_sql() -> dict[str, str]:
         "scan_flat_excluding": _flat_counts_sql(scanned, PATTERNS),
         "scan_partitioned": _flat_counts_sql(scanned, PATTERNS),
         "scan_stacked": _flat_counts_sql(scanned, PATTERNS),
+        "scan_chunked": f"SELECT doc_id, entity_type, start, \"end\", matched FROM ({_union(PATTERNS)})",
+        "context_scores": f"SELECT doc_id, entity_type, start, \"end\", round(score, 6) AS score FROM ({_nearby_sql()})",
+        "context_overlaps": O.rewrite(_nearby_sql(), "documents", "doc_id", "text", O.REPLACE),
         "scan_nested": f"SELECT id, \"column\", n_spans, 'Full mask' AS known_flag FROM ("
                        f"{_flat_counts_sql(['freetext_1', 'lang'], PATTERNS)})",
         "scan_id_checked": doc_counts,

@@ -158,6 +158,33 @@ FROM r WHERE rk = 1
 """
 
 
+def rescored(spans_sql: str, source: str, key: str, text: str, contexts, min_score: float) -> str:
+    """Spans with scores moved by context words: words and spans joined on their positions."""
+    w = r"'\p{L}+'"
+    rules = ", ".join(f"({lit(e)}, {lit(x)}, {sign}, {c.window})" for e, c in contexts.items() for listed, sign in ((c.raises, 1), (c.lowers, -1)) for x in listed)
+    moves = ", ".join(f"({lit(e)}, {c.raise_by!r}::DOUBLE, {c.lower_by!r}::DOUBLE)" for e, c in contexts.items())
+    return f"""
+WITH s AS ({spans_sql}),
+t AS (SELECT {key} AS k, regexp_extract_all({text}, {w}) AS m, string_split_regex({text}, {w}) AS p FROM {source} WHERE {key} IN (SELECT {key} FROM s)),
+u AS (SELECT k, i, m[i] AS tok, length(p[i]) + length(m[i]) AS step FROM t, unnest(range(1, len(m) + 1)) AS x(i)),
+v AS (SELECT k, i, lower(tok) AS word, sum(step) OVER (PARTITION BY k ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS b, length(tok) AS n FROM u),
+b AS (
+  SELECT s.{key}, entity_type, start, "end", score, count(v.i) FILTER (v.b <= start) AS nb, count(v.i) FILTER (v.b - v.n < "end") AS na
+  FROM s LEFT JOIN v ON v.k = s.{key} GROUP BY ALL),
+rules(entity_type, word, sign, reach) AS (VALUES {rules}),
+moves(entity_type, up, down) AS (VALUES {moves}),
+h AS (
+  SELECT b.{key}, b.entity_type, start, "end", bool_or(sign > 0) AS raised, bool_or(sign < 0) AS lowered
+  FROM b JOIN rules r ON r.entity_type = b.entity_type
+  JOIN v ON v.k = b.{key} AND v.word = r.word AND (v.i > nb - reach AND v.i <= nb OR v.i > na AND v.i <= na + reach) GROUP BY ALL)
+SELECT * FROM (
+  SELECT b.{key}, b.entity_type, b.start, b."end", CASE WHEN up IS NULL THEN score ELSE round(greatest(0, least(1,
+    score + CASE WHEN raised THEN up ELSE 0 END - CASE WHEN lowered THEN down ELSE 0 END)), 6) END AS score
+  FROM b LEFT JOIN moves USING (entity_type)
+  LEFT JOIN h ON h.{key} = b.{key} AND h.entity_type = b.entity_type AND h.start = b.start AND h."end" = b."end")
+WHERE score >= {min_score!r}"""
+
+
 MASKED = lit(PII_MASKED)
 
 
