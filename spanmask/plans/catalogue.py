@@ -28,6 +28,7 @@ from ..operators.ordering import row_places
 from ..operators.sample import DIGEST, bottom_k
 from ..operators.scan import scan
 from ..operators.summary import summarize
+from ..sources.evolving import ingest_json_evolving, read_evolved
 from ..sources.files import ingest_json, with_file_metadata, write_hop, write_json
 from ..sources.synth import synth_customers
 from ..sources.tables import CUSTOMERS_WITH_PII_SQL, customers_with_pii, table
@@ -479,6 +480,49 @@ def stream_distinct(spark, d):
     return read_distinct(spark, f"{root}/distinct")
 
 
+def _land_events(spark, d, landing: str, drop: int):
+    """A quarter of the events as JSON lines; each quarter knows other fields, and some of its user ids are text."""
+    events = table(spark, d, "events").where(F.col("event_id") % 4 == drop)
+    fields = [F.col("event_id"), F.col("value")]
+    if drop >= 1:
+        fields.append(F.col("event_type"))
+    if drop >= 2:
+        fields.append(F.from_json("props", "k long").alias("props"))
+    odd = F.to_json(F.struct(*fields, F.concat(F.lit("u"), F.col("user_id")).alias("user_id")))
+    even = F.to_json(F.struct(*fields, F.col("user_id")))
+    lines = events.select((F.when(F.col("user_id") % 2 == 1, odd).otherwise(even) if drop else even).alias("value"))
+    lines.repartition(2).write.mode("append").text(landing)
+
+
+def stream_evolving(spark, d):
+    """Events landed in four drops with growing fields and mistyped ids; three starts of one stream from its checkpoint.
+
+    The third drop lands when the second run has its schema, so its new field is rescued; the third run has taken it up.
+    """
+    root = shared_dir(spark, "stream_evolving")
+    landing, log = f"{root}/landing", f"{root}/_checkpoints/schema"
+    start = lambda: ingest_json_evolving(spark, landing, log, max_files=1)
+    run = lambda stream: write_hop(stream, f"{root}/raw", f"{root}/_checkpoints/raw").awaitTermination()
+    _land_events(spark, d, landing, 0)
+    run(start())
+    _land_events(spark, d, landing, 1)
+    second = start()
+    _land_events(spark, d, landing, 2)
+    run(second)
+    _land_events(spark, d, landing, 3)
+    run(start())
+    hop = read_evolved(spark, f"{root}/raw", log)
+    return hop.select("event_id", "user_id", "value", "event_type", F.col("props.k").alias("props_k"), F.col("_rescued_data").alias("rescued"))
+
+
+EVOLVED_SQL = """
+SELECT event_id, CASE WHEN odd THEN NULL ELSE user_id END AS user_id, value, CASE WHEN drop >= 1 THEN event_type END AS event_type,
+  CASE WHEN drop = 3 THEN k END AS props_k,
+  CASE WHEN odd AND drop = 2 THEN '{"props":"{\\"k\\":' || k || '}","user_id":"u' || user_id || '"}'
+    WHEN drop = 2 THEN '{"props":"{\\"k\\":' || k || '}"}' WHEN odd THEN '{"user_id":"u' || user_id || '"}' END AS rescued
+FROM (SELECT *, event_id % 4 AS drop, event_id % 4 > 0 AND user_id % 2 = 1 AS odd, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)"""
+
+
 # --- synthetic data --------------------------------------------------------
 
 def synth_query(spark, d):
@@ -541,6 +585,7 @@ def queries() -> dict[str, Query]:
         "stream_three_hop": stream_three_hop,
         "stream_summary": stream_summary,
         "stream_distinct": stream_distinct,
+        "stream_evolving": stream_evolving,
         "synth_customers": synth_query,
     }
 
@@ -620,6 +665,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_ingest": "SELECT doc_id AS id, text, true AS path_ends_in_name, true AS is_json, "
                          "CAST(0 AS BIGINT) AS file_block_start, true AS whole_file, true AS written_before FROM documents",
         "stream_three_hop": cwp_anon,
+        "stream_evolving": EVOLVED_SQL,
         "stream_summary": _summary_sql(["text"], PATTERNS, "documents"),
         "synth_customers": O.synth_customers("(SELECT c_custkey AS id FROM customer)", 2, 42),
     }

@@ -19,6 +19,7 @@ from ..operators.scan import scan
 from ..operators.distinct import K, distinct_parts, merge_distinct
 from ..operators.summary import merge_parts, summary_parts
 from ..plans.config import ScanConfig
+from ..sources.evolving import ingest_json_evolving
 from ..sources.files import FILE_METADATA_COLS, ingest_json, read_hop, with_file_metadata, write_hop
 
 LINEAGE_COLS = (*FILE_METADATA_COLS, "processing_time")
@@ -57,7 +58,7 @@ def run_hops(
     spark: SparkSession,
     landing: str,
     paths: HopPaths,
-    schema: T.StructType,
+    schema: Optional[T.StructType],
     conf: ScanConfig,
     recognizers=None,
     operators: Optional[Mapping] = None,
@@ -75,8 +76,13 @@ def run_hops(
     table.  ``conf.max_files`` bounds the files of each micro-batch in every hop.
     ``detector`` replaces the pattern recognisers.  A line that is no JSON keeps its
     text in ``_corrupt_record``, which is scanned and rewritten like any text.
+    Without a ``schema`` types are inferred and logged under ``paths.checkpoints``, new fields are taken up at each start, and values
+    that do not fit are kept in ``_rescued_data`` (see :mod:`spanmask.sources.evolving`), which is scanned as well.
     """
-    raw = raw_stream(spark, landing, schema, conf.max_files)
+    if schema is None:
+        raw = ingest_json_evolving(spark, landing, f"{paths.checkpoints}/schema", max_files=conf.max_files)
+    else:
+        raw = raw_stream(spark, landing, schema, conf.max_files)
     raw_schema = _nullable(raw.schema)
     queries = []
 
@@ -139,12 +145,12 @@ def read_distinct(spark: SparkSession, path: str, k: int = K) -> DataFrame:
 def run_pipeline(spark: SparkSession, conf: Optional[ScanConfig] = None, **options) -> list:
     """The hops as the session's configuration says (see :class:`ScanConfig`).
 
-    ``ingestion_folder``, ``output_folder`` and ``input_schema`` must be set;
+    ``ingestion_folder`` and ``output_folder`` must be set; without ``input_schema`` types are inferred, logged and evolved;
     ``options`` go to :func:`run_hops`.
     """
     conf = conf or ScanConfig.from_spark(spark)
-    missing = [k for k in ("ingestion_folder", "output_folder", "input_schema") if not getattr(conf, k)]
+    missing = [k for k in ("ingestion_folder", "output_folder") if not getattr(conf, k)]
     if missing:
         raise ValueError(f"not configured: {', '.join(missing)}")
-    schema = T.StructType.fromDDL(conf.input_schema)
+    schema = T.StructType.fromDDL(conf.input_schema) if conf.input_schema else None
     return run_hops(spark, conf.ingestion_folder, HopPaths.under(conf.output_folder), schema, conf, **options)
