@@ -88,7 +88,8 @@ def scan_chunked(df: DataFrame, plan: ColumnPlan, recognizers: Sequence[Recogniz
     found = pieces.select(ROW_KEY, "_at", F.transform(detect(F.col("_text"), recognizers), lambda s: F.struct(
         s["entity_type"].alias("entity_type"), (s["start"] + shift).cast("int").alias("start"), (s["end"] + shift).cast("int").alias("end"),
         s["score"].alias("score"))).alias("_spans"))
-    spans = found.select(ROW_KEY, "_at", F.explode("_spans").alias("_span"))
+    # The outer form: a plain explode brings a filter on the spans, which Spark would evaluate ahead of the shuffle.
+    spans = found.select(ROW_KEY, "_at", F.explode_outer("_spans").alias("_span"))
     rows = spans.groupBy(ROW_KEY).agg(*[F.collect_list(F.when(F.col("_at") == i, F.col("_span"))).alias(f"_s{i}") for i in range(len(cells))])
     none = F.expr(NO_SPANS)
     stitched = F.array(*[sort_spans(F.coalesce(F.col(f"_s{i}"), none).cast(SPANS_TYPE)) for i in range(len(cells))])

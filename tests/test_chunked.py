@@ -78,3 +78,11 @@ def test_refuses_what_it_cannot_cut(spark):
         scan(df, strategy="chunked", min_score=0.5)
     with pytest.raises(ValueError, match="one character"):
         scan(df, strategy="chunked", chunk=0)
+
+
+def test_pieces_are_scanned_behind_the_shuffle(spark):
+    df = spark.createDataFrame([(1, "a@b.co, " * 50)], "id int, t string")
+    cut = scan(df, exclude=["id"], strategy="chunked", key="id", chunk=20).select("id", F.inline("pii_analysis_result.analysis_results.t"))
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("RepartitionByExpression")
+    assert "EMAIL_ADDRESS" in above and "EMAIL_ADDRESS" not in below.split("LocalRelation")[0].split("LogicalRDD")[0]
