@@ -29,10 +29,11 @@ from ..operators.sample import DIGEST, bottom_k
 from ..operators.scan import scan
 from ..operators.summary import summarize
 from ..sources.evolving import ingest_json_evolving, read_evolved
-from ..sources.files import ingest_json, with_file_metadata, write_hop, write_json
+from ..sources.files import ingest_json, read_hop, with_file_metadata, write_hop, write_json
 from ..sources.synth import synth_customers
 from ..sources.tables import CUSTOMERS_WITH_PII_SQL, customers_with_pii, table
-from ..streaming.hops import HopPaths, distinct_sink, read_distinct, read_summary, run_pipeline, summary_sink
+from ..streaming.hops import HopPaths, distinct_sink, read_distinct, read_summary, run_hops, run_pipeline, summary_sink
+from ..streaming.identity import identity_sink, read_identity
 from ..plans.config import ScanConfig, shared_dir
 from . import oracle as O
 
@@ -459,6 +460,19 @@ def stream_three_hop(spark, d):
     return spark.read.parquet(HopPaths.under(conf.output_folder).anonymised).select("id", "fullname", "segment", "freetext_1", "lang")
 
 
+def stream_tables(spark, d):
+    """The three hops as tables of the catalog, each read by name; two drops, so every stream restarts once."""
+    root = shared_dir(spark, "stream_tables")
+    base = "hops_" + root.rsplit("/", 1)[-1]
+    spark.sql(f"CREATE DATABASE {base} LOCATION '{root}/base'")
+    cwp = customers_with_pii(spark, d)
+    conf = ScanConfig(known_pii_cols=CWP_KNOWN, cols_to_exclude=CWP_EXCLUDE, max_files=2)
+    for half in (0, 1):
+        write_json(cwp.where(F.col("id") % 2 == half), f"{root}/landing", parts=3)
+        run_hops(spark, f"{root}/landing", HopPaths.under(f"{root}/out"), cwp.schema, conf, recognizers=PATTERNS, database=base)
+    return spark.table(f"{base}.customers_pii_anonymized").select("id", "fullname", "segment", "freetext_1", "lang")
+
+
 def stream_summary(spark, d):
     """Scan summary gathered per micro-batch (foreachBatch), one landed file each."""
     root = shared_dir(spark, "stream_summary")
@@ -480,6 +494,39 @@ def stream_distinct(spark, d):
     return read_distinct(spark, f"{root}/distinct")
 
 
+def stream_identity(spark, d):
+    """Documents landed in two drops, an analysed hop with faults, and the check that finds them, over a restart of all three streams.
+
+    The faults stand for a hop gone wrong: rows lost, repeated, and with the text of nobody.
+    """
+    root = shared_dir(spark, "stream_identity")
+    schema = T.StructType.fromDDL("id long, text string")
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
+    for half in (0, 1):
+        write_json(docs.where(F.col("id") % 2 == half), f"{root}/landing", parts=2)
+        landed = with_file_metadata(ingest_json(spark, f"{root}/landing", schema, max_files=1))
+        write_hop(landed, f"{root}/raw", f"{root}/_checkpoints/raw").awaitTermination()
+        raw = read_hop(spark, f"{root}/raw", landed.schema, max_files=1)
+        found = scan(raw, exclude=[c for c in raw.columns if c != "text"], recognizers=PATTERNS)
+        times = F.when(F.col("id") % 7 == 3, 0).when(F.col("id") % 11 == 4, 2).otherwise(1)
+        text = F.when(F.col("id") % 13 == 5, F.concat("text", F.lit("?"))).otherwise(F.col("text"))
+        faulty = found.withColumn("text", text).withColumn("_n", F.explode(F.array_repeat(F.lit(1), times))).drop("_n")
+        write_hop(faulty, f"{root}/analysed", f"{root}/_checkpoints/analysed").awaitTermination()
+        left = read_hop(spark, f"{root}/analysed", faulty.schema, max_files=1)
+        identity_sink(raw, left, ["id"], f"{root}/identity", f"{root}/_checkpoints/identity")
+    found = read_identity(spark, f"{root}/identity")
+    return found.select(F.get_json_object("row_key", "$[0]").cast("long").alias("doc_id"), "n_landed", "n_left", "status")
+
+
+IDENTITY_SQL = """
+SELECT doc_id, CAST(a AS BIGINT) AS n_landed, CAST(b AS BIGINT) AS n_left, CASE WHEN a = b THEN 'ok' WHEN a > b THEN 'missing' ELSE 'extra' END AS status
+FROM (
+  SELECT doc_id, 1 AS a, CASE WHEN other THEN 0 ELSE n END AS b FROM c
+  UNION ALL SELECT doc_id, 0, n FROM c WHERE other AND n > 0)"""
+IDENTITY_SQL = ("WITH c AS (SELECT doc_id, CASE WHEN doc_id % 7 = 3 THEN 0 WHEN doc_id % 11 = 4 THEN 2 ELSE 1 END AS n, doc_id % 13 = 5 AND text IS NOT NULL AS other "
+                "FROM documents)" + IDENTITY_SQL)
+
+
 def _land_events(spark, d, landing: str, drop: int):
     """A quarter of the events as JSON lines; each quarter knows other fields, and some of its user ids are text."""
     events = table(spark, d, "events").where(F.col("event_id") % 4 == drop)
@@ -583,9 +630,11 @@ def queries() -> dict[str, Query]:
         "gazetteer_fuzzy": fuzzy_query,
         "stream_ingest": stream_ingest,
         "stream_three_hop": stream_three_hop,
+        "stream_tables": stream_tables,
         "stream_summary": stream_summary,
         "stream_distinct": stream_distinct,
         "stream_evolving": stream_evolving,
+        "stream_identity": stream_identity,
         "synth_customers": synth_query,
     }
 
@@ -665,7 +714,9 @@ def oracle_sql() -> dict[str, str]:
         "stream_ingest": "SELECT doc_id AS id, text, true AS path_ends_in_name, true AS is_json, "
                          "CAST(0 AS BIGINT) AS file_block_start, true AS whole_file, true AS written_before FROM documents",
         "stream_three_hop": cwp_anon,
+        "stream_tables": cwp_anon,
         "stream_evolving": EVOLVED_SQL,
+        "stream_identity": IDENTITY_SQL,
         "stream_summary": _summary_sql(["text"], PATTERNS, "documents"),
         "synth_customers": O.synth_customers("(SELECT c_custkey AS id FROM customer)", 2, 42),
     }

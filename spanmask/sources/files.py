@@ -62,20 +62,24 @@ def write_json(df: DataFrame, path: str, parts: Optional[int] = None, mode: str
     out.write.mode(mode).json(path)
 
 
-def read_hop(spark: SparkSession, path: str, schema: T.StructType, max_files: Optional[int] = None) -> DataFrame:
-    """Stream the append-only parquet table written by an upstream hop, ``max_files`` per micro-batch."""
-    r = spark.readStream.schema(schema)
-    return (r.option("maxFilesPerTrigger", int(max_files)) if max_files else r).parquet(path)
+def read_hop(spark: SparkSession, path: Optional[str] = None, schema: Optional[T.StructType] = None, max_files: Optional[int] = None,
+             table: Optional[str] = None) -> DataFrame:
+    """Stream the append-only parquet table written by an upstream hop, ``max_files`` per micro-batch.
+
+    By ``path`` and ``schema``, or by the name of a ``table`` of the catalog, which knows both.
+    """
+    r = spark.readStream.option("maxFilesPerTrigger", int(max_files)) if max_files else spark.readStream
+    return r.table(table) if table else r.schema(schema).parquet(path)
 
 
 def write_hop(df: DataFrame, path: str, checkpoint: str, available_now: bool = True,
-              processing_time: Optional[str] = None, query_name: Optional[str] = None) -> StreamingQuery:
+              processing_time: Optional[str] = None, query_name: Optional[str] = None, table: Optional[str] = None) -> StreamingQuery:
     """Append a stream to a parquet table with its own checkpoint.
 
     ``available_now`` processes what has landed and stops; otherwise a
     ``processing_time`` trigger keeps the hop running.  The file sink with
     a checkpoint is exactly-once: a restarted hop neither drops nor
-    repeats rows.
+    repeats rows.  With ``table`` the folder is a table of the catalog by that name, made at the first start.
     """
     w = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     if query_name:
@@ -84,4 +88,4 @@ def write_hop(df: DataFrame, path: str, checkpoint: str, available_now: bool = T
         w = w.trigger(availableNow=True)
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
-    return w.start(path)
+    return w.option("path", path).toTable(table) if table else w.start(path)

@@ -66,6 +66,7 @@ def run_hops(
     available_now: bool = True,
     processing_time: str = "30 seconds",
     detector=None,
+    database: Optional[str] = None,
 ) -> list:
     """Run (or start) the hops; returns the streaming queries.
 
@@ -78,7 +79,12 @@ def run_hops(
     text in ``_corrupt_record``, which is scanned and rewritten like any text.
     Without a ``schema`` types are inferred and logged under ``paths.checkpoints``, new fields are taken up at each start, and values
     that do not fit are kept in ``_rescued_data`` (see :mod:`spanmask.sources.evolving`), which is scanned as well.
+    With ``database`` (an existing one; ``catalog.database`` too) the hops are tables there, named like their folders and read by name
+    by the next hop; the schema of a catalog table does not grow, so a ``schema`` is needed.
     """
+    if database and schema is None:
+        raise ValueError("hops as catalog tables need a schema")
+    named = lambda path: f"{database}.{path.rstrip('/').rsplit('/', 1)[-1]}" if database else None
     if schema is None:
         raw = ingest_json_evolving(spark, landing, f"{paths.checkpoints}/schema", max_files=conf.max_files)
     else:
@@ -88,17 +94,17 @@ def run_hops(
 
     def go(df, path, name):
         q = write_hop(df, path, f"{paths.checkpoints}/{name}", available_now=available_now,
-                      processing_time=None if available_now else processing_time)
+                      processing_time=None if available_now else processing_time, table=named(path))
         if available_now:
             q.awaitTermination()
         queries.append(q)
 
     go(raw, paths.raw, "raw")
-    hop1 = read_hop(spark, paths.raw, raw_schema, conf.max_files)
+    hop1 = read_hop(spark, paths.raw, raw_schema, conf.max_files, named(paths.raw))
     if keep_analysed:
         analysed = analysed_stream(hop1, conf, recognizers, detector)
         go(analysed, paths.analysed, "analysed")
-        hop2 = read_hop(spark, paths.analysed, _nullable(analysed.schema), conf.max_files)
+        hop2 = read_hop(spark, paths.analysed, _nullable(analysed.schema), conf.max_files, named(paths.analysed))
         go(anonymize(hop2, operators=operators, parallelism=conf.parallelism), paths.anonymised, "anonymised")
     else:
         go(anonymize(analysed_stream(hop1, conf, recognizers, detector), operators=operators), paths.anonymised, "anonymised")

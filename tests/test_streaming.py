@@ -1,5 +1,6 @@
 """Three hops: batch == stream, restart adds nothing, two drops == one."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from spanmask import anonymize, scan
@@ -79,3 +80,21 @@ def test_configured_run_with_a_detector_and_a_broken_line(spark, scratch):
     rows = {r.id: r for r in spark.read.parquet(HopPaths.under(f"{scratch}/out").anonymised).collect()}
     assert len(rows) == 7 and all(rows[i].t == f"mail <EMAIL_ADDRESS> and {i}" for i in range(6))
     assert rows[None]._corrupt_record == '{"id": 9, "t": broken <EMAIL_ADDRESS>'
+
+
+def test_hops_as_catalog_tables(spark, scratch):
+    df = spark.createDataFrame([(i, f"mail a{i}@b.co") for i in range(6)], "id int, t string")
+    conf = ScanConfig(cols_to_exclude=["id"], max_files=1)
+    spark.sql(f"CREATE DATABASE hops_test LOCATION '{scratch}/base'")
+    try:
+        for half in (0, 1, 2):                             # the third run finds nothing new
+            if half < 2:
+                write_json(df.where(F.col("id") % 2 == half), f"{scratch}/landing", parts=2)
+            run_hops(spark, f"{scratch}/landing", HopPaths.under(f"{scratch}/out"), df.schema, conf, database="hops_test")
+            for name in ("customers_with_pii", "customers_pii_analyzed", "customers_pii_anonymized"):
+                assert spark.table(f"hops_test.{name}").count() == min(half + 1, 2) * 3
+        assert spark.table("hops_test.customers_pii_anonymized").where("t <> 'mail <EMAIL_ADDRESS>'").count() == 0
+        with pytest.raises(ValueError, match="schema"):
+            run_hops(spark, f"{scratch}/landing", HopPaths.under(f"{scratch}/out"), None, conf, database="hops_test")
+    finally:
+        spark.sql("DROP DATABASE hops_test CASCADE")
