@@ -29,7 +29,7 @@ from ..operators.sample import DIGEST, bottom_k
 from ..operators.scan import scan
 from ..operators.summary import summarize
 from ..sources.evolving import ingest_json_evolving, read_evolved
-from ..sources.files import ingest_json, read_hop, with_file_metadata, write_hop, write_json
+from ..sources.files import batch_files, files_per_share, ingest_json, read_hop, table_bytes, with_file_metadata, write_hop, write_json
 from ..sources.synth import synth_customers
 from ..sources.tables import CUSTOMERS_WITH_PII_SQL, customers_with_pii, table
 from ..streaming.hops import HopPaths, distinct_sink, read_distinct, read_summary, run_hops, run_pipeline, summary_sink
@@ -434,6 +434,16 @@ def _nearby_sql() -> str:
 
 # --- streams ----------------------------------------------------------------
 
+def _land(df: DataFrame, landing: str, shares: int) -> int:
+    """Land ``df`` as JSON in equal shares, which the streams take one or some at a time; the files of a share.
+
+    A large share is several files, so that no task has it all to write; the micro-batches stay the same.
+    """
+    files = files_per_share(table_bytes(df), shares)
+    write_json(df, landing, parts=shares * files)
+    return files
+
+
 def stream_ingest(spark, d):
     """Land the documents as JSON, stream them into a parquet hop, read it back with its lineage."""
     root = shared_dir(spark, "stream_ingest")
@@ -502,17 +512,21 @@ def stream_identity(spark, d):
     root = shared_dir(spark, "stream_identity")
     schema = T.StructType.fromDDL("id long, text string")
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
+
+    def hop(df, name):
+        """The next stream of a hop's table, with the micro-batches that wrote it."""
+        run = write_hop(df, f"{root}/{name}", f"{root}/_checkpoints/{name}")
+        run.awaitTermination()
+        return read_hop(spark, f"{root}/{name}", df.schema, batch_files(spark, run, f"{root}/{name}", 1))
+
     for half in (0, 1):
-        write_json(docs.where(F.col("id") % 2 == half), f"{root}/landing", parts=2)
-        landed = with_file_metadata(ingest_json(spark, f"{root}/landing", schema, max_files=1))
-        write_hop(landed, f"{root}/raw", f"{root}/_checkpoints/raw").awaitTermination()
-        raw = read_hop(spark, f"{root}/raw", landed.schema, max_files=1)
+        share = _land(docs.where(F.col("id") % 2 == half), f"{root}/landing", 2)
+        raw = hop(with_file_metadata(ingest_json(spark, f"{root}/landing", schema, max_files=share)), "raw")
         found = scan(raw, exclude=[c for c in raw.columns if c != "text"], recognizers=PATTERNS)
         times = F.when(F.col("id") % 7 == 3, 0).when(F.col("id") % 11 == 4, 2).otherwise(1)
         text = F.when(F.col("id") % 13 == 5, F.concat("text", F.lit("?"))).otherwise(F.col("text"))
         faulty = found.withColumn("text", text).withColumn("_n", F.explode(F.array_repeat(F.lit(1), times))).drop("_n")
-        write_hop(faulty, f"{root}/analysed", f"{root}/_checkpoints/analysed").awaitTermination()
-        left = read_hop(spark, f"{root}/analysed", faulty.schema, max_files=1)
+        left = hop(faulty, "analysed")
         identity_sink(raw, left, ["id"], f"{root}/identity", f"{root}/_checkpoints/identity")
     found = read_identity(spark, f"{root}/identity")
     return found.select(F.get_json_object("row_key", "$[0]").cast("long").alias("doc_id"), "n_landed", "n_left", "status")

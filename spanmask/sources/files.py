@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from typing import Optional
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,11 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.columns import q
+
 # --- fixed values --------------------------------------------------------
 # File-lineage columns added by with_file_metadata (names as Spark gives them).
 FILE_METADATA_COLS = (
     "file_path", "file_name", "file_size", "file_block_start", "file_block_length", "file_modification_time",
 )
+# A landed share of more than this is several files, each written by a task of its own.
+LANDED_MB = 32
 # -------------------------------------------------------------------------
 
 
@@ -62,6 +67,33 @@ def write_json(df: DataFrame, path: str, parts: Optional[int] = None, mode: str
     out.write.mode(mode).json(path)
 
 
+def table_bytes(df: DataFrame) -> int:
+    """About the bytes of a table as JSON lines (names and cells, without escapes), by one pass over it."""
+    cells = [F.coalesce(F.octet_length(q(c).cast("string")), F.lit(0)).cast("long") + len(c) + 6 for c in df.columns]
+    return df.select(F.sum(sum(cells))).first()[0] or 0
+
+
+def files_per_share(n_bytes: int, shares: int, landed_mb: float = LANDED_MB) -> int:
+    """Files for each of ``shares`` equal shares of ``n_bytes``, so that none is much larger than ``landed_mb``."""
+    return max(1, math.ceil(n_bytes / shares / (landed_mb * (1 << 20))))
+
+
+def batch_files(spark: SparkSession, query: StreamingQuery, path: str, max_files: Optional[int]) -> Optional[int]:
+    """Files of the hop table at ``path`` that hold about what one micro-batch of ``query``, which writes it, took in.
+
+    A micro-batch is written in as many files as it has tasks.  A next hop that takes only ``max_files`` of them would run in so many
+    tasks, and in more micro-batches the larger the input; with this limit it has those of ``query``.  Until ``query`` has
+    run a micro-batch it is ``max_files`` for each task that the session runs at a time.
+    """
+    if not max_files:
+        return max_files
+    last = query.lastProgress
+    batches = last.batchId + (1 if last.numInputRows else 0) if last else 0
+    if not batches:
+        return int(max_files) * spark.sparkContext.defaultParallelism
+    return max(int(max_files), math.ceil(len(spark.read.schema("_ int").parquet(path).inputFiles()) / batches))
+
+
 def read_hop(spark: SparkSession, path: Optional[str] = None, schema: Optional[T.StructType] = None, max_files: Optional[int] = None,
              table: Optional[str] = None) -> DataFrame:
     """Stream the append-only parquet table written by an upstream hop, ``max_files`` per micro-batch.

@@ -56,3 +56,28 @@ def test_key_of_several_columns_and_missing_columns(spark, scratch):
     df = spark.createDataFrame([], SCHEMA)
     with pytest.raises(ValueError, match="lacks n"):
         identity_counts(df, df.drop("n"), ["id"])
+
+
+def test_micro_batches_do_not_grow_with_the_files_of_a_hop(spark, scratch, monkeypatch):
+    """Each micro-batch of a hop is written by many tasks; the next streams take what one wrote at a time, not a file."""
+    from spanmask.plans import catalogue
+
+    rows = [(i, f"row {i} mail a{i}@b.co " + "x" * 400) for i in range(400)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{scratch}/data/documents.parquet")
+    monkeypatch.setattr(catalogue, "shared_dir", lambda *_: f"{scratch}/run")
+    small = {"spark.sql.files.maxPartitionBytes": "8k", "spark.sql.files.openCostInBytes": "1k"}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        found = catalogue.stream_identity(spark, f"{scratch}/data").groupBy("status").count().collect()
+    finally:
+        for k in small:
+            spark.conf.unset(k)
+    times = [0 if i % 7 == 3 else 2 if i % 11 == 4 else 1 for i in range(400)]
+    other = [i % 13 == 5 for i in range(400)]
+    want = {"ok": sum(t == 1 and not o for t, o in zip(times, other)), "missing": sum(t == 0 or o for t, o in zip(times, other)),
+            "extra": sum(t == 2 and not o or o and t > 0 for t, o in zip(times, other))}
+    assert {r["status"]: r["count"] for r in found} == want
+    files = lambda hop: len(spark.read.parquet(f"{scratch}/run/{hop}").inputFiles())
+    assert files("raw") >= 12 and files("analysed") >= 12
+    assert spark.read.parquet(f"{scratch}/run/identity").select("batch_id").distinct().count() <= 6
