@@ -31,7 +31,7 @@ from ..operators.summary import summarize
 from ..sources.evolving import ingest_json_evolving, read_evolved
 from ..sources.files import batch_files, files_per_share, ingest_json, read_hop, table_bytes, with_file_metadata, write_hop, write_json
 from ..sources.synth import synth_customers
-from ..sources.tables import CUSTOMERS_WITH_PII_SQL, customers_with_pii, table
+from ..sources.tables import CUSTOMERS_WITH_PII_SQL, customer_sources, customers_with_pii, table
 from ..streaming.hops import HopPaths, distinct_sink, read_distinct, read_summary, run_hops, run_pipeline, summary_sink
 from ..streaming.identity import identity_sink, read_identity
 from ..plans.config import ScanConfig, shared_dir
@@ -434,12 +434,13 @@ def _nearby_sql() -> str:
 
 # --- streams ----------------------------------------------------------------
 
-def _land(df: DataFrame, landing: str, shares: int) -> int:
+def _land(df: DataFrame, landing: str, shares: int, *tables: DataFrame) -> int:
     """Land ``df`` as JSON in equal shares, which the streams take one or some at a time; the files of a share.
 
     A large share is several files, so that no task has it all to write; the micro-batches stay the same.
+    A ``df`` joined from ``tables`` is as large as they are, and not joined to be measured.
     """
-    files = files_per_share(table_bytes(df), shares)
+    files = files_per_share(sum(map(table_bytes, tables or (df,))), shares)
     write_json(df, landing, parts=shares * files)
     return files
 
@@ -463,9 +464,9 @@ def stream_three_hop(spark, d):
     """Raw -> analysed -> anonymised over JSON landed from customers_with_pii, in several micro-batches."""
     root = shared_dir(spark, "stream_three_hop")
     cwp = customers_with_pii(spark, d)
-    write_json(cwp, f"{root}/landing", parts=6)
+    share = _land(cwp, f"{root}/landing", 6, *customer_sources(spark, d))
     conf = ScanConfig(ingestion_folder=f"{root}/landing", output_folder=f"{root}/out", known_pii_cols=CWP_KNOWN, cols_to_exclude=CWP_EXCLUDE,
-                      input_schema=", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cwp.schema.fields), max_files=2)
+                      input_schema=", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cwp.schema.fields), max_files=2 * share)
     run_pipeline(spark, conf, recognizers=PATTERNS)
     return spark.read.parquet(HopPaths.under(conf.output_folder).anonymised).select("id", "fullname", "segment", "freetext_1", "lang")
 
@@ -476,9 +477,10 @@ def stream_tables(spark, d):
     base = "hops_" + root.rsplit("/", 1)[-1]
     spark.sql(f"CREATE DATABASE {base} LOCATION '{root}/base'")
     cwp = customers_with_pii(spark, d)
-    conf = ScanConfig(known_pii_cols=CWP_KNOWN, cols_to_exclude=CWP_EXCLUDE, max_files=2)
+    customers, documents = customer_sources(spark, d)
     for half in (0, 1):
-        write_json(cwp.where(F.col("id") % 2 == half), f"{root}/landing", parts=3)
+        share = _land(cwp.where(F.col("id") % 2 == half), f"{root}/landing", 3, customers.where(F.col("c_custkey") % 2 == half), documents.where(F.col("doc_id") % 2 == half))
+        conf = ScanConfig(known_pii_cols=CWP_KNOWN, cols_to_exclude=CWP_EXCLUDE, max_files=2 * share)
         run_hops(spark, f"{root}/landing", HopPaths.under(f"{root}/out"), cwp.schema, conf, recognizers=PATTERNS, database=base)
     return spark.table(f"{base}.customers_pii_anonymized").select("id", "fullname", "segment", "freetext_1", "lang")
 

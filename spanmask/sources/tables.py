@@ -16,6 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def customer_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """What :func:`customers_with_pii` joins: customers and documents, without the columns that it leaves out."""
+    return (table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment"),
+            table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 def customers_with_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``customer FULL JOIN documents ON c_custkey = doc_id``: no row of either is left out.
 
@@ -23,8 +29,7 @@ def customers_with_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     (scanned), lang (scanned, clean); null where a side is missing.  Both keys
     are unique, and so is id.
     """
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    c, d = customer_sources(spark, sf_dir)
     return c.join(d, c.c_custkey == d.doc_id, "full").select(
         F.coalesce("c_custkey", "doc_id").alias("id"),
         F.col("c_name").alias("fullname"),

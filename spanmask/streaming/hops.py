@@ -20,7 +20,7 @@ from ..operators.distinct import K, distinct_parts, merge_distinct
 from ..operators.summary import merge_parts, summary_parts
 from ..plans.config import ScanConfig
 from ..sources.evolving import ingest_json_evolving
-from ..sources.files import FILE_METADATA_COLS, ingest_json, read_hop, with_file_metadata, write_hop
+from ..sources.files import FILE_METADATA_COLS, batch_files, ingest_json, read_hop, with_file_metadata, write_hop
 
 LINEAGE_COLS = (*FILE_METADATA_COLS, "processing_time")
 CORRUPT = "_corrupt_record"
@@ -74,7 +74,8 @@ def run_hops(
     after the other.  Otherwise all hops are started with a
     ``processing_time`` trigger and keep running.  ``keep_analysed=False``
     scans and rewrites in one hop, so raw text never lands in an analysed
-    table.  ``conf.max_files`` bounds the files of each micro-batch in every hop.
+    table.  ``conf.max_files`` bounds the landed files of each micro-batch; the later hops take about what one micro-batch of the
+    hop before wrote (:func:`spanmask.sources.files.batch_files`).
     ``detector`` replaces the pattern recognisers.  A line that is no JSON keeps its
     text in ``_corrupt_record``, which is scanned and rewritten like any text.
     Without a ``schema`` types are inferred and logged under ``paths.checkpoints``, new fields are taken up at each start, and values
@@ -98,13 +99,14 @@ def run_hops(
         if available_now:
             q.awaitTermination()
         queries.append(q)
+        return batch_files(spark, q, path, conf.max_files)
 
-    go(raw, paths.raw, "raw")
-    hop1 = read_hop(spark, paths.raw, raw_schema, conf.max_files, named(paths.raw))
+    limit = go(raw, paths.raw, "raw")
+    hop1 = read_hop(spark, paths.raw, raw_schema, limit, named(paths.raw))
     if keep_analysed:
         analysed = analysed_stream(hop1, conf, recognizers, detector)
-        go(analysed, paths.analysed, "analysed")
-        hop2 = read_hop(spark, paths.analysed, _nullable(analysed.schema), conf.max_files, named(paths.analysed))
+        limit = go(analysed, paths.analysed, "analysed")
+        hop2 = read_hop(spark, paths.analysed, _nullable(analysed.schema), limit, named(paths.analysed))
         go(anonymize(hop2, operators=operators, parallelism=conf.parallelism), paths.anonymised, "anonymised")
     else:
         go(anonymize(analysed_stream(hop1, conf, recognizers, detector), operators=operators), paths.anonymised, "anonymised")

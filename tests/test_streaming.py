@@ -98,3 +98,24 @@ def test_hops_as_catalog_tables(spark, scratch):
             run_hops(spark, f"{scratch}/landing", HopPaths.under(f"{scratch}/out"), None, conf, database="hops_test")
     finally:
         spark.sql("DROP DATABASE hops_test CASCADE")
+
+
+def test_later_hops_have_the_micro_batches_of_the_first(spark, scratch):
+    """A landed file that many tasks read is many files in the next hop, but still one micro-batch."""
+    df = spark.createDataFrame([(i, f"mail a{i}@b.co " + "x" * 400) for i in range(400)], "id int, t string")
+    write_json(df, f"{scratch}/landing", parts=4)
+    conf = ScanConfig(cols_to_exclude=["id"], max_files=1)
+    small = {"spark.sql.files.maxPartitionBytes": "8k", "spark.sql.files.openCostInBytes": "1k"}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        queries = run_hops(spark, f"{scratch}/landing", HopPaths.under(f"{scratch}/out"), df.schema, conf)
+    finally:
+        for k in small:
+            spark.conf.unset(k)
+    out = HopPaths.under(f"{scratch}/out")
+    assert min(len(spark.read.parquet(p).inputFiles()) for p in (out.raw, out.analysed)) >= 12
+    batches = [len([p for p in q.recentProgress if p["numInputRows"]]) for q in queries]
+    assert batches[0] == 4 and 2 <= min(batches[1:]) and max(batches[1:]) <= 4
+    rows = spark.read.parquet(out.anonymised)
+    assert (rows.count(), rows.where(F.startswith("t", F.lit("mail <EMAIL_ADDRESS> x"))).count()) == (400, 400)
