@@ -449,8 +449,8 @@ def stream_ingest(spark, d):
     """Land the documents as JSON, stream them into a parquet hop, read it back with its lineage."""
     root = shared_dir(spark, "stream_ingest")
     landing = f"{root}/landing"
-    write_json(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"), landing, parts=4)
-    raw = with_file_metadata(ingest_json(spark, landing, T.StructType.fromDDL("id long, text string"), max_files=2))
+    share = _land(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"), landing, 4)
+    raw = with_file_metadata(ingest_json(spark, landing, T.StructType.fromDDL("id long, text string"), max_files=2 * share))
     write_hop(raw, f"{root}/raw", f"{root}/_checkpoints/raw").awaitTermination()
     hop = spark.read.parquet(f"{root}/raw")
     return hop.select(
@@ -486,22 +486,22 @@ def stream_tables(spark, d):
 
 
 def stream_summary(spark, d):
-    """Scan summary gathered per micro-batch (foreachBatch), one landed file each."""
+    """Scan summary gathered per micro-batch (foreachBatch), one landed share each."""
     root = shared_dir(spark, "stream_summary")
     landing = f"{root}/landing"
-    write_json(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"), landing, parts=4)
-    st = ingest_json(spark, landing, T.StructType.fromDDL("id long, text string"), max_files=1)
+    share = _land(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"), landing, 4)
+    st = ingest_json(spark, landing, T.StructType.fromDDL("id long, text string"), max_files=share)
     summary_sink(scan(st, exclude=["id"], recognizers=PATTERNS), f"{root}/summary", f"{root}/_checkpoints/summary")
     out = read_summary(spark, f"{root}/summary")
     return out.withColumn("avg_score", F.round("avg_score", 6))
 
 
 def stream_distinct(spark, d):
-    """Distinct values gathered as sketches per micro-batch, one landed file each."""
+    """Distinct values gathered as sketches per micro-batch, one landed share each."""
     root = shared_dir(spark, "stream_distinct")
     landing = f"{root}/landing"
-    write_json(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"), landing, parts=4)
-    st = ingest_json(spark, landing, T.StructType.fromDDL("id long, text string"), max_files=1)
+    share = _land(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"), landing, 4)
+    st = ingest_json(spark, landing, T.StructType.fromDDL("id long, text string"), max_files=share)
     distinct_sink(scan(st, exclude=["id"], recognizers=PATTERNS), f"{root}/distinct", f"{root}/_checkpoints/distinct")
     return read_distinct(spark, f"{root}/distinct")
 
@@ -543,8 +543,8 @@ IDENTITY_SQL = ("WITH c AS (SELECT doc_id, CASE WHEN doc_id % 7 = 3 THEN 0 WHEN
                 "FROM documents)" + IDENTITY_SQL)
 
 
-def _land_events(spark, d, landing: str, drop: int):
-    """A quarter of the events as JSON lines; each quarter knows other fields, and some of its user ids are text."""
+def _land_events(spark, d, landing: str, drop: int) -> int:
+    """A quarter of the events as JSON lines in two shares; each quarter knows other fields, and some of its user ids are text.  The files of a share."""
     events = table(spark, d, "events").where(F.col("event_id") % 4 == drop)
     fields = [F.col("event_id"), F.col("value")]
     if drop >= 1:
@@ -554,7 +554,9 @@ def _land_events(spark, d, landing: str, drop: int):
     odd = F.to_json(F.struct(*fields, F.concat(F.lit("u"), F.col("user_id")).alias("user_id")))
     even = F.to_json(F.struct(*fields, F.col("user_id")))
     lines = events.select((F.when(F.col("user_id") % 2 == 1, odd).otherwise(even) if drop else even).alias("value"))
-    lines.repartition(2).write.mode("append").text(landing)
+    files = files_per_share(table_bytes(lines), 2)
+    lines.repartition(2 * files).write.mode("append").text(landing)
+    return files
 
 
 def stream_evolving(spark, d):
@@ -564,16 +566,13 @@ def stream_evolving(spark, d):
     """
     root = shared_dir(spark, "stream_evolving")
     landing, log = f"{root}/landing", f"{root}/_checkpoints/schema"
-    start = lambda: ingest_json_evolving(spark, landing, log, max_files=1)
+    start = lambda share: ingest_json_evolving(spark, landing, log, max_files=share)
     run = lambda stream: write_hop(stream, f"{root}/raw", f"{root}/_checkpoints/raw").awaitTermination()
-    _land_events(spark, d, landing, 0)
-    run(start())
-    _land_events(spark, d, landing, 1)
-    second = start()
+    run(start(_land_events(spark, d, landing, 0)))
+    second = start(_land_events(spark, d, landing, 1))
     _land_events(spark, d, landing, 2)
     run(second)
-    _land_events(spark, d, landing, 3)
-    run(start())
+    run(start(_land_events(spark, d, landing, 3)))
     hop = read_evolved(spark, f"{root}/raw", log)
     return hop.select("event_id", "user_id", "value", "event_type", F.col("props.k").alias("props_k"), F.col("_rescued_data").alias("rescued"))
 

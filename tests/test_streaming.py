@@ -1,5 +1,7 @@
 """Three hops: batch == stream, restart adds nothing, two drops == one."""
 
+import functools
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +9,7 @@ from spanmask import anonymize, scan
 from spanmask.functions.udf import python_regex_detector
 from spanmask.plans.catalogue import CWP_EXCLUDE, CWP_KNOWN, PATTERNS
 from spanmask.plans.config import ScanConfig
-from spanmask.sources.files import FILE_METADATA_COLS, ingest_json, with_file_metadata, write_json
+from spanmask.sources.files import FILE_METADATA_COLS, files_per_share, ingest_json, table_bytes, with_file_metadata, write_json
 from spanmask.sources.tables import customers_with_pii
 from spanmask import summarize
 from spanmask.streaming.hops import HopPaths, read_summary, run_hops, run_pipeline, summary_sink
@@ -119,3 +121,29 @@ def test_later_hops_have_the_micro_batches_of_the_first(spark, scratch):
     assert batches[0] == 4 and 2 <= min(batches[1:]) and max(batches[1:]) <= 4
     rows = spark.read.parquet(out.anonymised)
     assert (rows.count(), rows.where(F.startswith("t", F.lit("mail <EMAIL_ADDRESS> x"))).count()) == (400, 400)
+
+
+@pytest.mark.parametrize("query, sink", [("stream_summary", "summary"), ("stream_distinct", "distinct")])
+def test_landed_files_are_bounded_and_the_micro_batches_stay(spark, scratch, monkeypatch, query, sink):
+    """A large share is landed in several files, none by a task with a quarter of the table; each share is one micro-batch."""
+    from spanmask.plans import catalogue
+
+    rows = [(i, f"row {i} mail a{i % 50}@b.co " + "x" * 400) for i in range(400)] + [(400, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{scratch}/data/documents.parquet")
+    monkeypatch.setattr(catalogue, "shared_dir", lambda *_: f"{scratch}/run")
+    monkeypatch.setattr(catalogue, "files_per_share", functools.partial(files_per_share, landed_mb=0.01))
+    (r,) = getattr(catalogue, query)(spark, f"{scratch}/data").collect()
+    if sink == "summary":
+        assert (r.entity_type, r.num_entities, r.sample_size) == ("EMAIL_ADDRESS", 400.0, 401)
+    else:
+        assert (r.entity_type, r.distinct_values, r.exact) == ("EMAIL_ADDRESS", 50, True)
+    landed = spark.read.text(f"{scratch}/run/landing").select("_metadata.file_path", "_metadata.file_size").distinct().collect()
+    assert max(f.file_size for f in landed) < 20_000 < sum(f.file_size for f in landed) / 4
+    assert spark.read.parquet(f"{scratch}/run/{sink}").select("batch_id").distinct().count() == 4
+
+
+def test_bytes_of_a_table(spark):
+    df = spark.createDataFrame([(1, "ab"), (22, None), (None, "\u00e9")], "id int, `t.x` string")
+    assert table_bytes(df) == 3 * (2 + 6) + 3 * (3 + 6) + (1 + 2 + 0) + (2 + 0 + 2)
+    assert table_bytes(df.where("id > 99")) == 0
+    assert [files_per_share(n << 20, 4, 32) for n in (0, 128, 129, 1280)] == [1, 1, 2, 10]
